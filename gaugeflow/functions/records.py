@@ -62,8 +62,10 @@ def group(names: Sequence[str]) -> Column:
 
 def group_by_name(names: Sequence[str]) -> Column:
     """Readings under configured names, as a map; a missing reading is left out."""
-    entries = F.array(*[F.struct(F.lit(name), F.col(name)) for name in names])
-    return F.map_from_entries(F.filter(entries, lambda entry: entry[1].isNotNull()))
+    entries = F.array(
+        *[F.struct(F.lit(name).alias("name"), F.col(name).alias("reading")) for name in names]
+    )
+    return F.map_from_entries(F.filter(entries, lambda entry: entry["reading"].isNotNull()))
 
 
 def encode(time: Column, topic: Column, categories: Column, sensors: Column) -> Column:

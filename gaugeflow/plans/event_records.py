@@ -48,8 +48,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """`events` as a stream; the pattern lets the table be one file or a folder."""
     reader = spark.readStream.schema(EVENTS).options(**options)
-    return reader.parquet(f"{sf_dir}/events.parquet")
+    return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def event_records(
@@ -90,3 +91,20 @@ def event_messages(
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+
+
+def damage(messages: DataFrame) -> DataFrame:
+    """The messages with every way to be bad among them, by offset."""
+    kind = F.col("offset") % 16
+    text = F.col("value").cast("string")
+    damaged = (
+        F.when(kind == 0, F.substring(text, 1, 100))
+        .when(kind == 1, "")
+        .when(kind == 2, None)
+        .when(kind == 3, "12")
+        .when(kind == 4, "[1]")
+        .when(kind == 5, '{"Result":1}')
+        .when(kind == 6, F.replace(text, F.lit('"cat0":"'), F.lit('"cat0":"un')))
+        .otherwise(text)
+    )
+    return messages.withColumn("value", damaged.cast("binary"))

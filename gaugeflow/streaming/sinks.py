@@ -72,9 +72,18 @@ def mongo_sink(insert_size: int = INSERT_SIZE, **options: str) -> ConnectorSink:
     return ConnectorSink("mongodb", {**replacing, **options}, insert_size, "maxBatchSize")
 
 
-def to_sink(stream: DataFrame, sink: Sink, checkpoint: str) -> DataStreamWriter:
+def to_sink(
+    stream: DataFrame,
+    sink: Sink,
+    checkpoint: str,
+    shape: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataStreamWriter:
     """Write every batch of a stream to one sink."""
-    return _writer(stream, checkpoint).foreachBatch(sink.write)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.write(shape(batch), batch_id)
+
+    return _writer(stream, checkpoint).foreachBatch(write)
 
 
 @dataclass(frozen=True)
