@@ -69,6 +69,10 @@ class LinearScore:
             tuple(features),
         )
 
+    @classmethod
+    def load(cls, path: str, features: Sequence[str] = S.FEATURES):
+        return cls.of(load(path), features)
+
     def margin(self) -> Column:
         terms = [
             F.lit(c) * F.col(name) for c, name in zip(self.coefficients, self.features, strict=True)

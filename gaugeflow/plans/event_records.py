@@ -26,6 +26,8 @@ EVENTS = T.StructType(
 )
 TOPIC_NAME = "epd01"
 PARTITIONS = 4
+# Input of one micro-batch at most; whatever a batch holds in memory stays below it.
+BATCH_BYTES = 1 << 40
 
 
 class EventDraws:
@@ -48,8 +50,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
-    """`events` as a stream; the pattern lets the table be one file or a folder."""
-    reader = spark.readStream.schema(EVENTS).options(**options)
+    """`events` as a stream in bounded batches.
+
+    The pattern in the path lets the table be one file or a folder.
+    """
+    bounded = {"maxBytesPerTrigger": str(BATCH_BYTES), **options}
+    reader = spark.readStream.schema(EVENTS).options(**bounded)
     return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 

@@ -19,6 +19,10 @@ from gaugeflow.schemas import ENVELOPE
 EARLIEST, LATEST = "earliest", "latest"
 FROM_EARLIEST, FROM_LATEST = -2, -1
 
+# A topic partition becomes one task unless it is cut; one partition may hold
+# a third of a topic.
+RECORDS_PER_TASK = 1_000_000
+
 Offsets = Mapping[str, Mapping[int, int]]
 Position = str | Offsets
 
@@ -45,6 +49,7 @@ class Subscription:
         options = {
             "subscribe": ",".join(self.topics),
             "startingOffsets": _kafka_position(self.start),
+            "maxRecordsPerPartition": str(RECORDS_PER_TASK),
         }
         if not streaming:
             options["endingOffsets"] = _kafka_position(self.end)

@@ -72,6 +72,11 @@ def mongo_sink(insert_size: int = INSERT_SIZE, **options: str) -> ConnectorSink:
     return ConnectorSink("mongodb", {**replacing, **options}, insert_size, "maxBatchSize")
 
 
+def console_sink() -> ConnectorSink:
+    """Show the first rows of each batch."""
+    return ConnectorSink("console", {"truncate": "false"})
+
+
 def to_sink(
     stream: DataFrame,
     sink: Sink,
