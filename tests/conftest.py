@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+PATHS = [str(ROOT), str(ROOT / "tests")]
+sys.path[:0] = PATHS
+# Python workers import the package and the test modules as well.
+os.environ["PYTHONPATH"] = os.pathsep.join([*PATHS, os.environ.get("PYTHONPATH", "")])
 
 from gaugeflow import session  # noqa: E402
 from gaugeflow.sources.endpoint_config import packaged_config  # noqa: E402
