@@ -1,22 +1,20 @@
-"""Labels and sensor readings from random draws."""
+"""Labels and sensor readings from random draws. SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from gaugeflow.functions import sql
 from gaugeflow.sources.endpoint_config import Sensor
 
 # Numbers of the sensor families.
 FOLLOWS_LABEL, OPPOSES_LABEL, IGNORES_LABEL, UNIFORM = range(4)
 
 
-def drawn_label(draw: Column, success_rate: float) -> Column:
+def drawn_label(draw: str, success_rate: float) -> str:
     """1 if the draw lies below the success rate, else 0."""
-    return F.when(draw < F.lit(success_rate), 1).otherwise(0)
+    return f"if({draw} < {sql.double(success_rate)}, 1, 0)"
 
 
-def raw_reading(sensor: Sensor, label: Column, normal: Column, uniform: Column) -> Column:
+def raw_reading(sensor: Sensor, label: str, normal: str, uniform: str) -> str:
     """Reading before scaling; null for a family that does not exist.
 
     A family that follows the label takes its mean and deviation from the side
@@ -29,30 +27,33 @@ def raw_reading(sensor: Sensor, label: Column, normal: Column, uniform: Column)
     if sensor.kind == OPPOSES_LABEL:
         return _by_label(normal, label, zero_side, one_side)
     if sensor.kind == IGNORES_LABEL:
-        return normal * F.lit(sensor.one_std) + F.lit(sensor.one_mean)
+        return f"({normal} * {sql.double(sensor.one_std)} + {sql.double(sensor.one_mean)})"
     if sensor.kind == UNIFORM:
         return uniform
-    return F.lit(None).cast("double")
+    return "CAST(NULL AS DOUBLE)"
 
 
 def _by_label(
-    normal: Column, label: Column, if_one: tuple[float, float], if_zero: tuple[float, float]
-) -> Column:
+    normal: str, label: str, if_one: tuple[float, float], if_zero: tuple[float, float]
+) -> str:
     # The draw stands once in the expression, so it is computed once per row.
-    std, mean = (F.when(label == 1, a).otherwise(b) for a, b in zip(if_one, if_zero))
-    return normal * std + mean
+    std, mean = (
+        f"if({label} = 1, {sql.double(a)}, {sql.double(b)})"
+        for a, b in zip(if_one, if_zero, strict=True)
+    )
+    return f"({normal} * {std} + {mean})"
 
 
-def thousandths(value: Column, scale: float) -> Column:
+def thousandths(value: str, scale: float) -> str:
     """Scaled value as a whole number of thousandths, half rounded up."""
-    return F.floor(F.lit(1000.0 * scale) * value + F.lit(0.5))
+    return f"floor({sql.double(1000.0 * scale)} * {value} + 0.5D)"
 
 
-def whole_units(thousandths: Column) -> Column:
+def whole_units(thousandths: str) -> str:
     """Thousandths cut to whole units; the cut goes toward zero."""
-    return (thousandths - thousandths % 1000) / F.lit(1000.0)
+    return f"(({thousandths} - {thousandths} % 1000) / 1000D)"
 
 
-def quantise(value: Column, scale: float) -> Column:
+def quantise(value: str, scale: float) -> str:
     """Scale, round to thousandths, then cut: -1.9996 gives -2, but -1.9995 gives -1."""
     return whole_units(thousandths(value, scale))

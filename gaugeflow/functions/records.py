@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import schemas as S
+from gaugeflow.functions import sql
 
 JSON_SPACE = " \t\r\n"
 
@@ -55,28 +56,26 @@ def wall_time_text(moment: Column) -> Column:
     return F.substring(moment.cast("string"), 1, 19)
 
 
-def group(names: Sequence[str]) -> Column:
-    """Readings under fixed names, as a struct."""
-    return F.struct(*[F.col(name) for name in names])
+def group(names: Sequence[str]) -> str:
+    """Readings under fixed names, as a struct. SQL text."""
+    return f"struct({', '.join(map(sql.name, names))})"
 
 
-def group_by_name(names: Sequence[str]) -> Column:
-    """Readings under configured names, as a map; a missing reading is left out."""
-    entries = F.array(
-        *[F.struct(F.lit(name).alias("name"), F.col(name).alias("reading")) for name in names]
-    )
-    return F.map_from_entries(F.filter(entries, lambda entry: entry["reading"].isNotNull()))
+def group_by_name(names: Sequence[str]) -> str:
+    """Readings under configured names, as a map without missing readings. SQL text."""
+    entries = ", ".join(f"struct({sql.text(n)} AS name, {sql.name(n)} AS reading)" for n in names)
+    return f"map_from_entries(filter(array({entries}), e -> e.reading IS NOT NULL))"
 
 
-def encode(time: Column, topic: Column, categories: Column, sensors: Column) -> Column:
+def encode(time: Column, topic: Column, categories: str, sensors: str) -> Column:
     """A record as message text; null fields are left out."""
     return F.to_json(
         F.struct(
             time.alias(S.TIME),
             topic.alias(S.TOPIC),
             F.col(S.RESULT),
-            categories.alias(S.CATEGORY_GROUP),
-            sensors.alias(S.SENSOR_GROUP),
+            F.expr(categories).alias(S.CATEGORY_GROUP),
+            F.expr(sensors).alias(S.SENSOR_GROUP),
         )
     )
 

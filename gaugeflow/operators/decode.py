@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import schemas as S
-from gaugeflow.functions import levels, records
+from gaugeflow.functions import levels, records, sql
 from gaugeflow.sources.endpoint_config import EndpointConfig
 
 OK, BLANK, MALFORMED, NOT_OBJECT, BAD_FIELD = "ok", "blank", "malformed", "not_object", "bad_field"
@@ -59,22 +59,20 @@ def rename_label(flat: DataFrame) -> DataFrame:
 
 def encode_levels(flat: DataFrame, config: EndpointConfig) -> DataFrame:
     """Level names as numbers; a name that is not configured becomes null."""
-    return flat.withColumns(
-        {
-            name: levels.level_code(F.col(name), config.levels_of(name))
-            for name in S.CATEGORIES
-        }
+    codes = {c.name: levels.level_code(sql.name(c.name), c.levels) for c in config.categories}
+    return flat.selectExpr(
+        *[
+            sql.named(codes[column], column) if column in codes else sql.name(column)
+            for column in flat.columns
+        ]
     )
 
 
 def _complete() -> Column:
     """Whether a record can be scored: a label, and no feature null or NaN."""
-    complete = F.col("label").isNotNull()
-    for name in S.CATEGORIES:
-        complete = complete & F.col(name).isNotNull()
-    for name in S.SENSORS:
-        complete = complete & F.col(name).isNotNull() & ~F.isnan(name)
-    return complete
+    present = [f"{name} IS NOT NULL" for name in ("label", *S.FEATURES)]
+    numbers = [f"NOT isnan({name})" for name in S.SENSORS]
+    return F.expr(" AND ".join([*present, *numbers]))
 
 
 def json_status(value: Column) -> Column:

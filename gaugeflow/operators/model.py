@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import schemas as S
+from gaugeflow.functions import sql
 
 
 @dataclass(frozen=True)
@@ -73,19 +72,18 @@ class LinearScore:
     def load(cls, path: str, features: Sequence[str] = S.FEATURES):
         return cls.of(load(path), features)
 
-    def margin(self) -> Column:
-        terms = [
-            F.lit(c) * F.col(name) for c, name in zip(self.coefficients, self.features, strict=True)
-        ]
-        return reduce(add, terms, F.lit(self.intercept))
+    def margin(self) -> str:
+        """Intercept and weighted features, added from left to right. SQL text."""
+        weighted = zip(self.coefficients, self.features, strict=True)
+        terms = [f"{sql.double(c)} * {sql.name(feature)}" for c, feature in weighted]
+        return " + ".join([sql.double(self.intercept), *terms])
 
     def score(self, flat: DataFrame) -> DataFrame:
         """Add `margin`, `probability` of label 1, and `prediction`."""
-        with_margin = flat.withColumn("margin", self.margin())
-        probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-        return with_margin.withColumn("probability", probability).withColumn(
-            "prediction", F.when(F.col("probability") > self.threshold, 1.0).otherwise(0.0)
-        )
+        with_margin = flat.selectExpr("*", sql.named(self.margin(), "margin"))
+        with_probability = with_margin.selectExpr("*", "1D / (1D + exp(-margin)) AS probability")
+        predicted = f"if(probability > {sql.double(self.threshold)}, 1D, 0D)"
+        return with_probability.selectExpr("*", sql.named(predicted, "prediction"))
 
 
 def coefficient_table(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
-from gaugeflow.functions import levels, readings, records
+from gaugeflow.functions import levels, readings, records, sql
 from gaugeflow.functions.draws import Draws, HashedDraws
 from gaugeflow.sources.endpoint_config import Category, EndpointConfig, Sensor
 
@@ -32,57 +32,56 @@ def simulate(
     each uses columns of the one before more than once, so no draw is computed
     twice and no generated method grows beyond what the JVM compiles.
     """
-    kept = rows.columns
-    drawn = rows.select("*", *_draws(config, draws, noise))
-    label = readings.drawn_label(F.col("_label"), config.success_rate)
-    labelled = drawn.withColumn(S.RESULT, label)
-    measured = labelled.select(
-        *[c for c in labelled.columns if not c.startswith("_reading")],
+    kept = [sql.name(column) for column in rows.columns]
+    drawn = rows.selectExpr(*kept, *_draws(config, draws, noise))
+    label = readings.drawn_label("_label", config.success_rate)
+    labelled = drawn.selectExpr("*", sql.named(label, S.RESULT))
+    measured = labelled.selectExpr(
+        *[sql.name(c) for c in labelled.columns if not c.startswith("_reading")],
         *[_thousandths(s, i) for i, s in enumerate(config.sensors)],
     )
-    return measured.select(
+    return measured.selectExpr(
         *kept,
         S.RESULT,
         *[_category(c, i, noise) for i, c in enumerate(config.categories)],
         *[
-            readings.whole_units(F.col(f"_thousandths{i}")).alias(s.name)
+            sql.named(readings.whole_units(f"_thousandths{i}"), s.name)
             for i, s in enumerate(config.sensors)
         ],
     )
 
 
-def _draws(config: EndpointConfig, draws: Draws, noise: bool) -> list[Column]:
+def _draws(config: EndpointConfig, draws: Draws, noise: bool) -> list[str]:
     streams = _Streams(config)
-    drawn = [draws.uniform(streams.label).alias("_label")]
+    drawn = {"_label": draws.uniform(streams.label)}
     for i, stream in enumerate(streams.category):
-        drawn.append(draws.uniform(stream).alias(f"_level{i}"))
+        drawn[f"_level{i}"] = draws.uniform(stream)
     for i, (sensor, stream) in enumerate(zip(config.sensors, streams.sensor)):
         draw = draws.uniform if sensor.kind == readings.UNIFORM else draws.normal
-        drawn.append(draw(stream).alias(f"_reading{i}"))
+        drawn[f"_reading{i}"] = draw(stream)
     if noise:
         each = zip(config.categories, streams.chance, streams.pick)
         for i, (category, chance, pick) in enumerate(each):
-            replaced_by = levels.replacement(
+            drawn[f"_replaced{i}"] = levels.replacement(
                 draws.uniform(chance),
                 draws.uniform(pick),
                 config.error_rate,
                 len(category.levels),
             )
-            drawn.append(replaced_by.alias(f"_replaced{i}"))
-    return drawn
+    return [sql.named(expression, column) for column, expression in drawn.items()]
 
 
-def _thousandths(sensor: Sensor, i: int) -> Column:
-    draw = F.col(f"_reading{i}")
-    raw = readings.raw_reading(sensor, F.col(S.RESULT), normal=draw, uniform=draw)
-    return readings.thousandths(raw, sensor.scale).alias(f"_thousandths{i}")
+def _thousandths(sensor: Sensor, i: int) -> str:
+    draw = f"_reading{i}"
+    raw = readings.raw_reading(sensor, S.RESULT, normal=draw, uniform=draw)
+    return sql.named(readings.thousandths(raw, sensor.scale), f"_thousandths{i}")
 
 
-def _category(category: Category, i: int, noise: bool) -> Column:
-    level = levels.labelled_level(F.col(f"_level{i}"), F.col(S.RESULT), category)
+def _category(category: Category, i: int, noise: bool) -> str:
+    level = levels.labelled_level(f"_level{i}", S.RESULT, category)
     if noise:
-        level = levels.noisy_level(level, F.col(f"_replaced{i}"), category.levels)
-    return level.alias(category.name)
+        level = levels.noisy_level(level, f"_replaced{i}", category.levels)
+    return sql.named(level, category.name)
 
 
 def to_messages(
@@ -110,7 +109,7 @@ def generate(
 ) -> DataFrame:
     """`n` messages with keys from 0, each stamped with the time of the query."""
     ids = spark.range(0, n, 1, partitions)
-    simulated = simulate(ids, config, HashedDraws(F.col("id"), seed=seed))
+    simulated = simulate(ids, config, HashedDraws("id", seed=seed))
     now = records.time_text(F.current_timestamp())
     return to_messages(simulated, config, F.col("id"), now, F.lit(topic))
 
@@ -120,7 +119,7 @@ def generate_stream(
 ) -> DataFrame:
     """The same as an endless stream; the key is the row number of the stream."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    simulated = simulate(ticks, config, HashedDraws(F.col("value"), seed=seed))
+    simulated = simulate(ticks, config, HashedDraws("value", seed=seed))
     return to_messages(
         simulated, config, F.col("value"), records.time_text(F.col("timestamp")), F.lit(topic)
     )

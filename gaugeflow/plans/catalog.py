@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gaugeflow import schemas as S
 from gaugeflow import session
-from gaugeflow.functions import readings, records
+from gaugeflow.functions import readings, records, sql
 from gaugeflow.operators import decode, evaluate, features, synth
 from gaugeflow.operators import model as models
 from gaugeflow.plans import event_records as er
@@ -274,15 +274,15 @@ def time_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = _records(spark, sf_dir).select(
         "event_id",
-        records.group_by_name(S.CATEGORIES).alias("c"),
-        records.group_by_name(S.SENSORS).alias("s"),
+        F.expr(records.group_by_name(S.CATEGORIES)).alias("c"),
+        F.expr(records.group_by_name(S.SENSORS)).alias("s"),
     )
     return grouped.select(
         "event_id",
         F.size("c").alias("n_categories"),
         F.size("s").alias("n_sensors"),
-        *[F.element_at("c", name).alias(name) for name in S.CATEGORIES],
-        *[F.element_at("s", name).alias(name) for name in S.SENSORS],
+        *[F.col(f"c.{name}") for name in S.CATEGORIES],
+        *[F.col(f"s.{name}") for name in S.SENSORS],
     )
 
 
@@ -385,32 +385,32 @@ def score_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gen_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    draw = er.EventDraws().uniform(0)
-    label = readings.drawn_label(draw, CONFIG.success_rate)
-    return er.events(spark, sf_dir).select("event_id", label.alias("label"))
+    label = readings.drawn_label(er.EventDraws().uniform(0), CONFIG.success_rate)
+    return er.events(spark, sf_dir).selectExpr("event_id", sql.named(label, "label"))
 
 
 def gen_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of all sensor families, and of one that does not exist."""
     draws = er.EventDraws()
     label = readings.drawn_label(draws.uniform(0), FAMILIES.success_rate)
-    labelled = er.events(spark, sf_dir).withColumn("label", label)
+    labelled = er.events(spark, sf_dir).selectExpr("*", sql.named(label, "label"))
     drawn = [
-        F.round(
-            readings.raw_reading(s, F.col("label"), draws.normal(9 + i), draws.uniform(9 + i)), 9
-        ).alias(s.name)
+        readings.raw_reading(s, "label", draws.normal(9 + i), draws.uniform(9 + i))
         for i, s in enumerate(FAMILIES.sensors)
     ]
-    return labelled.select("event_id", "label", *drawn)
+    return labelled.selectExpr(
+        "event_id",
+        "label",
+        *[sql.named(f"round({raw}, 9)", s.name) for raw, s in zip(drawn, FAMILIES.sensors)],
+    )
 
 
 def quantise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positive and negative values, with halves among the thousandths."""
-    centred = F.col("value") - F.lit(20.0)
-    return er.events(spark, sf_dir).select(
+    return er.events(spark, sf_dir).selectExpr(
         "event_id",
-        readings.thousandths(centred, 0.025).alias("fine"),
-        readings.quantise(centred, 2.5).alias("coarse"),
+        sql.named(readings.thousandths("(value - 20D)", 0.025), "fine"),
+        sql.named(readings.quantise("(value - 20D)", 2.5), "coarse"),
     )
 
 

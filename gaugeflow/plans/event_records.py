@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import schemas as S
-from gaugeflow.functions import levels, records
-from gaugeflow.operators import synth
+from gaugeflow.functions import records
+from gaugeflow.operators import decode, synth
 from gaugeflow.sources.endpoint_config import EndpointConfig
 
 EVENTS = T.StructType(
@@ -33,16 +33,12 @@ BATCH_BYTES = 1 << 40
 class EventDraws:
     """Draws from the ids of an event; `normal` is uniform on [-1, 1)."""
 
-    def uniform(self, stream: int) -> Column:
-        mixed = (
-            F.col("event_id") * (7919 + 2 * stream)
-            + F.col("user_id") * 104729
-            + F.lit(stream * 1299709)
-        )
-        return (mixed % 10007) / F.lit(10007.0)
+    def uniform(self, stream: int) -> str:
+        factor, shift = 7919 + 2 * stream, stream * 1299709
+        return f"((event_id * {factor} + user_id * 104729 + {shift}) % 10007 / 10007D)"
 
-    def normal(self, stream: int) -> Column:
-        return F.lit(2.0) * self.uniform(stream) - F.lit(1.0)
+    def normal(self, stream: int) -> str:
+        return f"(2D * {self.uniform(stream)} - 1D)"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,11 +61,7 @@ def event_records(
     """Event ids with label, categories and sensors; `coded` numbers the levels."""
     ids = event_rows.select("event_id", "user_id", "event_type", "ts")
     simulated = synth.simulate(ids, config, EventDraws(), noise)
-    if coded:
-        for category in config.categories:
-            code = levels.level_code(F.col(category.name), category.levels)
-            simulated = simulated.withColumn(category.name, code)
-    return simulated
+    return decode.encode_levels(simulated, config) if coded else simulated
 
 
 def event_messages(

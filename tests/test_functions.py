@@ -16,11 +16,12 @@ NAMES = ["low", "mid", "high"]
 
 def _column(spark, values, kind, expression, name="x"):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {name} {kind}")
-    return [r.y for r in rows.select("i", expression.alias("y")).orderBy("i").collect()]
+    column = F.expr(expression) if isinstance(expression, str) else expression
+    return [r.y for r in rows.select("i", column.alias("y")).orderBy("i").collect()]
 
 
 def test_a_draw_on_a_threshold_takes_the_next_level(spark):
-    picked = levels.level_at(F.col("x"), NAMES, [0.2, 0.5, 1.0])
+    picked = levels.level_at("x", NAMES, [0.2, 0.5, 1.0])
     drawn = [0.0, 0.19, 0.2, 0.49, 0.5, 0.999, 1.0, None]
     assert _column(spark, drawn, "double", picked) == [
         "low", "low", "mid", "mid", "high", "high", None, None,
@@ -28,29 +29,35 @@ def test_a_draw_on_a_threshold_takes_the_next_level(spark):
 
 
 def test_level_codes(spark):
-    code = levels.level_code(F.col("x"), NAMES)
+    code = levels.level_code("x", NAMES)
     texts = ["low", "mid", "high", "0", "2", "3", "lo", "", None]
     assert _column(spark, texts, "string", code) == [0, 1, 2, 0, 2, None, None, None, None]
 
 
 def test_a_number_that_is_a_level_name_counts_as_name(spark):
-    code = levels.level_code(F.col("x"), ["1", "0", "7"])
+    code = levels.level_code("x", ["1", "0", "7"])
     assert _column(spark, ["1", "0", "7", "2"], "string", code) == [0, 1, 2, 2]
 
 
 def test_codes_and_names_are_inverse(spark):
-    back = levels.level_name(levels.level_code(F.col("x"), NAMES), NAMES)
+    back = levels.level_name(levels.level_code("x", NAMES), NAMES)
     assert _column(spark, NAMES, "string", back) == NAMES
-    name = levels.level_name(F.col("x"), NAMES)
+    name = levels.level_name("x", NAMES)
     assert _column(spark, [0, 2, 3, None], "int", name) == ["low", "high", None, None]
 
 
+def test_names_with_quotes(spark):
+    names = ["it's", 'a "b"', "back\\slash", "`tick`"]
+    back = levels.level_name(levels.level_code("x", names), names)
+    assert _column(spark, names, "string", back) == names
+
+
 def test_noise_replaces_at_the_error_rate(spark):
     rows = [(0.0, 0.0), (0.09, 0.34), (0.09, 0.999), (0.1, 0.0), (0.9, 0.5)]
     table = spark.createDataFrame(rows, "chance double, pick double").coalesce(1)
-    replaced = levels.replacement(F.col("chance"), F.col("pick"), 0.1, 3)
-    noisy = levels.noisy_level(F.lit("high"), replaced, NAMES)
-    assert [r[0] for r in table.select(noisy).collect()] == ["low", "mid", "high", "high", "high"]
+    replaced = levels.replacement("chance", "pick", 0.1, 3)
+    noisy = levels.noisy_level("'high'", replaced, NAMES)
+    assert [r[0] for r in table.selectExpr(noisy).collect()] == ["low", "mid", "high", "high", "high"]
 
 
 def _quantised(value: float, scale: float) -> float:
@@ -59,10 +66,10 @@ def _quantised(value: float, scale: float) -> float:
 
 def test_quantise_known_values(spark):
     values = [1.9994, 1.9995, -1.9995, -1.9996, -0.9994, 0.0, 7.0, -7.25]
-    assert _column(spark, values, "double", readings.quantise(F.col("x"), 1.0)) == [
+    assert _column(spark, values, "double", readings.quantise("x", 1.0)) == [
         1.0, 2.0, -1.0, -2.0, 0.0, 0.0, 7.0, -7.0,
     ]
-    halves = readings.thousandths(F.col("x"), 1.0)
+    halves = readings.thousandths("x", 1.0)
     assert _column(spark, [-0.0025, 0.0025, -2.5, 2.5], "double", halves) == [-2, 3, -2500, 2500]
 
 
@@ -72,7 +79,7 @@ def test_quantise_known_values(spark):
     st.sampled_from([0.5, 1.0, 25.0, 250.0]),
 )
 def test_quantise_equals_brute_force(spark, values, scale):
-    got = _column(spark, values, "double", readings.quantise(F.col("x"), scale))
+    got = _column(spark, values, "double", readings.quantise("x", scale))
     assert got == [_quantised(v, scale) for v in values]
 
 
@@ -82,22 +89,22 @@ def test_quantise_equals_brute_force(spark, values, scale):
 )
 def test_sensor_families(spark, kind, one, zero):
     sensor = Sensor("s", kind, 1.0, one_mean=1.0, one_std=1.0, zero_mean=10.0, zero_std=2.0)
-    raw = readings.raw_reading(sensor, F.col("x"), normal=F.lit(2.0), uniform=F.lit(0.5))
+    raw = readings.raw_reading(sensor, "x", normal="2D", uniform="0.5D")
     assert _column(spark, [1, 0], "int", raw) == [one, zero]
 
 
 def test_draws_do_not_depend_on_the_layout(spark):
-    draws = HashedDraws(F.col("id"), seed=7)
-    columns = ["id", draws.uniform(3).alias("u"), draws.normal(4).alias("z")]
-    few = spark.range(0, 5000, 1, 2).select(*columns).orderBy("id").collect()
-    many = spark.range(0, 5000, 1, 7).select(*columns).orderBy("id").collect()
+    draws = HashedDraws("id", seed=7)
+    columns = ["id", f"{draws.uniform(3)} AS u", f"{draws.normal(4)} AS z"]
+    few = spark.range(0, 5000, 1, 2).selectExpr(*columns).orderBy("id").collect()
+    many = spark.range(0, 5000, 1, 7).selectExpr(*columns).orderBy("id").collect()
     assert few == many
 
 
 def test_draws_have_the_right_distribution(spark):
-    draws = HashedDraws(F.col("id"), seed=7)
-    rows = spark.range(200_000).select(
-        draws.uniform(0).alias("u"), draws.uniform(1).alias("w"), draws.normal(0).alias("z")
+    draws = HashedDraws("id", seed=7)
+    rows = spark.range(200_000).selectExpr(
+        f"{draws.uniform(0)} AS u", f"{draws.uniform(1)} AS w", f"{draws.normal(0)} AS z"
     )
     seen = rows.agg(
         F.min("u").alias("low"),
@@ -141,7 +148,7 @@ def test_lines_print_missing_parts(spark):
 
 def test_a_missing_reading_is_left_out_of_its_group(spark):
     rows = spark.createDataFrame([("a", None)], "cat0 string, cat1 string")
-    assert rows.select(records.group_by_name(["cat0", "cat1"])).first()[0] == {"cat0": "a"}
+    assert rows.selectExpr(records.group_by_name(["cat0", "cat1"])).first()[0] == {"cat0": "a"}
 
 
 def test_document_fields_of_another_kind_are_null(spark):

@@ -18,7 +18,7 @@ N = 60_000
 @pytest.fixture(scope="module")
 def made(spark, config):
     rows = spark.range(0, N, 1, 6)
-    return synth.simulate(rows, config, HashedDraws(F.col("id"))).persist()
+    return synth.simulate(rows, config, HashedDraws("id")).persist()
 
 
 def _near(share: float, wanted: float, n: int) -> bool:
@@ -78,11 +78,11 @@ def test_messages_can_be_decoded(spark, config):
 
 def test_records_do_not_depend_on_the_layout(spark, config):
     columns = [S.RESULT, *S.CATEGORIES, *S.SENSORS]
-    draws = HashedDraws(F.col("id"), seed=3)
+    draws = HashedDraws("id", seed=3)
     few = synth.simulate(spark.range(0, 2000, 1, 2), config, draws).select("id", *columns)
     many = synth.simulate(spark.range(0, 2000, 1, 9), config, draws).select("id", *columns)
     assert few.exceptAll(many).count() == 0
-    other = synth.simulate(spark.range(2000), config, HashedDraws(F.col("id"), seed=4))
+    other = synth.simulate(spark.range(2000), config, HashedDraws("id", seed=4))
     assert few.select(*columns).exceptAll(other.select(*columns)).count() > 1500
 
 
