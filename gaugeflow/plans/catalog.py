@@ -295,7 +295,8 @@ def encode_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assembled = features.assemble(_labelled(spark, sf_dir))
+    # Level numbers of simulated records are never missing, so no row needs a check.
+    assembled = features.assemble(_labelled(spark, sf_dir), handle_invalid="error")
     values = assembled.select("event_id", "label", vector_to_array("features").alias("v"))
     members = [F.get("v", i).alias(f"f{i}") for i in range(len(S.FEATURES))]
     return values.select("event_id", "label", *members)

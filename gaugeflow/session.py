@@ -7,9 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Generated methods beyond 8000 bytes are never compiled by the JVM and run ten
-# times slower; below this limit Spark splits such projections into small methods.
-RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+RUNTIME = {
+    # Generated methods beyond 8000 bytes are never compiled by the JVM and run ten
+    # times slower; below this limit Spark splits such projections into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tables partitioned by status, part or topic have few values per task. With a
+    # writer for each of them open, a task need not sort its rows before writing.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -29,14 +34,14 @@ def build_session(app: str, **settings: str) -> SparkSession:
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local run without one gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
-    own = tempfile.mkdtemp(prefix="gaugeflow-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gaugeflow-"))
+    return context.getCheckpointDir()
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
