@@ -133,7 +133,7 @@ def config_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{session.work_folder(spark, 'publish')}/messages"
     messages = _messages(spark, sf_dir, topic=F.col("event_type"))
-    jobs.publish(messages.drop("timestamp", "timestampType"), "parquet", path)
+    jobs.publish(messages, "parquet", path)
     return spark.read.schema(S.ENVELOPE).parquet(path)
 
 

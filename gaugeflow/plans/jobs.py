@@ -24,14 +24,32 @@ SCORED = [S.TIME, "label", "margin", "probability", "prediction"]
 def publish(
     messages: DataFrame, fmt: str = "kafka", path: str | None = None, **options: str
 ) -> None:
-    """Write `topic, key, value` messages; the topic column routes each row."""
+    """Write `topic, key, value` messages; the topic column routes each row.
+
+    A broker gives each message its place. Where a table stands in for it, rows
+    without a place get the number of their task and their position in it.
+    """
     if fmt == "kafka":
         messages.select("topic", "key", "value").write.format(fmt).options(**options).save()
         return
-    writer = messages.write.format(fmt).mode("overwrite").options(**options)
+    placed = messages if "offset" in messages.columns else _placed(messages)
+    writer = placed.write.format(fmt).mode("overwrite").options(**options)
     writer.partitionBy("topic").save(path)
 
 
+def _placed(messages: DataFrame) -> DataFrame:
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return messages.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        "topic",
+        F.spark_partition_id().alias("partition"),
+        position.alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
 def consume(
     messages: DataFrame, console: sinks.Sink, store: sinks.Sink, checkpoint: str
 ) -> DataStreamWriter:

@@ -10,6 +10,7 @@ from gaugeflow.functions.draws import HashedDraws
 from gaugeflow.operators import decode, synth
 from gaugeflow.plans import jobs
 from gaugeflow.sources.endpoint_config import packaged_config
+from gaugeflow.sources.messages import Subscription, message_scan
 from gaugeflow.streaming import runs, sinks
 
 N = 60_000
@@ -110,9 +111,11 @@ def test_generated_stream(spark, config, tmp_path):
 
 def test_published_messages_are_routed_by_topic(spark, config, tmp_path):
     path = str(tmp_path / "published")
-    both = synth.generate(spark, 20, config, "a").unionByName(
-        synth.generate(spark, 30, config, "b")
+    both = synth.generate(spark, 20, config, "a", partitions=2).unionByName(
+        synth.generate(spark, 30, config, "b", partitions=3)
     )
     jobs.publish(both, "parquet", path)
-    counts = spark.read.parquet(path).groupBy("topic").count().collect()
-    assert {r.topic: r["count"] for r in counts} == {"a": 20, "b": 30}
+    rows = message_scan(spark, Subscription(("b",)), "parquet", path).collect()
+    assert len(rows) == 30
+    assert len({(r.partition, r.offset) for r in rows}) == 30
+    assert {r.key.decode() for r in rows} == {str(i) for i in range(30)}
