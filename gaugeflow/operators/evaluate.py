@@ -43,6 +43,8 @@ def hard_label_auc(predictions: DataFrame) -> DataFrame:
 def score_auc(scored: DataFrame, score: str, buckets: int | None = None) -> DataFrame:
     """Exact area under the curve of a score, ties counted half; one row.
 
+    Rows without a score are left out, as they have no rank.
+
     Rows are first added up by score, which tames frequent scores. The distinct
     scores are then cut into ranges of about equal size, so the running sum is
     taken range by range in parallel. Cuts only balance the work; any cuts give

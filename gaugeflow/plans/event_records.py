@@ -13,6 +13,7 @@ from gaugeflow import schemas as S
 from gaugeflow.functions import records
 from gaugeflow.operators import decode, synth
 from gaugeflow.sources.endpoint_config import EndpointConfig
+from gaugeflow.sources.messages import bounded_files
 
 EVENTS = T.StructType(
     [
@@ -26,8 +27,6 @@ EVENTS = T.StructType(
 )
 TOPIC_NAME = "epd01"
 PARTITIONS = 4
-# Input of one micro-batch at most; whatever a batch holds in memory stays below it.
-BATCH_BYTES = 1 << 40
 
 
 class EventDraws:
@@ -50,8 +49,7 @@ def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
 
     The pattern in the path lets the table be one file or a folder.
     """
-    bounded = {"maxBytesPerTrigger": str(BATCH_BYTES), **options}
-    reader = spark.readStream.schema(EVENTS).options(**bounded)
+    reader = spark.readStream.schema(EVENTS).options(**bounded_files(options))
     return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 

@@ -22,6 +22,10 @@ FROM_EARLIEST, FROM_LATEST = -2, -1
 # A topic partition becomes one task unless it is cut; one partition may hold
 # a third of a topic.
 RECORDS_PER_TASK = 1_000_000
+# What a micro-batch takes in at most, so that whatever it holds in memory, and
+# whatever a failed one repeats, stays small against the whole.
+RECORDS_PER_BATCH = 1_000_000_000
+BYTES_PER_BATCH = 1 << 40
 
 Offsets = Mapping[str, Mapping[int, int]]
 Position = str | Offsets
@@ -51,7 +55,9 @@ class Subscription:
             "startingOffsets": _kafka_position(self.start),
             "maxRecordsPerPartition": str(RECORDS_PER_TASK),
         }
-        if not streaming:
+        if streaming:
+            options["maxOffsetsPerTrigger"] = str(RECORDS_PER_BATCH)
+        else:
             options["endingOffsets"] = _kafka_position(self.end)
         return options
 
@@ -98,6 +104,13 @@ def _kafka_position(position: Position) -> str:
     return json.dumps(named, sort_keys=True)
 
 
+def bounded_files(options: Mapping[str, str]) -> dict[str, str]:
+    """Options of a file stream, with a bound on its batches if they have none."""
+    if {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        return dict(options)
+    return {**options, "maxBytesPerTrigger": str(BYTES_PER_BATCH)}
+
+
 def message_stream(
     spark: SparkSession,
     subscription: Subscription,
@@ -107,15 +120,16 @@ def message_stream(
 ) -> DataFrame:
     """Messages as a stream.
 
-    Bound the size of a micro-batch with `maxOffsetsPerTrigger` for Kafka, or
-    `maxFilesPerTrigger` or `maxBytesPerTrigger` for an envelope table.
+    Another bound for micro-batches can be given as `maxOffsetsPerTrigger` for
+    Kafka, or `maxFilesPerTrigger` or `maxBytesPerTrigger` for an envelope table.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         return reader.options(**subscription.kafka_options(streaming=True)).options(**options).load()
     if subscription.start == LATEST:
         raise ValueError("a stream over a table starts at its first file")
-    return reader.schema(ENVELOPE).options(**options).load(path).where(subscription.selected())
+    files = reader.schema(ENVELOPE).options(**bounded_files(options)).load(path)
+    return files.where(subscription.selected())
 
 
 def message_scan(

@@ -34,6 +34,8 @@ class TableSink:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         writer = batch.write.format(self.fmt).mode("overwrite").options(**self.options)
+        # The whole folder is replaced, whatever the session says about partitions.
+        writer = writer.option("partitionOverwriteMode", "static")
         writer.partitionBy(*self.partition_by).save(f"{self.path}/batch={batch_id}")
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -8,7 +8,12 @@ from sample import messages, text
 from gaugeflow import schemas as S
 from gaugeflow.plans import event_records as er
 from gaugeflow.sources import documents
-from gaugeflow.sources.messages import Subscription, message_scan, message_stream
+from gaugeflow.sources.messages import (
+    Subscription,
+    bounded_files,
+    message_scan,
+    message_stream,
+)
 from gaugeflow.streaming import runs, sinks
 
 
@@ -18,12 +23,19 @@ def test_kafka_options():
         "subscribe": "a,b",
         "startingOffsets": "earliest",
         "maxRecordsPerPartition": "1000000",
+        "maxOffsetsPerTrigger": "1000000000",
     }
     part = Subscription(("a",), start={"a": {0: 5, 1: -2}}, end={"a": {0: 9, 1: -1}})
     options = part.kafka_options(streaming=False)
     assert json.loads(options["startingOffsets"]) == {"a": {"0": 5, "1": -2}}
     assert json.loads(options["endingOffsets"]) == {"a": {"0": 9, "1": -1}}
     assert "endingOffsets" not in part.kafka_options(streaming=True)
+    assert "maxOffsetsPerTrigger" not in options
+
+
+def test_file_streams_are_bounded_once():
+    assert bounded_files({}) == {"maxBytesPerTrigger": str(1 << 40)}
+    assert bounded_files({"maxFilesPerTrigger": "1"}) == {"maxFilesPerTrigger": "1"}
 
 
 def test_impossible_subscriptions(spark, tmp_path):

@@ -59,6 +59,25 @@ def test_a_batch_written_again_replaces_itself(spark, place):
     assert _archived(spark, sink) == [(0, 0), (1, 0), (2, 0), (3, 1)]
 
 
+def test_a_batch_is_replaced_whole_whatever_the_session_says(spark, place):
+    sink = sinks.TableSink(place.out, partition_by=("status",))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sink.write(decode.archive_rows(messages(spark, [text(), "x"])), 0)
+        sink.write(decode.archive_rows(messages(spark, [text()])), 0)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert _archived(spark, sink) == [(0, 0)]
+
+
+def test_an_archive_needs_no_shuffle(spark, place, plan_of):
+    _arrive(spark, place, [text()])
+    stored = spark.read.schema(S.ENVELOPE).parquet(place.source)
+    plan = plan_of(decode.archive_rows(stored))
+    for operator in ("Exchange", "Python", "Sort", "UDF"):
+        assert operator not in plan
+
+
 def test_a_failed_batch_is_taken_up_again(spark, place):
     _arrive(spark, place, [text()] * 4)
     sink = sinks.TableSink(place.out)
