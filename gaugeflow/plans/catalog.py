@@ -192,10 +192,9 @@ def record_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.work_folder(spark, "score")
     stream = _message_stream(spark, sf_dir, noise=True)
-    schema = jobs.scored_messages(stream, FIXED, CONFIG).schema
     path, checkpoint = f"{folder}/scored", f"{folder}/checkpoint"
     runs.run_available(jobs.score(stream, FIXED, CONFIG, path, checkpoint))
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

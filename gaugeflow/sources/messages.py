@@ -36,7 +36,8 @@ class Subscription:
     """Topics, the first offset to read, and for a scan the offset to stop before.
 
     A position is `earliest`, `latest`, or offsets by topic and partition, where
-    -2 stands for earliest and -1 for latest.
+    -2 stands for earliest and -1 for latest. On a table, partitions that are not
+    listed are read whole; Kafka wants every partition listed.
     """
 
     topics: tuple[str, ...]
