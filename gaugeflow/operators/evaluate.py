@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import session
+from gaugeflow.functions import sql
 
 
 def evaluator_auc(predictions: DataFrame, score: str = "rawPrediction", bins: int = 1000) -> float:
@@ -90,8 +91,11 @@ def score_auc(scored: DataFrame, score: str, buckets: int | None = None) -> Data
 
 def _ranges(by_score: DataFrame, buckets: int) -> DataFrame:
     """Add the number of the range that holds the score; at most `buckets` ranges."""
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = by_score.agg(F.percentile_approx("score", shares, 10 * buckets)).first()[0]
+    if buckets < 2:
+        return by_score.withColumn("range", F.lit(0.0))
+    shares = ", ".join(sql.double(i / buckets) for i in range(1, buckets))
+    cut = F.expr(f"percentile_approx(score, array({shares}), {10 * buckets})")
+    cuts = by_score.agg(cut).first()[0]
     splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
     if len(splits) < 3:
         return by_score.withColumn("range", F.lit(0.0))

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME = {
-    # Generated methods beyond 8000 bytes are never compiled by the JVM and run ten
-    # times slower; below this limit Spark splits such projections into small methods.
+    # Generated methods beyond 8000 bytes are never compiled by the JVM and run two to
+    # five times slower; with this limit Spark splits such projections into small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Tables partitioned by status, part or topic have few values per task. With a
     # writer for each of them open, a task need not sort its rows before writing.
