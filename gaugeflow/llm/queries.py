@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.llm import packing, token_files
+from gaugeflow.llm import chat_format, packing, token_files, url_templates
 from gaugeflow.llm.tables import load, tuned
 
 
@@ -21,14 +22,61 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_digests(token_files.read_shards(spark, path))
 
 
+#: The conversation that the contract adds: its texts are control strings of another template.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    messages = rows.unionByName(added).withColumn("parts", chat_format.text_parts(F.col("text")))
+    return chat_format.digests(session.stage(chat_format.format_conversations(messages), "chat"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
 
 
+#: (host, path) of the contract, in its order.
+URL_RULES = [
+    url_templates.Rule("com", "/", "allow"),
+    url_templates.Rule("example.com", "/en/", "block"),
+    url_templates.Rule("www.example.com", "/en/", "allow"),
+    url_templates.Rule("net", "/es/", "block"),
+    url_templates.Rule("net", "/fr/", "block"),
+]
+
+
+def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(load(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
     name: tuned(query) for name, query in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
 
 
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), escaped AS (
+    SELECT *, regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS role_out,
+        regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS text_out
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+    sum(length('<|turn|><|text|><|end|>') + length(role_out) + length(text_out))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_format": CHAT_SQL}
