@@ -6,9 +6,8 @@ wildcard if its branch of the host's tree has many children and it holds but a s
 of the branch, counted over all URLs; this is done level by level. Below the first LEVELS
 segments a path is not told apart. Sibling leaves of a host whose share of rejected labels
 does not differ by more than chance (a two-proportion test) are merged and pool their labels.
-A template is blocked if its share of rejected labels, smoothed towards the share over
-all labelled URLs, is beyond a limit. A template without labels is allowed unless the
-share of all is beyond the limit.
+A template is blocked if its share of rejected labels, smoothed towards a low prior share,
+is beyond a limit; so one without labels, or with a few, is allowed.
 
 The longest fitting rule decides first. A rule fits its host and all subdomains, if the
 path begins with the rule's. Of rules of one length, the one that blocks wins.
@@ -26,11 +25,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow import session
+
 LEVELS = 4
 MANY_CHILDREN = 20
 SMALL_SHARE = 0.05
 SAME_Z = 1.96
-SMOOTHING = 10.0
+PRIOR = 0.2
+SMOOTHING = 4.0
 LIMIT = 0.5
 #: Segments that are variable by their look.
 VARIABLE = r"[0-9]|^[0-9A-Fa-f-]{16,}$"
@@ -70,7 +72,7 @@ def path_templates(paths: DataFrame) -> DataFrame:
     """host, path, template for distinct (host, path, n), with rare segments as wildcards."""
     cut = F.slice(F.split(F.regexp_replace("path", "^/", ""), "/"), 1, LEVELS)
     segments = F.transform(cut, lambda s: F.when(s.rlike(VARIABLE), F.lit("*")).otherwise(s))
-    shapes = paths.select("host", "path", "n", segments.alias("segments"))
+    shapes = session.stage(paths.select("host", "path", "n", segments.alias("segments")), "url-shapes")
     # Paths of one shape go on as one row.
     tree = (
         shapes.groupBy("host", "segments").agg(F.sum("n").alias("n")).select("*", F.col("segments").alias("template"))
@@ -89,9 +91,10 @@ def path_templates(paths: DataFrame) -> DataFrame:
             .select("host", "branch", "here", F.lit(True).alias("rare"))
         )
         wild = F.concat(branch, F.array(F.lit("*")), F.slice("template", level + 2, LEVELS))
-        tree = at.join(rare, ["host", "branch", "here"], "left").select(
+        wider = at.join(rare, ["host", "branch", "here"], "left").select(
             "host", "segments", "n", F.when(F.col("rare"), wild).otherwise(F.col("template")).alias("template")
         )
+        tree = session.stage(wider, "url-tree")
     return shapes.select("host", "path", "segments").join(
         tree.select("host", "segments", "template"), ["host", "segments"]
     ).select("host", "path", "template")
@@ -99,9 +102,6 @@ def path_templates(paths: DataFrame) -> DataFrame:
 
 def template_verdicts(labelled: DataFrame) -> DataFrame:
     """host, template, verdict from (host, template, n_bad, n_labelled), one row per template."""
-    share = labelled.agg(
-        F.coalesce(F.try_divide(F.sum("n_bad"), F.sum("n_labelled")), F.lit(0.0)).alias("all_bad")
-    )
     branch = F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0)))
     leaves = labelled.select("*", branch.alias("branch"))
     sums = leaves.groupBy("host", "branch").agg(F.sum("n_bad").alias("bad"), F.sum("n_labelled").alias("of"))
@@ -109,7 +109,9 @@ def template_verdicts(labelled: DataFrame) -> DataFrame:
     own = F.try_divide("n_bad", "n_labelled")
     spread = F.sqrt(F.try_divide(p * (1 - p), F.col("n_labelled")))
     alike = (F.col("n_labelled") > 0) & (F.abs(own - p) <= F.lit(SAME_Z) * spread)
-    seen = leaves.join(sums, ["host", "branch"]).withColumn("alike", F.coalesce(alike, F.lit(False)))
+    seen = session.stage(
+        leaves.join(sums, ["host", "branch"]).withColumn("alike", F.coalesce(alike, F.lit(False))), "url-leaves"
+    )
     pooled = (
         seen.where("alike")
         .groupBy("host", "branch")
@@ -117,10 +119,9 @@ def template_verdicts(labelled: DataFrame) -> DataFrame:
     )
     bad = F.when(F.col("alike"), F.col("pool_bad")).otherwise(F.col("n_bad"))
     of = F.when(F.col("alike"), F.col("pool_of")).otherwise(F.col("n_labelled"))
-    purity = (bad + F.lit(SMOOTHING) * F.col("all_bad")) / (of + F.lit(SMOOTHING))
+    purity = (bad + F.lit(SMOOTHING * PRIOR)) / (of + F.lit(SMOOTHING))
     return (
         seen.join(pooled, ["host", "branch"], "left")
-        .join(F.broadcast(share))  # one row
         .select("host", "template", purity.alias("bad_share"), F.when(purity > LIMIT, "block").otherwise("allow").alias("verdict"))
     )
 
@@ -144,7 +145,8 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None)
         F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad"),
         F.count("bad").alias("n_labelled"),
     )
-    templates = path_templates(paths)
+    paths = session.stage(paths, "url-paths")
+    templates = session.stage(path_templates(paths), "url-templates")
     counts = (
         templates.join(paths, ["host", "path"])
         .groupBy("host", "template")
