@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.llm import chat_format, packing, token_files, url_templates
-from gaugeflow.llm.tables import load, tuned
+from gaugeflow.llm import chat_format, packing, quality_rules, token_files, toxicity, url_templates
+from gaugeflow.llm.tables import held_out, load, tuned
 
 
 def _tokenizer(name: str) -> str:
@@ -36,10 +36,28 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(session.stage(chat_format.format_conversations(messages), "chat"))
 
 
+#: A document with this score or more is toxic.
+TOXIC_SCORE = 0.3
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    labels = load(spark, sf_dir, "labels").where(~held_out())
+    model = toxicity.fit(docs, labels)
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.score("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_SCORE).cast("int"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    labels = load(spark, sf_dir, "labels").where(~held_out())
+    return quality_rules.judge(docs, quality_rules.fit(docs, labels))
+
+
 #: (host, path) of the contract, in its order.
 URL_RULES = [
     url_templates.Rule("com", "/", "allow"),

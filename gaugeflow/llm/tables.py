@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,18 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def bounded_sample(rows: DataFrame, by: str, most: int, key: str = "doc_id") -> DataFrame:
+    """At most `most` rows of each class, the same ones whatever the partitioning.
+
+    Only about twice as many rows as are kept are ordered within a class.
+    """
+    counts = rows.groupBy(by).agg(F.count("*").alias("_of_class"))
+    share = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 20)) / float(1 << 20)
+    near = rows.join(counts, by).where(share <= F.lit(2.0 * most) / F.col("_of_class"))
+    order = Window.partitionBy(by).orderBy(F.xxhash64(F.col(key), F.lit(7)), key)
+    return near.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= most).select(*rows.columns)
+
+
 def per_batch(
     rows: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
