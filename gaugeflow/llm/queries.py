@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.llm import chat_format, packing, quality_rules, token_files, toxicity, url_templates
+from gaugeflow.llm import (
+    chat_format,
+    html_text,
+    language_id,
+    packing,
+    quality_rules,
+    token_files,
+    toxicity,
+    url_templates,
+)
 from gaugeflow.llm.tables import held_out, load, tuned
 
 
@@ -58,6 +67,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, labels))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(load(spark, sf_dir, "pages"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~held_out()))
+    named = docs.select("doc_id", held_out().alias("held_out"), language_id.identify("text", model).alias("named"))
+    return named.select("doc_id", "held_out", "named.lang_pred", "named.score")
+
+
 #: (host, path) of the contract, in its order.
 URL_RULES = [
     url_templates.Rule("com", "/", "allow"),
