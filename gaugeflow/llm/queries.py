@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow import session
 from gaugeflow.llm import (
     chat_format,
+    decontamination,
     html_text,
     language_id,
     packing,
@@ -92,6 +93,13 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(load(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("item_ids", 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUERIES = {
     name: tuned(query) for name, query in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
@@ -116,5 +124,32 @@ FROM escaped GROUP BY conv_id
 """
 
 
+DECONTAMINATION_SQL = r"""
+WITH said AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+    FROM items, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+    FROM said, sizes, unnest(range(1, len(w) - size + 2)) AS u(i) WHERE len(w) >= size
+), hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, win)),
+marked AS (SELECT DISTINCT doc_id, j FROM hits, unnest(range(i, i + size)) AS u(j)),
+n AS (SELECT doc_id, count(*) AS n_hit FROM marked GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM said LEFT JOIN n USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": CHAT_SQL}
+    return {"op2_chat_format": CHAT_SQL, "op10_decontamination": DECONTAMINATION_SQL}
