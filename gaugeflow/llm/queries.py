@@ -10,6 +10,7 @@ from gaugeflow.llm import (
     chat_format,
     decontamination,
     html_text,
+    jaccard_join,
     language_id,
     packing,
     quality_rules,
@@ -79,6 +80,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "named.lang_pred", "named.score")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.jaccard_join(load(spark, sf_dir, "documents"), size=3, num=90, den=100)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 #: (host, path) of the contract, in its order.
 URL_RULES = [
     url_templates.Rule("com", "/", "allow"),
