@@ -310,8 +310,30 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return session.stage(known.unionByName(fresh), "merged")
 
 
+def repeats(joined: DataFrame) -> DataFrame:
+    """(doc_id, k, keep) for all rows that repeat others: of each group one document stays.
+
+    It is the one with the smallest doc_id, then text key; rows equal in both appear
+    once, with keep true where one of them is to stay.
+    """
+    grouped = joined.where("group IS NOT NULL").groupBy("group", "doc_id", "k").agg(F.count("*").alias("n"))
+    grouped = session.stage(grouped, "grouped-rows")
+    best = grouped.groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("k"))).alias("best"),
+        F.sum("n").alias("rows"),
+    )
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("k") == F.col("best.k"))
+    return (
+        grouped.join(best.where("rows > 1"), "group")
+        .where(~stays | (F.col("n") > 1))
+        .select("doc_id", "k", stays.alias("keep"))
+    )
+
+
 def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, k, n_shingles, set_name and component_id, a row per document.
+    """doc_id, k, n_shingles, group and component_id, a row per document.
+
+    group names the component whatever ids its documents have; it is null for empty sets.
 
     Sets link if den * intersection >= num * union.
     """
@@ -328,9 +350,13 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
         )
     smallest = placed.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     joined = placed.join(smallest, "c").select(
-        "doc_id", "k", F.col("n").alias("n_shingles"), F.col("name").alias("set_name"), "component_id"
+        "doc_id", "k", F.col("n").alias("n_shingles"), F.col("c").alias("group"), "component_id"
     )
     empty = rows.where("n = 0").select(
-        "doc_id", "k", F.col("n").alias("n_shingles"), F.col("name").alias("set_name"), F.col("doc_id").alias("component_id")
+        "doc_id",
+        "k",
+        F.col("n").alias("n_shingles"),
+        F.lit(None).cast("bigint").alias("group"),
+        F.col("doc_id").alias("component_id"),
     )
     return joined.unionByName(empty)

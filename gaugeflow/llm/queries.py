@@ -21,7 +21,7 @@ from gaugeflow.llm import (
 from gaugeflow.llm.tables import held_out, load, tuned
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -29,7 +29,7 @@ def _tokenizer(name: str) -> str:
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{session.work_folder(spark, 'token-files')}/shards"
-    token_files.write_shards(load(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"))
+    token_files.write_shards(load(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"))
     return token_files.document_digests(token_files.read_shards(spark, path))
 
 
@@ -60,7 +60,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
+    return packing.pack(load(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=2048)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

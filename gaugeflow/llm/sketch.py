@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeflow.llm.tables import text_key
+
 BITS = 21
 SLICE = 512
 
@@ -27,6 +29,35 @@ def bitmap(rows: DataFrame, column: str) -> np.ndarray:
     return out
 
 
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents but those named by rows (doc_id, k, keep); where keep is true, one of them stays.
+
+    Documents outside a filter of fixed size over the names are passed on where they are;
+    only the others are joined.
+    """
+    name = F.xxhash64("doc_id", "k")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(rows.select(name.alias("h")), "h"))
+
+    @F.arrow_udf("boolean")
+    def met(hashes: pa.Array) -> pa.Array:
+        return pa.array(wanted.value[buckets(hashes.to_numpy(zero_copy_only=False))])
+
+    own = {x: f"__{i}" for i, x in enumerate(("key", "met", "id", "k", "keep", "row"))}
+    keyed = docs.withColumn(own["key"], text_key())
+    keyed = keyed.withColumn(own["met"], met(F.xxhash64(F.col("doc_id"), F.col(own["key"]))))
+    named = rows.select(
+        F.col("doc_id").alias(own["id"]), F.col("k").alias(own["k"]), F.col("keep").alias(own["keep"])
+    ).distinct()
+    order = Window.partitionBy("doc_id", own["key"], own["keep"]).orderBy(own["key"])
+    joined = keyed.where(own["met"]).join(
+        named, F.col("doc_id").eqNullSafe(F.col(own["id"])) & (F.col(own["key"]) == F.col(own["k"])), "left"
+    )
+    kept = joined.withColumn(own["row"], F.row_number().over(order)).where(
+        F.col(own["keep"]).isNull() | (F.col(own["keep"]) & (F.col(own["row"]) == 1))
+    )
+    return keyed.where(~F.col(own["met"])).select(*docs.columns).unionByName(kept.select(*docs.columns))
+
+
 def counter_rows(counts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """Counts of 16 bits in slices; slices without any count are left out."""
     table = counts.reshape(-1, SLICE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -49,11 +50,12 @@ def per_batch(
     return rows.mapInArrow(each, schema)
 
 
-def tuned(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def tuned(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Keep Arrow batches small, since single texts can be very long."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @functools.wraps(query)
+    def run(spark: SparkSession, *given) -> DataFrame:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-        return query(spark, sf_dir)
+        return query(spark, *given)
 
     return run
