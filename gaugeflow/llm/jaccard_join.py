@@ -8,7 +8,8 @@ inequality tells them apart. The space is therefore first cut by the simplest pi
 are, sets of one shingle: a set has a distance below 1 from just those of its own shingles.
 Its home is its rarest shingle, and it is replicated to the regions of as many of the
 next rarest as the radius asks for: sets within the radius share one of these. Regions of
-the same sets count once. Rarity is counted over all documents in buckets of fixed number; it
+the same sets count once. In a region, the place of its shingle in the order of a set bounds
+what two sets can have in common, and keeps far sets from being compared. Rarity is counted over all documents in buckets of fixed number; it
 only balances regions, any order is exact.
 
 Regions of more than LEAF sets are joined recursively. Some of their sets become pivots and
@@ -108,13 +109,13 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den: int) -> DataFrame:
-    """(region, name, n): each set once per task with the shingles whose regions it is in."""
+    """(region, name, n, pos): each set once per task with the shingles whose regions it is in."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, done = shared.value, set()
         for batch in batches:
-            region, name, sizes, lengths = [], [], [], []
+            region, name, sizes, lengths, pos = [], [], [], [], []
             for values in shingle_sets(batch.column("text"), size):
                 own = set_name(values)
                 if not len(values) or own in done:
@@ -128,21 +129,26 @@ def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den
                 name.append(own)
                 sizes.append(len(values))
                 lengths.append(len(kept))
+                pos.append(np.arange(len(kept)))
             if region:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(region).view(np.int64)),
                         pa.array(np.repeat(np.array(name, np.int64), lengths)),
                         pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
+                        pa.array(np.concatenate(pos), pa.int32()),
                     ],
-                    ["region", "name", "n"],
+                    ["region", "name", "n", "pos"],
                 )
 
-    return docs.select("text").mapInArrow(send, "region bigint, name bigint, n bigint")
+    return docs.select("text").mapInArrow(send, "region bigint, name bigint, n bigint, pos int")
 
 
 def _regions(homes: DataFrame) -> DataFrame:
-    """(region, name, n) of the regions of two sets or more, one region of those with equal sets."""
+    """(region, name, n, pos) of the regions of two sets or more, one region of those with equal sets.
+
+    Of these it is the one whose shingle comes first in the order.
+    """
     once = homes.repartition("region").dropDuplicates(["region", "name"])
     inside = Window.partitionBy("region")
     met = session.stage(
@@ -154,8 +160,12 @@ def _regions(homes: DataFrame) -> DataFrame:
         ).where("m > 1"),
         "regions",
     )
-    kept = met.where(F.col("name") == F.col("first")).groupBy("m", "who", "first").agg(F.min("region").alias("region"))
-    return session.stage(met.join(kept.select("region"), "region").select("region", "name", "n"), "distinct-regions")
+    kept = met.where(F.col("name") == F.col("first")).groupBy("m", "who", "first").agg(
+        F.min_by("region", "pos").alias("region")
+    )
+    return session.stage(
+        met.join(kept.select("region"), "region").select("region", "name", "n", "pos"), "distinct-regions"
+    )
 
 
 def _bodies(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
@@ -228,8 +238,7 @@ def set_components(docs: DataFrame, size: int, num: int, den: int, levels: np.nd
     members = _regions(_home_shingles(docs, size, levels, num, den))
     if members.isEmpty():
         return None
-    bodies = session.stage(_bodies(docs, size, sketch.bitmap(members, "name")), "bodies")
-    labels, pivots = None, FIRST_PIVOTS
+    bodies, labels, pivots = None, None, FIRST_PIVOTS
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
         if grouped.isEmpty():
@@ -237,6 +246,9 @@ def set_components(docs: DataFrame, size: int, num: int, den: int, levels: np.nd
         x, y = grouped.alias("x"), grouped.alias("y")
         # Neither of two linked sets is larger than the other by more than the radius allows.
         alike = (den * F.col("y.n") >= num * F.col("x.n")) & (den * F.col("x.n") >= num * F.col("y.n"))
+        # Before this shingle they have none in common, so no more than what follows it.
+        rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+        alike &= (num + den) * rest >= num * (F.col("x.n") + F.col("y.n"))
         apart = F.col("x.c") != F.col("y.c")
         small = (
             x.where(f"m <= {LEAF}")
@@ -259,13 +271,16 @@ def set_components(docs: DataFrame, size: int, num: int, den: int, levels: np.nd
         ).distinct()
         pairs = session.stage(pairs, "pairs")
         needed = sketch.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
+        if bodies is None:
+            # Later rounds compare sets of large regions, which are all among these.
+            bodies = session.stage(_bodies(docs, size, needed), "bodies")
         compared = session.stage(_compared(pairs, _within(bodies, needed)), "compared")
         links = compared.where(den * F.col("common") >= num * F.col("either")).select("a", "b")
         labels = _merged(labels, links)
         distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
         both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
         cells = (
-            others.select("region", "name", "n", "m")
+            others.select("region", "name", "n", "pos", "m")
             .join(some.select("region", F.col("name").alias("p")), "region")
             .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"])
             .select("*", F.min("d").over(Window.partitionBy("region", "name")).alias("home"))
@@ -274,9 +289,9 @@ def set_components(docs: DataFrame, size: int, num: int, den: int, levels: np.nd
         cells = session.stage(cells, "cells")
         wide = cells.groupBy("region", "m").agg((F.count("*") > SPREAD * F.col("m")).alias("wide"))
         split = cells.join(wide.where("NOT wide").select("region"), "region").select(
-            F.xxhash64("region", "p").alias("region"), "name", "n"
+            F.xxhash64("region", "p").alias("region"), "name", "n", "pos"
         )
-        whole = others.join(wide.where("wide").select("region"), "region").select("region", "name", "n")
+        whole = others.join(wide.where("wide").select("region"), "region").select("region", "name", "n", "pos")
         members = session.stage(split.unionByName(whole), "members")
         pivots *= MORE_PIVOTS
 
