@@ -13,10 +13,12 @@ what two sets can have in common, and keeps far sets from being compared. Rarity
 only balances regions, any order is exact.
 
 Regions of more than LEAF sets are joined recursively. Some of their sets become pivots and
-are compared with all others, so they are done. Each other set goes to the Voronoi region of
-its nearest pivot, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If
+are compared with all sets of other components, so they are done. Each other set goes to the Voronoi region of
+the nearest of the first pivots, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If
 that would make more than SPREAD times as many rows, the region stays whole and goes on with
-more pivots. A region ends when all its sets are in one component already, and at LEAF
+more pivots. Before sets are
+compared, the parity of their shingles in PARITIES buckets tells how many shingles they
+must at least differ in, which is again a metric that never exceeds the true one. A region ends when all its sets are in one component already, and at LEAF
 sets or fewer its pairs of different components are compared directly. Every comparison is
 of whole sets; no link between sets of different components is missed.
 
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import session
@@ -45,6 +47,8 @@ from gaugeflow.llm.tables import per_batch, text_key
 LEAF = 16
 FIRST_PIVOTS, MORE_PIVOTS = 4, 4
 SPREAD = 1.5
+PARITIES = 512
+PARITY_COLUMNS = [f"h{i}" for i in range(PARITIES // 64)]
 #: Documents after which a task hands over its 16-bit counts.
 COUNTED = 60_000
 
@@ -71,9 +75,16 @@ def set_name(values: np.ndarray) -> int:
     return int(words.mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """For each of PARITIES buckets whether it holds an odd number of the shingles, as 64-bit words."""
+    odd = np.bincount((values >> np.uint64(7)).astype(np.int64) % PARITIES, minlength=PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, k, n, name) of documents and rows (slice, counts) of shingle counts."""
-    shape = "doc_id bigint, k bigint, n bigint, name bigint, slice int, counts binary"
+    """Rows (doc_id, k, n, name, h0, h1, ...) of documents and rows (slice, counts) of shingle counts."""
+    odd = ", ".join(f"{c} bigint" for c in PARITY_COLUMNS)
+    shape = f"doc_id bigint, k bigint, n bigint, name bigint, {odd}, slice int, counts binary"
     names = [x.split()[0] for x in shape.split(", ")]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +94,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             used, raw = sketch.counter_rows(counts)
             none = pa.nulls(len(used), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, none, none, none, pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names
+                [none] * (4 + len(PARITY_COLUMNS)) + [pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names
             )
 
         for batch in batches:
@@ -91,8 +102,13 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             n = pa.array([len(x) for x in sets], pa.int64())
             name = pa.array([set_name(x) for x in sets], pa.int64())
             rows = len(sets)
+            odd = np.array([parities(x) for x in sets], np.int64).reshape(rows, len(PARITY_COLUMNS))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("k"), n, name, pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+                [
+                    batch.column("doc_id"), batch.column("k"), n, name,
+                    *(pa.array(np.ascontiguousarray(x)) for x in odd.T),
+                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                ],
                 names,
             )
             if rows:
@@ -144,10 +160,11 @@ def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den
     return docs.select("text").mapInArrow(send, "region bigint, name bigint, n bigint, pos int")
 
 
-def _regions(homes: DataFrame) -> DataFrame:
+def _regions(homes: DataFrame, num: int, den: int) -> DataFrame:
     """(region, name, n, pos) of the regions of two sets or more, one region of those with equal sets.
 
-    Of these it is the one whose shingle comes first in the order.
+    Of these it is the one whose shingle comes first in the order. A set that cannot link with
+    the smallest set of the region, for the place of the shingle, is left out.
     """
     once = homes.repartition("region").dropDuplicates(["region", "name"])
     inside = Window.partitionBy("region")
@@ -157,14 +174,17 @@ def _regions(homes: DataFrame) -> DataFrame:
             F.count("*").over(inside).alias("m"),
             F.bit_xor(F.xxhash64("name")).over(inside).alias("who"),
             F.min("name").over(inside).alias("first"),
+            F.min("n").over(inside).alias("least"),
         ).where("m > 1"),
         "regions",
     )
     kept = met.where(F.col("name") == F.col("first")).groupBy("m", "who", "first").agg(
         F.min_by("region", "pos").alias("region")
     )
+    smallest = F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))
+    reaches = (num + den) * (F.col("n") - F.col("pos")) >= num * (F.col("n") + smallest)
     return session.stage(
-        met.join(kept.select("region"), "region").select("region", "name", "n", "pos"), "distinct-regions"
+        met.join(kept.select("region"), "region").where(reaches).select("region", "name", "n", "pos"), "distinct-regions"
     )
 
 
@@ -232,66 +252,89 @@ def _grouped(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(open_, "region")
 
 
-def set_components(docs: DataFrame, size: int, num: int, den: int, levels: np.ndarray) -> DataFrame | None:
+def set_components(
+    docs: DataFrame, size: int, num: int, den: int, levels: np.ndarray, parity: DataFrame
+) -> DataFrame | None:
     """(v, c) for every set that links with another one: c names the component."""
     radius = 1 - num / den
-    members = _regions(_home_shingles(docs, size, levels, num, den))
+    members = _regions(_home_shingles(docs, size, levels, num, den), num, den)
     if members.isEmpty():
         return None
+    once = parity.groupBy("name").agg(*(F.first(c).alias(c) for c in PARITY_COLUMNS))
+    members = session.stage(members.join(once, "name"), "members")
+    kept = ["name", "n", "pos", *PARITY_COLUMNS]
     bodies, labels, pivots = None, None, FIRST_PIVOTS
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
         if grouped.isEmpty():
             return labels
         x, y = grouped.alias("x"), grouped.alias("y")
-        # Neither of two linked sets is larger than the other by more than the radius allows.
-        alike = (den * F.col("y.n") >= num * F.col("x.n")) & (den * F.col("x.n") >= num * F.col("y.n"))
-        # Before this shingle they have none in common, so no more than what follows it.
-        rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-        alike &= (num + den) * rest >= num * (F.col("x.n") + F.col("y.n"))
+
+        def may_link(a: str, b: str) -> Column:
+            """Linked sets are of like size, differ in few shingles, and share none before this one."""
+            n_a, n_b, pos_a, pos_b = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (a, b))
+            sizes = (den * n_b >= num * n_a) & (den * n_a >= num * n_b)
+            differ = sum(F.bit_count(F.col(f"{a}.{h}").bitwiseXOR(F.col(f"{b}.{h}"))) for h in PARITY_COLUMNS)
+            sizes &= (num + den) * differ <= (den - num) * (n_a + n_b)
+            return sizes & ((num + den) * F.least(n_a - pos_a, n_b - pos_b) >= num * (n_a + n_b))
+
         apart = F.col("x.c") != F.col("y.c")
         small = (
             x.where(f"m <= {LEAF}")
             .join(y, F.col("x.region") == F.col("y.region"))
-            .where((F.col("x.name") < F.col("y.name")) & alike & apart)
+            .where((F.col("x.name") < F.col("y.name")) & may_link("x", "y") & apart)
             .select(F.col("x.name").alias("a"), F.col("y.name").alias("b"))
         )
-        ranked = grouped.where(f"m > {LEAF}").select(
-            "*", F.row_number().over(Window.partitionBy("region").orderBy("name")).alias("row")
+        # Sets in many regions stand in the middle of their likes; sets in large components
+        # have the fewest others to be compared with.
+        wide_open = grouped.where(f"m > {LEAF}")
+        degree = wide_open.groupBy("name").agg(F.count("*").alias("degree"))
+        of_own = F.count("*").over(Window.partitionBy("region", "c"))
+        ranked = wide_open.withColumn("of_own", of_own).join(degree, "name")
+        first = Window.partitionBy("region").orderBy("of_own", F.desc("degree"), "name")
+        large = session.stage(
+            ranked.select("region", *kept, "c", "m", F.row_number().over(first).alias("row")), "large"
         )
-        large = session.stage(ranked, "large")
         some = large.where(F.col("row") <= pivots)
         others = large.where(F.col("row") > pivots)
-        # Pivots are compared with all sets of the region, so that distances are known.
-        by_pivot = some.select("region", F.col("name").alias("a")).join(
-            large.select("region", F.col("name").alias("b")), "region"
+        by_pivot = (
+            some.alias("p")
+            .join(large.alias("o"), F.col("p.region") == F.col("o.region"))
+            .where((F.col("p.c") != F.col("o.c")) & may_link("p", "o"))
+            .select(F.col("p.name").alias("a"), F.col("o.name").alias("b"))
         )
         pairs = small.unionByName(
-            by_pivot.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            by_pivot.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         ).distinct()
         pairs = session.stage(pairs, "pairs")
-        needed = sketch.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("v"))
         if bodies is None:
-            # Later rounds compare sets of large regions, which are all among these.
-            bodies = session.stage(_bodies(docs, size, needed), "bodies")
-        compared = session.stage(_compared(pairs, _within(bodies, needed)), "compared")
+            # Later rounds compare no sets but those of the large regions.
+            ever = sketch.bitmap(ends.unionByName(large.select(F.col("name").alias("v"))), "v")
+            bodies = session.stage(_bodies(docs, size, ever), "bodies")
+        compared = session.stage(_compared(pairs, _within(bodies, sketch.bitmap(ends, "v"))), "compared")
+        if compared.count() != pairs.count():
+            raise RuntimeError("sets to be compared are missing")
         links = compared.where(den * F.col("common") >= num * F.col("either")).select("a", "b")
         labels = _merged(labels, links)
         distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
         both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+        # A distance that is not known is inside a component or of sets that cannot link; such
+        # a set goes to that cell as well.
+        near = F.col("d").isNull() | (F.col("d") <= F.col("home") + 2 * radius + 1e-9)
         cells = (
-            others.select("region", "name", "n", "pos", "m")
-            .join(some.select("region", F.col("name").alias("p")), "region")
-            .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"])
+            others.select("region", *kept, "m")
+            .join(large.where(F.col("row") <= FIRST_PIVOTS).select("region", F.col("name").alias("p")), "region")
+            .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"], "left")
             .select("*", F.min("d").over(Window.partitionBy("region", "name")).alias("home"))
-            .where(F.col("d") <= F.col("home") + 2 * radius + 1e-9)
+            .where(near)
         )
         cells = session.stage(cells, "cells")
         wide = cells.groupBy("region", "m").agg((F.count("*") > SPREAD * F.col("m")).alias("wide"))
         split = cells.join(wide.where("NOT wide").select("region"), "region").select(
-            F.xxhash64("region", "p").alias("region"), "name", "n", "pos"
+            F.xxhash64("region", "p").alias("region"), *kept
         )
-        whole = others.join(wide.where("wide").select("region"), "region").select("region", "name", "n", "pos")
+        whole = others.join(wide.where("wide").select("region"), "region").select("region", *kept)
         members = session.stage(split.unionByName(whole), "members")
         pivots *= MORE_PIVOTS
 
@@ -355,7 +398,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     survey = session.stage(_survey(docs, size), "survey")
     rows = survey.where("slice IS NULL").select("doc_id", "k", "n", "name")
     levels = sketch.merged_levels(survey.where("slice IS NOT NULL").select("slice", "counts"))
-    labels = set_components(docs, size, num, den, levels)
+    labels = set_components(docs, size, num, den, levels, survey.where("slice IS NULL AND n > 0"))
     full = rows.where("n > 0")
     if labels is None:
         placed = full.withColumn("c", F.col("name"))
