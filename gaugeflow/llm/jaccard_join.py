@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from gaugeflow import session
 from gaugeflow.llm import sketch, words
 from gaugeflow.llm.components import components
-from gaugeflow.llm.tables import per_batch, text_key
+from gaugeflow.llm.tables import give_back, text_key
 
 LEAF = 16
 FIRST_PIVOTS, MORE_PIVOTS = 4, 4
@@ -115,6 +115,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 held = sketch.buckets(np.concatenate(sets))
                 counts += np.bincount(held, minlength=len(counts)).astype(np.uint16)
             seen += rows
+            give_back()
             if seen + 10_000 > COUNTED:
                 yield handed_over()
                 counts, seen = np.zeros_like(counts), 0
@@ -156,6 +157,7 @@ def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den
                     ],
                     ["region", "name", "n", "pos"],
                 )
+            give_back()
 
     return docs.select("text").mapInArrow(send, "region bigint, name bigint, n bigint, pos int")
 
@@ -207,6 +209,7 @@ def _bodies(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
                     [pa.array(name, pa.int64()), pa.array(n, pa.int64()), pa.array(body, pa.binary())],
                     ["name", "n", "body"],
                 )
+            give_back()
 
     return docs.select("text").mapInArrow(send, "name bigint, n bigint, body binary").dropDuplicates(["name"])
 
@@ -227,7 +230,9 @@ def _compared(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 
     @F.arrow_udf("bigint")
     def common(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(_common(a, b))
+        made = pa.array(_common(a, b))
+        give_back()
+        return made
 
     left = bodies.select(F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("body").alias("body_a"))
     right = bodies.select(F.col("name").alias("b"), F.col("n").alias("n_b"), F.col("body").alias("body_b"))

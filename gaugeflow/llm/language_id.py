@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import words
-from gaugeflow.llm.tables import bounded_sample
+from gaugeflow.llm.tables import bounded_sample, give_back
 
 #: Letters of each language, documents they come from, and bytes of all tables at most.
 SAMPLE_LETTERS, SAMPLE_ROWS, TABLE_BYTES = 20_000, 200, 48 << 20
@@ -216,6 +216,7 @@ def identify(text: Column | str, model: Model) -> Column:
             said = sizes > 0
             lang[said] = np.array(model.languages, object)[best[said]]
             score[said] = share[said]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
     return named(text)

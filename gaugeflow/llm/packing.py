@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.llm.tables import per_batch
+from gaugeflow.llm.tables import give_back, per_batch
 from gaugeflow.llm.tokens import TextEncoder, as_uint32
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -135,6 +135,8 @@ def pieces_of(
             made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
             if made.num_rows:
                 yield made if with_ids else made.select(names[:-1])
+        del encoder
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES_WITH_IDS if with_ids else PIECES)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import words
-from gaugeflow.llm.tables import bounded_sample
+from gaugeflow.llm.tables import bounded_sample, give_back
 
 #: Labelled rows of each kind that a list is learned from.
 SAMPLE_ROWS = 4000
@@ -109,7 +109,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf(STATS)
     def count(text: pa.Array) -> pa.Array:
-        return statistics(text)
+        made = statistics(text)
+        give_back()
+        return made
 
     return docs.select("doc_id", count("text").alias("s")).select("doc_id", "s.*")
 

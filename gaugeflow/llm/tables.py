@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 from collections.abc import Callable, Iterator
 
@@ -36,6 +38,13 @@ def bounded_sample(rows: DataFrame, by: str, most: int, key: str = "doc_id") ->
     return near.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= most).select(*rows.columns)
 
 
+def give_back() -> None:
+    """Return memory that the task has freed to the system; the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def per_batch(
     rows: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
@@ -46,6 +55,7 @@ def per_batch(
             made = work(batch)
             if made is not None and made.num_rows:
                 yield made
+            give_back()
 
     return rows.mapInArrow(each, schema)
 

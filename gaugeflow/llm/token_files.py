@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.tables import per_batch, text_key
+from gaugeflow.llm.tables import give_back, per_batch, text_key
 from gaugeflow.llm.tokens import TextEncoder
 
 MAGIC, VERSION, HEAD = b"IDPK", 1, "<4sHHQII"
@@ -127,6 +127,8 @@ def write_shards(
                     part, held, ids, names, sizes = part + 1, 0, [], [], []
         if names:
             yield made()
+        del encoder
+        give_back()
 
     ranged = (
         docs.select("doc_id", "text", text_key().alias("k"))

@@ -11,7 +11,7 @@ import re
 
 import numpy as np
 
-CACHED_STRETCHES = 800_000
+CACHED_STRETCHES = 500_000
 JOINED_STRETCHES = 2000
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import words
-from gaugeflow.llm.tables import bounded_sample
+from gaugeflow.llm.tables import bounded_sample, give_back
 
 #: Labelled documents of each class, and bytes of text, that a model is fitted on.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32 << 20
@@ -96,7 +96,9 @@ def score(text: Column | str, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
-        return pa.array(score_texts(column, model))
+        made = pa.array(score_texts(column, model))
+        give_back()
+        return made
 
     return scored(text)
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def _byte_table(separators: bytes, lower: bool) -> np.ndarray:
@@ -109,7 +109,7 @@ class Words:
 
 
 def blocks(column: pa.Array, table: np.ndarray) -> Iterator[Words]:
-    """The texts of a column in blocks of a few megabytes; a longer text is a block of its own."""
+    """The texts of a column in blocks of about a megabyte; a longer text is a block of its own."""
     raw, offsets = text_bytes(column)
     first, n = 0, len(offsets) - 1
     while first < n:
