@@ -6,6 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeflow import session
 from gaugeflow.operators import synth
@@ -78,7 +79,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
 def _training_rows(spark: SparkSession, args, options: dict[str, str]) -> DataFrame:
     if args.archive:
-        return documents.scan_collection(spark, "parquet", args.archive)
+        archived = documents.scan_collection(spark, "parquet", args.archive)
+        return archived.where(F.col("topic").isin(args.topic))
     return message_scan(spark, Subscription(tuple(args.topic)), args.format, args.path, **options)
 
 
@@ -89,7 +91,8 @@ def _writer(args, messages: DataFrame, config: endpoint_config.EndpointConfig):
     if args.job == "archive":
         return jobs.run("archive", messages, config, args.out, args.checkpoint)
     store = sinks.TableSink(f"{args.out}/documents")
-    return jobs.consume(messages, sinks.console_sink(), store, args.checkpoint)
+    lines = sinks.TableSink(f"{args.out}/lines")
+    return jobs.consume(messages, lines, store, args.checkpoint)
 
 
 if __name__ == "__main__":

@@ -19,12 +19,37 @@ def text(column: str) -> Column:
     return F.col(column).cast("string").alias(column)
 
 
-def decode(value: Column, schema: T.StructType = S.NAMED_RECORD) -> Column:
-    """Message text as a record; what cannot be read becomes null.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-    Fields outside the schema are dropped, missing fields are null.
+
+def _seal(value: Column) -> Column:
+    return F.xxhash64(value).cast("string")
+
+
+def parsed(value: Column, member: T.DataType) -> Column:
+    """Message text read as the only member of an array, followed by a seal.
+
+    Spark's parser stops after the first document of a text. With an array around the
+    text and a seal behind it, a second document or trailing text is noticed. A key that is
+    repeated counts with its last value.
     """
-    return F.from_json(value, schema)
+    around = T.StructType([T.StructField("d", T.ArrayType(member)), T.StructField("e", T.StringType())])
+    text = F.concat(F.lit('{"d":['), value, F.lit('],"e":"'), _seal(value), F.lit('"}'))
+    return F.from_json(text, around, STRICT)
+
+
+def is_one(read: Column, value: Column) -> Column:
+    """Whether a parsed text is exactly one document."""
+    seal = _seal(value)
+    # Through an array of one, the parsed text is an operand once and so is parsed once.
+    return F.coalesce(
+        F.exists(F.array(read), lambda r: (F.size(r["d"]) == 1) & (r["e"] == seal)), F.lit(False)
+    )
+
+
+def only_member(read: Column, value: Column) -> Column:
+    """The document of a parsed text; null unless the text is exactly one."""
+    return F.when(is_one(read, value), read["d"][0])
 
 
 def document(value: Column) -> Column:

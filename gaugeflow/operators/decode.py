@@ -28,8 +28,10 @@ def decode_values(
     decodes the text once more for every field the filter reads. It does not
     move filters below a generator, so the record passes through one.
     """
-    record = records.decode(F.col("value"), schema)
-    return messages.select("*", F.explode_outer(F.array(record)).alias("data"))
+    read = records.parsed(F.col("value"), schema)
+    once = messages.select("*", F.explode_outer(F.array(read)).alias("_read"))
+    data = records.only_member(F.col("_read"), F.col("value"))
+    return once.select(*messages.columns, data.alias("data"))
 
 
 def extract(decoded: DataFrame) -> DataFrame:
@@ -69,17 +71,19 @@ def encode_levels(flat: DataFrame, config: EndpointConfig) -> DataFrame:
 
 
 def _complete() -> Column:
-    """Whether a record can be scored: a label, and no feature null or NaN."""
+    """Whether a record can be scored: label 0 or 1, no feature null, every reading finite."""
     present = [f"{name} IS NOT NULL" for name in ("label", *S.FEATURES)]
-    numbers = [f"NOT isnan({name})" for name in S.SENSORS]
-    return F.expr(" AND ".join([*present, *numbers]))
+    # NaN is the largest number to Spark, so one comparison covers it as well.
+    finite = [f"abs({name}) < double('Infinity')" for name in S.SENSORS]
+    return F.expr(" AND ".join([*present, "label IN (0, 1)", *finite]))
 
 
 def json_status(value: Column) -> Column:
-    """Why text is not a document; null if it is one."""
+    """Why text is not one document; null if it is. The same rule as for records."""
+    one = records.is_one(records.parsed(value, T.StringType()), value)
     return (
         F.when(records.is_blank(value), BLANK)
-        .when(records.document(value).isNull(), MALFORMED)
+        .when(~one, MALFORMED)
         .when(~records.is_object(value), NOT_OBJECT)
     )
 
@@ -101,16 +105,12 @@ def decode_messages(messages: DataFrame, config: EndpointConfig) -> DataFrame:
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    """Messages with status `ok`.
-
-    Spark's own rule for rows without null or NaN is the same condition, and
-    much quicker to plan than a filter on the status.
-    """
-    return decoded.na.drop(subset=["label", *S.FEATURES]).drop("status", "value")
+    """Messages with status `ok`."""
+    return decoded.where(_complete()).drop("status", "value")
 
 
 def rejected(decoded: DataFrame) -> DataFrame:
-    return decoded.where(~_complete()).select("key", *POSITION, "status", "value")
+    return decoded.where(~F.coalesce(_complete(), F.lit(False))).select("key", *POSITION, "status", "value")
 
 
 def archive_rows(messages: DataFrame) -> DataFrame:

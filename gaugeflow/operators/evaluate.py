@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.functions import sql
 
 
-def evaluator_auc(predictions: DataFrame, score: str = "rawPrediction", bins: int = 1000) -> float:
-    """Spark's evaluator. Its bins make it fast and slightly inexact; 0 turns them off."""
+def evaluator_auc(predictions: DataFrame, score: str = "rawPrediction", bins: int = 0) -> float:
+    """Spark's evaluator. Exact without bins; bins make it faster and slightly inexact."""
     return BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
     ).evaluate(predictions)
@@ -44,24 +40,22 @@ def hard_label_auc(predictions: DataFrame) -> DataFrame:
 def score_auc(scored: DataFrame, score: str, buckets: int | None = None) -> DataFrame:
     """Exact area under the curve of a score, ties counted half; one row.
 
-    Rows without a score are left out, as they have no rank.
+    Rows whose score is null or NaN are left out, as they have no rank. With rows of
+    one label only the area is null.
 
     Rows are first added up by score, which tames frequent scores. The distinct
-    scores are then cut into ranges of about equal size, so the running sum is
-    taken range by range in parallel. Cuts only balance the work; any cuts give
-    the same result.
+    scores are then dealt out by ranges, so the running sum is taken range by
+    range in parallel. Any number of ranges gives the same result.
     """
-    spark = scored.sparkSession
-    if buckets is None:
-        buckets = min(10_000, max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    by_score = session.stage(
-        scored.groupBy(F.col(score).alias("score")).agg(
-            F.count_if(F.col("label") == 1).alias("ones"),
-            F.count_if(F.col("label") == 0).alias("zeros"),
-        ),
-        "auc-scores",
+    known = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    by_score = known.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col("label") == 1).alias("ones"),
+        F.count_if(F.col("label") == 0).alias("zeros"),
     )
-    ranged = _ranges(by_score, buckets)
+    by_score = session.stage(by_score, "auc-scores")
+    dealt = by_score.repartitionByRange(*([buckets] if buckets else []), "score")
+    ranged = session.stage(dealt.withColumn("range", F.spark_partition_id()), "auc-ranges")
+
 
     # At most one row per range from here, whatever the size of the input.
     totals = ranged.groupBy("range").agg(
@@ -88,16 +82,3 @@ def score_auc(scored: DataFrame, score: str, buckets: int | None = None) -> Data
     area = F.try_divide(F.col("w").cast("double"), 2.0 * pairs)
     return summed.select("n_ones", "n_zeros", area.alias("auc"))
 
-
-def _ranges(by_score: DataFrame, buckets: int) -> DataFrame:
-    """Add the number of the range that holds the score; at most `buckets` ranges."""
-    if buckets < 2:
-        return by_score.withColumn("range", F.lit(0.0))
-    shares = ", ".join(sql.double(i / buckets) for i in range(1, buckets))
-    cut = F.expr(f"percentile_approx(score, array({shares}), {10 * buckets})")
-    cuts = by_score.agg(cut).first()[0]
-    splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
-    if len(splits) < 3:
-        return by_score.withColumn("range", F.lit(0.0))
-    bucketizer = Bucketizer(splits=splits, inputCol="score", outputCol="range")
-    return bucketizer.transform(by_score)

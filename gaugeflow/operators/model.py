@@ -31,6 +31,7 @@ def fit(train: DataFrame, training: Training = Training()) -> LogisticRegression
     should not be cached as well.
     """
     return LogisticRegression(
+        family="binomial",
         maxIter=training.max_iter,
         regParam=training.reg_param,
         elasticNetParam=training.elastic_net,

@@ -91,7 +91,7 @@ def event_messages(
 
 def damage(messages: DataFrame) -> DataFrame:
     """The messages with every way to be bad among them, by offset."""
-    kind = F.col("offset") % 16
+    kind = F.col("offset") % 32
     text = F.col("value").cast("string")
     damaged = (
         F.when(kind == 0, F.substring(text, 1, 100))
@@ -101,6 +101,14 @@ def damage(messages: DataFrame) -> DataFrame:
         .when(kind == 4, "[1]")
         .when(kind == 5, '{"Result":1}')
         .when(kind == 6, F.replace(text, F.lit('"cat0":"'), F.lit('"cat0":"un')))
+        .when(kind == 7, F.concat(text, F.lit(" garbage")))
+        .when(kind == 8, F.concat(text, text))
+        .when(kind == 9, F.replace(text, F.lit('"'), F.lit("'")))
+        .when(kind == 10, F.concat(F.lit('{"Result":0,'), F.substring(text, 2, 10_000)))
+        .when(kind == 11, F.replace(text, F.lit('"sensor0":'), F.lit('"sensor0":1e999,"other":')))
+        .when(kind == 12, F.replace(text, F.lit('"sensor0":'), F.lit('"sensor0":"Infinity","other":')))
+        .when(kind == 13, F.regexp_replace(text, '"Result":[01]', '"Result":7'))
+        .when(kind == 14, F.regexp_replace(text, '"Result":[01]', '"Result":-1'))
         .otherwise(text)
     )
     return messages.withColumn("value", damaged.cast("binary"))

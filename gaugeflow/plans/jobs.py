@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,22 +25,34 @@ SCORED = [S.TIME, "label", "margin", "probability", "prediction"]
 def publish(
     messages: DataFrame, fmt: str = "kafka", path: str | None = None, **options: str
 ) -> None:
-    """Write `topic, key, value` messages; the topic column routes each row.
+    """Append `topic, key, value` messages; the topic column routes each row.
 
     A broker gives each message its place. Where a table stands in for it, rows
-    without a place get the number of their task and their position in it.
+    without a place get the number of their task and the next position after
+    what that topic and partition hold. One publisher writes such a table at a time.
     """
     if fmt == "kafka":
         messages.select("topic", "key", "value").write.format(fmt).options(**options).save()
         return
-    placed = messages if "offset" in messages.columns else _placed(messages)
-    writer = placed.write.format(fmt).mode("overwrite").options(**options)
+    placed = messages if "offset" in messages.columns else _placed(messages, fmt, path)
+    writer = placed.write.format(fmt).mode("append").options(**options)
     writer.partitionBy("topic").save(path)
 
 
-def _placed(messages: DataFrame) -> DataFrame:
+def _held(messages: DataFrame, fmt: str, path: str) -> DataFrame | None:
+    """The next free position of each topic and partition of a table; None if there is no table."""
+    try:
+        there = messages.sparkSession.read.schema(S.ENVELOPE).format(fmt).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return there.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("held"))
+
+
+def _placed(messages: DataFrame, fmt: str, path: str) -> DataFrame:
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return messages.select(
+    placed = messages.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         "topic",
@@ -48,18 +61,25 @@ def _placed(messages: DataFrame) -> DataFrame:
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+    held = _held(messages, fmt, path)
+    if held is None:
+        return placed
+    after = (F.col("offset") + F.coalesce("held", F.lit(0))).alias("offset")
+    return placed.join(held, ["topic", "partition"], "left").select(
+        *[after if name == "offset" else name for name in placed.columns]
+    )
 
 
 def consume(
-    messages: DataFrame, console: sinks.Sink, store: sinks.Sink, checkpoint: str
+    messages: DataFrame, printed: sinks.Sink, store: sinks.Sink, checkpoint: str
 ) -> DataStreamWriter:
-    """Every message as a console line and as an archived document."""
+    """Every message as a printed line and as an archived document."""
 
     def lines(batch: DataFrame) -> DataFrame:
         return batch.select("key", records.consumed_line().alias("line"))
 
     branches = {
-        "console": sinks.Branch(lines, console),
+        "lines": sinks.Branch(lines, printed),
         "store": sinks.Branch(lambda batch: batch, store),
     }
     return sinks.fan_out(decode.archive_rows(messages), branches, checkpoint)
@@ -130,8 +150,11 @@ class Trained:
 def prepare(documents: DataFrame, config: EndpointConfig) -> DataFrame:
     """Archived documents as rows to train on, each with its part.
 
-    Documents that cannot be used are left out here; they stay in the archive.
+    Documents that cannot be used are left out here; they stay in the archive. An
+    archive says which ones, so the others are not even read.
     """
+    if "status" in documents.columns:
+        documents = documents.where(F.col("status") == decode.OK)
     usable = decode.accepted(decode.decode_messages(documents, config))
     identity = F.concat_ws("-", *decode.POSITION)
     return usable.select(S.TIME, "label", *S.FEATURES, features.split_part(identity).alias("part"))
@@ -153,11 +176,12 @@ def train(
         for part in ("train", "test")
     )
     model = models.fit(train_rows, training)
-    models.save(model, model_path)
     predictions = model.transform(test_rows)
     counts = evaluate.hard_label_auc(predictions).first()
     metrics = {
         "auc_of_predictions": counts["auc"],
         "auc_of_scores": evaluate.evaluator_auc(predictions),
     }
+    # Last, so that a model which cannot be evaluated replaces none.
+    models.save(model, model_path)
     return Trained(model, metrics, train_rows, test_rows)

@@ -129,7 +129,7 @@ def _messages(noise: bool = False, coded: bool = False, topic: str = "'epd01'")
 def _damaged() -> str:
     """`_messages`, then `damaged`, spoiled by offset; `doc` is null unless JSON."""
     return f"""{_messages()}, spoiled AS (
-  SELECT "key", topic, "partition", "offset", CASE "offset" % 16
+  SELECT "key", topic, "partition", "offset", CASE "offset" % 32
       WHEN 0 THEN substr("value", 1, 100)
       WHEN 1 THEN ''
       WHEN 2 THEN NULL
@@ -137,6 +137,14 @@ def _damaged() -> str:
       WHEN 4 THEN '[1]'
       WHEN 5 THEN '{{"Result":1}}'
       WHEN 6 THEN replace("value", '"cat0":"', '"cat0":"un')
+      WHEN 7 THEN "value" || ' garbage'
+      WHEN 8 THEN "value" || "value"
+      WHEN 9 THEN replace("value", '"', '''')
+      WHEN 10 THEN '{{"Result":0,' || substr("value", 2)
+      WHEN 11 THEN replace("value", '"sensor0":', '"sensor0":1e999,"other":')
+      WHEN 12 THEN replace("value", '"sensor0":', '"sensor0":"Infinity","other":')
+      WHEN 13 THEN regexp_replace("value", '"Result":[01]', '"Result":7')
+      WHEN 14 THEN regexp_replace("value", '"Result":[01]', '"Result":-1')
       ELSE "value" END AS "value"
   FROM messages
 ), damaged AS (
@@ -153,13 +161,16 @@ def _record_status() -> str:
     """`_damaged`, then `judged` with a status for each message."""
     good = " AND ".join(
         [
-            "json_extract(doc, '$.Result') IS NOT NULL",
+            "json_extract_string(doc, '$.Result') IN ('0', '1')",
             *[
                 f"json_extract_string(doc, '$.Categories.{c['name']}') IN "
                 f"({', '.join(_text(n) for n in c['levels'])})"
                 for c in CONFIG["categories"]
             ],
-            *[f"json_extract(doc, '$.Sensors.{name}') IS NOT NULL" for name in SENSORS],
+            *[
+                f"COALESCE(json_extract_string(doc, '$.Sensors.{name}') NOT IN ('1e999', 'Infinity', 'inf'), FALSE)"
+                for name in SENSORS
+            ],
         ]
     )
     return f"""{_damaged()}, judged AS (

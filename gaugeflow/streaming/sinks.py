@@ -75,7 +75,7 @@ def mongo_sink(insert_size: int = INSERT_SIZE, **options: str) -> ConnectorSink:
 
 
 def console_sink() -> ConnectorSink:
-    """Show the first rows of each batch."""
+    """A preview: the first rows of each batch and no more. It replaces no sink."""
     return ConnectorSink("console", {"truncate": "false"})
 
 
@@ -127,10 +127,6 @@ def to_table(
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def to_console(stream: DataFrame, checkpoint: str) -> DataStreamWriter:
-    return _writer(stream, checkpoint).format("console").option("truncate", False)
-
-
 def _writer(stream: DataFrame, checkpoint: str) -> DataStreamWriter:
     return stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeflow import schemas as S
 
 LEVELS = {
-    "cat0": "good", "cat1": "neutral", "cat2": "fault", "cat3": "alarm",
-    "cat4": "found", "cat5": "positive", "cat6": "running", "cat7": "available",
+    "cat0": "sound", "cat1": "mild", "cat2": "stopped", "cat3": "red",
+    "cat4": "present", "cat5": "west", "cat6": "automatic", "cat7": "medium",
 }
-CODES = [0, 2, 0, 0, 1, 3, 3, 1]
+CODES = [0, 2, 0, 0, 1, 3, 2, 1]
 
 
 def record(**changes) -> dict:

@@ -10,7 +10,7 @@ from gaugeflow.plans import event_records as er
 from gaugeflow.plans import jobs
 from gaugeflow.plans.fixed_model import FIXED
 
-WITHOUT_SENSORS = '{"CurrentTime":"t","Topic":"x","Result":1,"Categories":{"cat0":"good"}}'
+WITHOUT_SENSORS = '{"CurrentTime":"t","Topic":"x","Result":1,"Categories":{"cat0":"sound"}}'
 
 
 def _only(spark, config, value):
@@ -46,6 +46,16 @@ def _only(spark, config, value):
         (text(Result="yes"), "bad_field"),
         (text(Result=None), "bad_field"),
         (text(Categories=[1]), "bad_field"),
+        (text() + text(), "malformed"),
+        (text() + " garbage", "malformed"),
+        (text() + "] garbage", "malformed"),
+        (text() + "," + text(), "malformed"),
+        (text().replace('"', "'"), "malformed"),
+        ('{"Result":0,' + text()[1:], "ok"),
+        (text(sensor0="Infinity"), "bad_field"),
+        (text().replace('"sensor0": 0.0', '"sensor0": 1e999'), "bad_field"),
+        (text(Result=7), "bad_field"),
+        (text(Result=-1), "bad_field"),
     ],
 )
 def test_status(spark, config, value, status):
@@ -123,7 +133,8 @@ def test_scoring_plan(spark, config, sf_dir, tmp_path, plan_of):
     stored = _stored(spark, config, sf_dir, tmp_path)
     plan = plan_of(jobs.scored_messages(stored, FIXED, config))
     details = plan.split("\n\n\n", 1)[-1]
-    assert details.count("from_json(") == 1
+    # Once for the record; the other is looked at only for messages that failed.
+    assert details.count("from_json(") == 2
     for operator in ("Exchange", "Python", "Sort", "UDF"):
         assert operator not in plan
     assert "timestampType" not in plan
@@ -139,3 +150,14 @@ def test_a_filter_does_not_decode_again(spark, config, sf_dir, tmp_path, plan_of
 
 def test_record_helper_is_a_good_record():
     assert set(record()) == {"CurrentTime", "Topic", "Result", "Categories", "Sensors"}
+
+
+def test_score_and_archive_agree_on_what_a_document_is(spark, config):
+    values = [text(), text() + text(), text() + " x", text().replace('"', "'"), "12", "null", "", None, "{}"]
+    rows = messages(spark, values)
+    shapes = ("blank", "malformed", "not_object")
+    scored = {r.offset: r.status for r in decode.decode_messages(rows, config).collect()}
+    archived = {r.offset: r.status for r in decode.archive_rows(rows).collect()}
+    for offset, status in archived.items():
+        assert status == "ok" or status == scored[offset]
+        assert (scored[offset] in shapes) == (status in shapes)

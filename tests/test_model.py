@@ -181,3 +181,21 @@ def test_training_reads_its_part_only(spark, sf_dir, config, plan_of):
     plan = plan_of(staged.where("part = 'train'").select("label", "cat0"))
     assert "PartitionFilters: [isnotnull(part" in plan.replace("\n", " ")
     assert "ReadSchema: struct<label:int,cat0:int>" in plan
+
+
+def test_area_leaves_out_rows_without_a_score(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (0, None), (1, float("nan")), (0, 0.9)]
+    for buckets in (None, 1, 3, 40):
+        row = evaluate.score_auc(_scored(spark, rows), "score", buckets).first()
+        assert (row.n_ones, row.n_zeros, row.auc) == (1, 2, 0.75)
+    assert evaluate.score_auc(_scored(spark, [(1, None), (0, None)]), "score").first().auc is None
+
+
+def test_publishing_adds_to_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    for topic in ("a", "b", "a"):
+        rows = spark.range(30).selectExpr(f"'{topic}' AS topic", "'k' AS key", "CAST(id AS STRING) AS value")
+        jobs.publish(rows, "parquet", path)
+    there = spark.read.parquet(path)
+    assert there.count() == 90
+    assert there.select("topic", "partition", "offset").distinct().count() == 90

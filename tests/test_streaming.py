@@ -116,7 +116,7 @@ def test_nothing_stays_cached_after_a_fan_out(spark, place):
 
 
 def test_stream_and_table_are_scored_alike(spark, place, config):
-    values = [text(), text(cat0="bad", sensor9=-5.0), "x", None, text(cat0="?"), text(Result=0)]
+    values = [text(), text(cat0="worn", sensor9=-5.0), "x", None, text(cat0="?"), text(Result=0)]
     _arrive(spark, place, values)
     runs.run_available(
         jobs.score(_stream(spark, place), FIXED, config, place.out, place.checkpoint)
@@ -133,7 +133,7 @@ def test_stream_and_table_are_scored_alike(spark, place, config):
 
 
 def test_a_trained_model_scores_a_stream(spark, place, config):
-    values = [text(cat0=c, sensor0=float(i)) for i, c in enumerate(["good", "bad"] * 10)]
+    values = [text(cat0=c, sensor0=float(i)) for i, c in enumerate(["sound", "worn"] * 10)]
     _arrive(spark, place, [v if i % 3 else text(Result=0, sensor0=90.0) for i, v in enumerate(values)])
     _arrive(spark, place, ["x"], first_offset=20)
 

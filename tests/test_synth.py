@@ -46,7 +46,9 @@ def test_share_of_levels(made, config):
 
 def test_moments_of_readings(made, config):
     for sensor in config.sensors:
-        for label, mean, std in ((1, 0.25, 0.25), (0, 0.1, 0.1)):
+        for label, mean, std in (
+            (1, sensor.zero_mean, sensor.zero_std), (0, sensor.one_mean, sensor.one_std),
+        ):
             seen = (
                 made.where(F.col(S.RESULT) == label)
                 .agg(F.avg(sensor.name).alias("m"), F.stddev_samp(sensor.name).alias("s"))
