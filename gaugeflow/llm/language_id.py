@@ -130,7 +130,7 @@ def parse(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
         grid = np.full((min(STRETCH, int(size.max())), first[-1]), idle, np.int32)
         grid[inside % STRETCH, lane] = symbol
         state = np.repeat(model.roots[:, None], first[-1], axis=1)
-        ended = np.ones(state.shape, np.int32)
+        ended = np.zeros(state.shape, np.int32)
         for row in grid:
             step = model.moves[state + row]
             ended += step & 1
@@ -157,21 +157,24 @@ def fit_texts(texts: dict[str, list[str]], sample_letters: int = SAMPLE_LETTERS)
                 taken += [GAP, *symbol[a:b].tolist()]
         taken = taken[: min(sample_letters, most)]
         moves = _suffix_automaton(taken)
-        table = np.full((len(moves), symbols), -1, np.int64)
+        # The last state is that of no phrase: where a text begins, and after a letter that
+        # the sample does not hold, which is a phrase of its own.
+        none = len(moves)
+        table = np.full((none + 1, symbols), -1, np.int64)
         for state, to in enumerate(moves):
             for symbol, target in to.items():
                 table[state, symbol] = target
         start = table[0].copy()
-        start[start < 0] = 0
+        start[start < 0] = none
         ends = table < 0
         table = np.where(ends, start[None, :], table)
         table = 2 * (base + table) * symbols + ends
         # The last symbol fills up stretches: it changes nothing.
-        table[:, -1] = 2 * (base + np.arange(len(moves))) * symbols
+        table[:, -1] = 2 * (base + np.arange(none + 1)) * symbols
         parts.append(table.astype(np.int32))
-        roots.append(base * symbols)
+        roots.append((base + none) * symbols)
         bits.append(np.log2(max(2, len(taken))))
-        base += len(moves)
+        base += none + 1
     flat = np.concatenate([x.ravel() for x in parts]) if parts else np.zeros(0, np.int32)
     return Model(languages, symbol_of, flat, np.array(roots, np.int32), np.array(bits), symbols)
 
