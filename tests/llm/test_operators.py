@@ -124,7 +124,7 @@ def test_toxicity_learns_sentences(spark, docs, empty):
     model = toxicity.fit(texts, labels)
     got = texts.select("doc_id", toxicity.score("text", model).alias("s"), toxicity.offending("text", model).alias("o")).collect()
     assert all((r.s >= 0.3) == (r.doc_id % 4 == 0) for r in got)
-    assert all([x.text for x in r.o] == ["you are a vile toad"] for r in got if r.doc_id % 4 == 0)
+    assert all([x.text for x in r.o] == ["You are a vile toad"] for r in got if r.doc_id % 4 == 0)
     odd = docs.select("text", toxicity.score("text", model).alias("s")).collect()
     assert len(odd) == len(ODD) + 3 and all(0 <= r.s <= 1 for r in odd)
     assert all(r.s == 0 for r in odd if not (r.text or "").strip())
