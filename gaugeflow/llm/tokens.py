@@ -8,10 +8,12 @@ to a space or at a line's edge are cut only where two non-spaces meet one space.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 
 CACHED_STRETCHES = 500_000
+MARKS = ".,;:!?"
 JOINED_STRETCHES = 2000
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -41,8 +43,9 @@ class TextEncoder:
     def _each(self, stretches: list[str]) -> list[bytes]:
         return [self._ids(x).tobytes() for x in stretches]
 
-    def _encode(self, stretches: list[str]) -> list[bytes]:
+    def _encode(self, stretches: Iterable[str]) -> list[bytes]:
         out: list[bytes] = []
+        stretches = list(stretches)
         for k in range(0, len(stretches), JOINED_STRETCHES):
             some = stretches[k : k + JOINED_STRETCHES]
             ids = self._ids(self.mark.join(some))
@@ -64,7 +67,15 @@ class TextEncoder:
             if len(whole) < len(new):
                 cache.update(dict.fromkeys(new))
             new = whole
-        cache.update(zip(new, self._encode([before + x for x in new]), strict=True))
+        # Letters and the marks behind them are always apart, so each is encoded once.
+        ended = {x: x.rstrip(MARKS) for x in new if x and x[-1] in MARKS}
+        ended = {x: stem for x, stem in ended.items() if stem and stem[-1].isalpha()}
+        plain = {x for x in new if x not in ended} | {x for x in ended.values() if x not in cache}
+        cache.update(zip(plain, self._encode([before + x for x in plain]), strict=True))
+        tails = list({x[len(stem) :] for x, stem in ended.items()})
+        tail_ids = dict(zip(tails, self._encode(tails), strict=True))
+        for x, stem in ended.items():
+            cache[x] = cache[stem] + tail_ids[x[len(stem) :]]
 
     def _whole(self, text: str) -> bytes:
         first, *rest = _SINGLE_SPACE.split(text)
