@@ -39,6 +39,9 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument(
             "--seconds", type=int, help="run that long; without it, read what there is and end"
         )
+        stream.add_argument(
+            "--every", metavar="INTERVAL", help="run until stopped, a batch each such as `30 seconds`"
+        )
         if job == "score":
             stream.add_argument("--model", required=True)
 
@@ -71,7 +74,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         subscription = Subscription(tuple(args.topic))
         messages = message_stream(spark, subscription, args.format, args.path, **options)
         writer = _writer(args, messages, config)
-        if args.seconds is None:
+        if args.every:
+            runs.run_until_stopped(writer, args.every)
+        elif args.seconds is None:
             runs.run_available(writer)
         else:
             runs.run_for(writer, args.seconds)

@@ -127,3 +127,31 @@ def archive_rows(messages: DataFrame) -> DataFrame:
         F.coalesce(json_status(F.col("value")), F.lit(OK)).alias("status"),
         "value",
     )
+
+
+def document_rows(messages: DataFrame) -> DataFrame:
+    """Messages as nested documents for a store: identity, place, status, and the record.
+
+    The status is that of archiving. The fields of the record lie at the top, its two groups
+    nested, and are null where the text is no document; only then the text is kept as well.
+    """
+    decoded = decode_values(cast_envelope(messages))
+    status = F.when(F.col("data").isNotNull(), OK).otherwise(
+        F.coalesce(json_status(F.col("value")), F.lit(OK))
+    )
+    fields = [F.col(f"data.{name}").alias(name) for name in S.NAMED_RECORD.fieldNames()]
+    return decoded.select(
+        F.concat_ws("-", *POSITION).alias("_id"),
+        "key",
+        # In a group of its own: the record has a field `Topic`, too.
+        F.struct(*POSITION).alias("source"),
+        status.alias("status"),
+        "value",
+        *fields,
+    ).withColumn("value", F.when(F.col("status") != OK, F.col("value")))
+
+
+def usable_documents(documents: DataFrame, config: EndpointConfig) -> DataFrame:
+    """Nested documents as complete rows of numbers, with their identity."""
+    flat = rename_label(flatten(documents, "_id"))
+    return encode_levels(flat, config).where(_complete())

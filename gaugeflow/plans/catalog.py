@@ -157,6 +157,18 @@ def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, ARCHIVED).select("_id", "key", "status", "value")
 
 
+def train_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages archived as nested documents, read back, and made ready for training."""
+    folder = session.work_folder(spark, "documents")
+    sink = sinks.TableSink(f"{folder}/archive", fmt="json", partition_by=("status",))
+    stream = er.damage(_message_stream(spark, sf_dir))
+    runs.run_available(jobs.archive_documents(stream, sink, f"{folder}/checkpoint"))
+    own = [T.StructField(name, T.StringType()) for name in ("_id", "status")]
+    stored = T.StructType([*own, *S.NAMED_RECORD.fields])
+    archived = documents.scan_collection(spark, "json", f"{folder}/archive", stored)
+    return jobs.prepare(archived, CONFIG)
+
+
 def archive_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.work_folder(spark, "batched")
     sink = sinks.TableSink(f"{folder}/archive")
@@ -339,7 +351,7 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[jobs.Trained, str]:
         records.wall_time_text(F.col("ts")).alias(S.TIME), "label", *S.FEATURES, part
     )
     path = f"{session.work_folder(spark, 'model')}/model"
-    return jobs.train(prepared, path), path
+    return jobs.train(prepared, path, measured=False), path
 
 
 def lr_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -462,6 +474,7 @@ QUERIES: dict[str, Query] = {
         publish_envelope,
         delivery_report,
         archive_append,
+        train_documents,
         archive_batched,
         fan_out,
         record_line,

@@ -90,6 +90,11 @@ def archive(messages: DataFrame, sink: sinks.Sink, checkpoint: str) -> DataStrea
     return sinks.to_sink(decode.archive_rows(messages), sink, checkpoint)
 
 
+def archive_documents(messages: DataFrame, sink: sinks.Sink, checkpoint: str) -> DataStreamWriter:
+    """Every message as a nested document, which a store can query and training can read."""
+    return sinks.to_sink(decode.document_rows(messages), sink, checkpoint)
+
+
 def scored_messages(
     messages: DataFrame, score: models.LinearScore, config: EndpointConfig
 ) -> DataFrame:
@@ -150,13 +155,16 @@ class Trained:
 def prepare(documents: DataFrame, config: EndpointConfig) -> DataFrame:
     """Archived documents as rows to train on, each with its part.
 
-    Documents that cannot be used are left out here; they stay in the archive. An
+    They are nested documents with an identity `_id`, or messages with their text. Documents that cannot be used are left out here; they stay in the archive. An
     archive says which ones, so the others are not even read.
     """
     if "status" in documents.columns:
         documents = documents.where(F.col("status") == decode.OK)
-    usable = decode.accepted(decode.decode_messages(documents, config))
-    identity = F.concat_ws("-", *decode.POSITION)
+    if S.CATEGORY_GROUP in documents.columns:
+        usable, identity = decode.usable_documents(documents, config), F.col("_id")
+    else:
+        usable = decode.accepted(decode.decode_messages(documents, config))
+        identity = F.concat_ws("-", *decode.POSITION)
     return usable.select(S.TIME, "label", *S.FEATURES, features.split_part(identity).alias("part"))
 
 
@@ -164,8 +172,9 @@ def train(
     prepared: DataFrame,
     model_path: str,
     training: models.Training = models.Training(),
+    measured: bool = True,
 ) -> Trained:
-    """Train on part `train`, evaluate on part `test`, save the model.
+    """Train on part `train`, evaluate on part `test` if asked for, save the model.
 
     Training reads its rows more than once. They are written once, as numbers
     and by part, so neither documents nor the other part are read again.
@@ -176,12 +185,11 @@ def train(
         for part in ("train", "test")
     )
     model = models.fit(train_rows, training)
-    predictions = model.transform(test_rows)
-    counts = evaluate.hard_label_auc(predictions).first()
-    metrics = {
-        "auc_of_predictions": counts["auc"],
-        "auc_of_scores": evaluate.evaluator_auc(predictions),
-    }
+    metrics = {}
+    if measured:
+        predictions = model.transform(test_rows)
+        metrics["auc_of_predictions"] = evaluate.hard_label_auc(predictions).first()["auc"]
+        metrics["auc_of_scores"] = evaluate.evaluator_auc(predictions)
     # Last, so that a model which cannot be evaluated replaces none.
     models.save(model, model_path)
     return Trained(model, metrics, train_rows, test_rows)

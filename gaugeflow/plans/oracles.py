@@ -289,6 +289,15 @@ SELECT "key", 'topic=' || topic || '  partition=' || "partition" || '  offset='
   || ': ' || chr(10) || "value" AS line FROM messages""",
         "archive_append": f"""{_damaged()} SELECT {_ID} AS _id, "key",
   COALESCE({_JSON_STATUS}, 'ok') AS status, "value" FROM damaged""",
+        "train_documents": f"""{_record_status()}, named AS (
+  SELECT CAST(event_id AS VARCHAR) AS "key",
+    'epd01-' || (event_id % 4) || '-' || (event_id // 4) AS _id, * FROM records
+)
+SELECT CurrentTime, Result AS label,
+  {", ".join(f"{_code(j)} AS {n}" for j, n in enumerate(CATEGORIES))},
+  {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in SENSORS)},
+  {_part("_id")} AS part
+FROM named JOIN judged USING ("key") WHERE status = 'ok'""",
         "archive_batched": f"""{_messages()} SELECT {_ID} AS _id, "key", "value" FROM messages""",
         "fan_out": f"""{_messages()}
 SELECT 'console' AS sink, "key", {_CONSUMED} AS line FROM messages

@@ -50,6 +50,12 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/gaugeflow/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write rows to the work folder and read them back.
 

@@ -1,4 +1,4 @@
-"""Run a stream for a bounded time, or until its source is read."""
+"""Run a stream until its source is read, for a bounded time, or until it is stopped."""
 
 from __future__ import annotations
 
@@ -20,3 +20,16 @@ def run_for(writer: DataStreamWriter, seconds: int) -> StreamingQuery:
     finally:
         query.stop()
     return query
+
+
+def run_until_stopped(writer: DataStreamWriter, interval: str | None = None) -> StreamingQuery:
+    """Process what arrives, every interval such as `30 seconds`, until the query is stopped.
+
+    Without an interval the next batch starts as soon as the last one is done. Ends with an
+    error if the query does.
+    """
+    if interval:
+        writer = writer.trigger(processingTime=interval)
+    query = writer.start()
+    query.awaitTermination()
+    return query

@@ -6,12 +6,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from gaugeflow import session
+
 # Documents per insert call; a fixed value.
 INSERT_SIZE = 10
 
@@ -104,17 +105,21 @@ class Branch:
 def fan_out(stream: DataFrame, branches: Mapping[str, Branch], checkpoint: str) -> DataStreamWriter:
     """Write every row to every branch.
 
-    A batch is held while the branches take it in turn, so the source is read
-    once. The branches do not commit together: each is safe to write again.
+    A batch is written once to the shared folder, where the branches read it in turn, so
+    the source is read once and no executor holds a part of it. The folder goes when the
+    branches are done. They do not commit together: each is safe to write again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        folder = session.work_folder(spark, "batch")
         try:
+            batch.write.parquet(folder)
+            held = spark.read.schema(batch.schema).parquet(folder)
             for branch in branches.values():
-                branch.sink.write(branch.shape(batch), batch_id)
+                branch.sink.write(branch.shape(held), batch_id)
         finally:
-            batch.unpersist()
+            session.discard(spark, folder)
 
     return _writer(stream, checkpoint).foreachBatch(write)
 
