@@ -33,7 +33,8 @@ def bounded_sample(rows: DataFrame, by: str, most: int, key: str = "doc_id") ->
     """
     counts = rows.groupBy(by).agg(F.count("*").alias("_of_class"))
     share = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 20)) / float(1 << 20)
-    near = rows.join(counts, by).where(share <= F.lit(2.0 * most) / F.col("_of_class"))
+    # One row per class that a model can tell apart. Else all rows would be dealt by class.
+    near = rows.join(F.broadcast(counts), by).where(share <= F.lit(2.0 * most) / F.col("_of_class"))
     order = Window.partitionBy(by).orderBy(F.xxhash64(F.col(key), F.lit(7)), key)
     return near.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= most).select(*rows.columns)
 
