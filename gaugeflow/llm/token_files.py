@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.tables import give_back, per_batch, text_key
-from gaugeflow.llm.tokens import TextEncoder
+from gaugeflow.llm.tokens import kept_encoder
 
 MAGIC, VERSION, HEAD = b"IDPK", 1, "<4sHHQII"
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -94,7 +94,7 @@ def write_shards(
     """Encode documents and write their ids to a folder of shards, in order of doc_id."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer_path, keeps_space)
+        encoder = kept_encoder(tokenizer_path, keeps_space)
         bits, end = bits_for(encoder.vocabulary), np.array([end_id], encoder.kind).tobytes()
         width = encoder.kind.itemsize
         shard, part = TaskContext.get().partitionId(), 0
@@ -127,7 +127,6 @@ def write_shards(
                     part, held, ids, names, sizes = part + 1, 0, [], [], []
         if names:
             yield made()
-        del encoder
         give_back()
 
     ranged = (

@@ -7,6 +7,8 @@ to a space or at a line's edge are cut only where two non-spaces meet one space.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterable
 
@@ -84,7 +86,9 @@ class TextEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         for cache in (self.lead, self.later):
             if len(cache) > CACHED_STRETCHES:
-                cache.clear()
+                # Most of the frequent stretches were seen first.
+                for late in list(itertools.islice(cache, CACHED_STRETCHES // 2, None)):
+                    del cache[late]
         lines = [[line.split(" ") for line in (text or "").split("\n")] for text in texts]
         if self.keeps_space:
             self._learn(self.lead, {x[0] for text in lines for x in text}, "")
@@ -103,5 +107,11 @@ class TextEncoder:
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def kept_encoder(path: str, keeps_space: bool) -> TextEncoder:
+    """The encoder of this Python worker: later tasks find what earlier ones have looked up."""
+    return TextEncoder(path, keeps_space)
+
+
 def as_uint32(ids: bytes, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(ids, kind).astype("<u4")
