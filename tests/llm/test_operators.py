@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     chat_format, decontamination, html_text, jaccard_join, language_id, packing, quality_rules, queries, sketch,
-    token_files, toxicity, url_templates, words,
+    token_files, tokens, toxicity, url_templates, words,
 )
 
 LOREM = "the quick brown fox jumps over the lazy dog while seven wizards mix potions near a quiet river bank"
@@ -49,10 +49,12 @@ def test_image_round_trip():
         assert len(token_files.read_ids(token_files.pack_image(ids[:0], bits))) == 0
 
 
-def _reference_ids(name, texts):
+def _reference_ids(name, texts, specials=True):
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(queries.tokenizer(name)).encode_batch(texts, add_special_tokens=False)
+    tokenizer = Tokenizer.from_file(queries.tokenizer(name))
+    tokenizer.encode_special_tokens = not specials
+    made = tokenizer.encode_batch(texts, add_special_tokens=False)
     return [[*x.ids, 0] for x in made]
 
 
@@ -75,6 +77,20 @@ def test_token_files_equal_brute_force(spark, docs, empty, tmp_path):
     assert token_files.document_digests(token_files.read_shards(spark, none)).count() == 0
 
 
+@pytest.mark.parametrize(("name", "keeps_space"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_encoder_cuts_and_forgets_rightly(monkeypatch, name, keeps_space):
+    monkeypatch.setattr(tokens, "CACHED_STRETCHES", 6)
+    encoder = tokens.TextEncoder(queries.tokenizer(name), keeps_space)
+    texts = [
+        "a  b", "a\n\nb", " a", "a ", "\n\n\n a", "\t a", "x \t\n y", "", "\n", " ", "a\n", "don't stop\nit's!! ok",
+        "a\x1cb \x85c", "É,, !?", "a b\x1c d", "one two three four five six seven eight", LOREM, "<|endoftext|> é\u0301",
+    ]
+    for batch in (texts, texts[::-1], texts[9:], [*texts, *texts]):
+        got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(batch)]
+        assert [[*x, 0] for x in got] == _reference_ids(name, batch, specials=False)
+    assert encoder.encode([None]) == [b""]
+
+
 def test_packing_is_whole_and_gapless(docs, empty):
     rows = packing.pack(docs, queries.tokenizer("word_bpe_49k.json"), capacity=16).collect()
     texts = _texts(docs)
