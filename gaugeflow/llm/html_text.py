@@ -1,7 +1,7 @@
 """Operator 6, HTML extraction by tag-path ratios.
 
-A page is read into leaves of text, each with the path of open tags from the root, with
-class names as part of a step. Leaves of one path are added up: length of text, marks of
+A page is read into leaves of text, each with the path of open tags from the root, inline
+tags left aside and class names as part of a step. Leaves of one path are added up: length of text, marks of
 punctuation and number of leaves. A path's ratios are length and punctuation per leaf;
 both are smoothed over the paths next to it in page order and fused by multiplying them. Paths
 beyond a share of the largest fused value are content, and the page's text is all that
@@ -75,10 +75,10 @@ def _left_out(tag: str, said: dict[str, str], inside_article: bool) -> bool:
 
 
 def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
-    """(path, block, text) of every leaf outside the parts that are left out."""
+    """(path, block, text) of every leaf outside the parts that are left out; no path has inline tags."""
     leaves: list[tuple[tuple[str, ...], int, str]] = []
     tags: list[str] = []
-    steps: list[str] = []
+    steps: list[str] = []  # empty for an inline tag
     out_from: list[int] = []  # depths at which a left-out part begins
     block = at = 0
 
@@ -89,7 +89,7 @@ def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
 
     def add(text: str) -> None:
         if text and not out_from:
-            leaves.append((tuple(steps), block, text))
+            leaves.append((tuple(filter(None, steps)), block, text))
 
     while True:
         m = TOKEN.search(page, at)
@@ -124,7 +124,7 @@ def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
         if _left_out(tag, said, "article" in tags):
             out_from.append(len(tags))
         tags.append(tag)
-        steps.append(tag + "." + said["class"] if said.get("class") else tag)
+        steps.append("" if tag in INLINE else tag + "." + said["class"] if said.get("class") else tag)
 
 
 def content_root(leaves: list[tuple[tuple[str, ...], int, str]]) -> tuple[str, ...] | None:
@@ -133,7 +133,7 @@ def content_root(leaves: list[tuple[tuple[str, ...], int, str]]) -> tuple[str, .
     for path, _, text in leaves:
         length = len(text.strip())
         if length:
-            own = sums[tuple(s for s in path if s.split(".")[0] not in INLINE)]
+            own = sums[path]
             own[0] += length
             own[1] += 1 + len(PUNCTUATION.findall(text))
             own[2] += 1

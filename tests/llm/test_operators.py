@@ -187,6 +187,14 @@ def test_main_text():
     assert html_text.extract("<div>" * 2000 + "deep, text.") == "deep, text."
 
 
+@pytest.mark.parametrize("around", ["<font>{}</font>", "<a name=top>{}", "<b>{}", "<span class=x>{}</span>"])
+def test_open_inline_tag_around_content(around):
+    said = ["First, a text.", "Second, with bold, text."]
+    content = "<div class=content><p>First, a text.</p><p>Second, with <b>bold</b>, text.</p></div>"
+    page = f"<html><body>{around.format(content)}</body></html>"
+    assert html_text.extract(page) == "\n\n".join(said)
+
+
 def _shingles(text, size):
     said = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not said:
