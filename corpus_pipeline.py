@@ -5,7 +5,7 @@ that they came with; the last returns packed pieces. Rows are kept or dropped wh
 
 - toxicity: documents whose score is TOXIC_SCORE or more go. Learned from the labelled
   documents among those given; without labels of both kinds none go.
-- language: documents without a letter, or null, go.
+- language: documents without a letter, or null, go, also where no language can be learned.
 - near_duplicates: of documents linked by a Jaccard similarity of 0.8 or more over shingles
   of five words the one with the smallest doc_id stays. Texts without words stay.
 - decontamination: documents that hold a window of a benchmark item go.
@@ -32,6 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.where(~held_out()))
+    if not model.languages:
+        return docs.where(language_id.has_letter("text", model))
     return docs.where(language_id.identify("text", model)["lang_pred"] != language_id.UNKNOWN)
 
 

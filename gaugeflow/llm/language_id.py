@@ -223,3 +223,16 @@ def identify(text: Column | str, model: Model) -> Column:
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
     return named(text)
+
+
+def has_letter(text: Column | str, model: Model) -> Column:
+    """Whether a text has a letter, as `identify` counts them; a model without languages will do."""
+    shared = SparkSession.active().sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def told(column: pa.Array) -> pa.Array:
+        made = pa.array(parse(column, shared.value)[1] > 0)
+        give_back()
+        return made
+
+    return told(text)

@@ -323,3 +323,15 @@ def test_pipeline_stages(spark, sf_dir, docs, empty):
         rows = kept
         assert stage(spark, empty, sf_dir).count() == 0
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_language_stage_without_languages(spark, docs):
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    lettered = Counter((d, t) for d, t in _texts(docs) if any(c.isalpha() for c in t or ""))
+    for lang in (F.lit(None).cast("string"), F.when(fold, F.col("lang"))):
+        given = docs.withColumn("lang", lang)
+        kept = stage(spark, given, "")
+        assert Counter(_texts(kept)) == lettered and kept.columns == docs.columns
