@@ -4,9 +4,12 @@ A page is read into leaves of text, each with the path of open tags from the roo
 tags left aside and class names as part of a step. Leaves of one path are added up: length of text, marks of
 punctuation and number of leaves. A path's ratios are length and punctuation per leaf;
 both are smoothed over the paths next to it in page order and fused by multiplying them. Paths
-beyond a share of the largest fused value are content, and the page's text is all that
-stands below the deepest tag that holds them, so headings, lists and short paragraphs of
-the article come along with its long ones.
+beyond a share of the largest fused value are content. From the deepest tag that holds them
+the text is widened: to the article or main around it, or else to the highest tag that
+brings in neither lists of links nor page furniture, such as a menu or a footer. The page's
+text is all that stands below, so headings, leads, lists and short paragraphs of the article
+come along with its long ones. If no h1 is below, the last one before it that stands beside
+it, or in the same main, goes along with what is in between, lists of links excepted.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments are known by their tags, roles and class names, and are left out before and
@@ -24,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,11 +36,14 @@ from pyspark.sql import functions as F
 #: Share of the largest fused ratio that makes a path content.
 LEAST_SHARE = 0.1
 SMOOTH = (0.25, 0.5, 0.25)
+#: A path with this many links, and over half of its text in them, is a list of links.
+LEAST_LINKS = 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>",
     re.S,
 )
+HREF = re.compile(r"\bhref\s*=", re.I)
 NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Elements of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,6 +68,13 @@ LEFT_OUT_NAMES = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+#: Parts that frame a page; the others that are left out may stand within an article.
+FURNITURE = frozenset("nav header footer aside".split())
+FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary".split())
+FURNITURE_NAMES = re.compile(
+    r"(?:^|[\s_-])(?:menu|nav|navbar|navigation|header|masthead|footer|side-?bar|aside|banner|cookies?|consent)(?:$|[\s_-])",
+    re.I,
+)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·¿¡]")
 
 
@@ -74,9 +88,32 @@ def _left_out(tag: str, said: dict[str, str], inside_article: bool) -> bool:
     return any(LEFT_OUT_NAMES.search(said.get(x, "")) for x in ("class", "id"))
 
 
-def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
-    """(path, block, text) of every leaf outside the parts that are left out; no path has inline tags."""
-    leaves: list[tuple[tuple[str, ...], int, str]] = []
+def _furniture(tag: str, said: dict[str, str]) -> bool:
+    return (
+        tag in FURNITURE
+        or said.get("role", "").lower() in FURNITURE_ROLES
+        or any(FURNITURE_NAMES.search(said.get(x, "")) for x in ("class", "id"))
+    )
+
+
+Path = tuple[str, ...]
+
+
+class Leaf(NamedTuple):
+    path: Path
+    block: int
+    text: str
+    linked: bool
+
+
+def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
+    """Every leaf outside the parts that are left out, and where page furniture stands.
+
+    No path has inline tags.
+    """
+    leaves: list[Leaf] = []
+    furniture: list[Path] = []
+    links: list[int] = []  # depths of open links
     tags: list[str] = []
     steps: list[str] = []  # empty for an inline tag
     out_from: list[int] = []  # depths at which a left-out part begins
@@ -86,16 +123,18 @@ def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
         del tags[depth:], steps[depth:]
         while out_from and out_from[-1] >= depth:
             out_from.pop()
+        while links and links[-1] >= depth:
+            links.pop()
 
     def add(text: str) -> None:
         if text and not out_from:
-            leaves.append((tuple(filter(None, steps)), block, text))
+            leaves.append(Leaf(tuple(filter(None, steps)), block, text, bool(links)))
 
     while True:
         m = TOKEN.search(page, at)
         add(page[at : m.start() if m else len(page)])
         if not m:
-            return leaves
+            return leaves, furniture
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
@@ -122,15 +161,19 @@ def read_leaves(page: str) -> list[tuple[tuple[str, ...], int, str]]:
                 close(own)
         said = {x[0].lower(): x[1] or x[2] or x[3] for x in NAMED.findall(rest)} if rest else {}
         if _left_out(tag, said, "article" in tags):
+            if not out_from and _furniture(tag, said):
+                furniture.append(tuple(filter(None, steps)))
             out_from.append(len(tags))
+        if tag == "a" and HREF.search(rest):
+            links.append(len(tags))
         tags.append(tag)
         steps.append("" if tag in INLINE else tag + "." + said["class"] if said.get("class") else tag)
 
 
-def content_root(leaves: list[tuple[tuple[str, ...], int, str]]) -> tuple[str, ...] | None:
-    """The path of the tag that holds the content."""
-    sums: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
-    for path, _, text in leaves:
+def content_root(leaves: list[Leaf]) -> Path | None:
+    """The path of the deepest tag that holds the content."""
+    sums: dict[Path, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
+    for path, _, text, _ in leaves:
         length = len(text.strip())
         if length:
             own = sums[path]
@@ -153,23 +196,75 @@ def content_root(leaves: list[tuple[tuple[str, ...], int, str]]) -> tuple[str, .
     # Above a paragraph stands the tag that holds its neighbours as well.
     shared = chosen[0][:-1] if len(chosen) == 1 and len(chosen[0]) > 1 else chosen[0]
     for path in chosen[1:]:
-        k = 0
-        while k < min(len(shared), len(path)) and shared[k] == path[k]:
-            k += 1
-        shared = shared[:k]
+        shared = shared[: _shared(shared, path)]
     return shared
 
 
-def extract(page: str | None) -> str:
-    """The main text of a page."""
-    leaves = read_leaves(page or "")
+def link_lists(leaves: list[Leaf]) -> set[Path]:
+    """Paths that hold mostly links."""
+    sums: dict[Path, list[int]] = defaultdict(lambda: [0, 0, 0])
+    for leaf in leaves:
+        length = len(leaf.text.strip())
+        if length:
+            own = sums[leaf.path]
+            own[0] += length
+            own[1] += length * leaf.linked
+            own[2] += leaf.linked
+    return {p for p, (all_, linked, n) in sums.items() if n >= LEAST_LINKS and 2 * linked > all_}
+
+
+def _shared(a: Path, b: Path) -> int:
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    return k
+
+
+def _within(root: Path, *tags: str) -> Path | None:
+    """The nearest of these tags that root is or stands in."""
+    for k in range(len(root), 0, -1):
+        if root[k - 1].split(".")[0] in tags:
+            return root[:k]
+    return None
+
+
+def widened(root: Path, barred: list[Path]) -> Path:
+    """The article or main around root, or the highest tag that brings in no barred path."""
+    around = _within(root, "article", "main")
+    if around is not None:
+        return around
+    met = (_shared(root, path) for path in barred)
+    return root[: max((k for k in met if k < len(root)), default=-1) + 1]
+
+
+def content(leaves: list[Leaf], furniture: list[Path]) -> list[Leaf]:
+    """The leaves of the main text."""
     root = content_root(leaves)
     if root is None:
-        return ""
+        return []
+    lists = link_lists(leaves)
+    root = widened(root, [*lists, *furniture])
+    inside = [leaf.path[: len(root)] == root for leaf in leaves]
+
+    def headed(k: int) -> bool:
+        return any(step.split(".")[0] == "h1" for step in leaves[k].path)
+
+    if root and not any(held and headed(k) for k, held in enumerate(inside)):
+        scope = _within(root[:-1], "main") or root[:-1]
+        first = inside.index(True)
+        beside = [k for k in range(first) if leaves[k].path[: len(scope)] == scope]
+        block = next((leaves[k].block for k in reversed(beside) if headed(k)), None)
+        if block is not None:
+            for k in beside:
+                inside[k] = leaves[k].block >= block and leaves[k].path not in lists
+    return [leaf for leaf, held in zip(leaves, inside, strict=True) if held]
+
+
+def extract(page: str | None) -> str:
+    """The main text of a page."""
     blocks: dict[int, list[str]] = defaultdict(list)
-    for path, block, text in leaves:
-        if path[: len(root)] == root:
-            blocks[block].append(text)
+    for leaf in content(*read_leaves(page or "")):
+        blocks[leaf.block].append(leaf.text)
     made = (" ".join(html.unescape("".join(x)).split()) for x in blocks.values())
     return "\n\n".join(x for x in made if x)
 

@@ -195,6 +195,24 @@ def test_open_inline_tag_around_content(around):
     assert html_text.extract(page) == "\n\n".join(said)
 
 
+LONG = [f"Paragraph {i} says, at some length, what there is to say; it has marks, words and an end." for i in range(10)]
+BODY = "<div class=body>" + "".join(f"<p>{x}</p>" for x in LONG) + "</div>"
+LINKS = "<ul class=more>" + "".join(f"<li><a href=/{i}>Another story {i}</a>" for i in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "before", "after"),
+    [
+        (f"<body><nav>x</nav><article><h1>Title</h1><p class=lead>short</p>{BODY}<figure><figcaption>Cap</figcaption></figure></article>{LINKS}", ["Title", "short"], ["Cap"]),
+        (f"<body><main><h1>Title</h1><article><p class=lead>short</p>{BODY}</article></main><footer>x</footer>", ["Title", "short"], []),
+        (f"<body><nav>x</nav><div class=post><h1>Title</h1><div class=share>Share</div><div><p class=lead>short</p>{BODY}</div><ul class=list><li>one</ul></div>{LINKS}", ["Title", "short"], ["one"]),
+        (f"<body><div class=all><h1>Title</h1><p class=lead>short</p>{BODY}{LINKS}</div><p class=legal>All rights reserved.</p>", ["Title", "short"], []),
+    ],
+)
+def test_whole_nested_article(page, before, after):
+    assert html_text.extract(page).split("\n\n") == [*before, *LONG, *after]
+
+
 def _shingles(text, size):
     said = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not said:
