@@ -12,8 +12,11 @@ come along with its long ones. If no h1 is below, the last one before it that st
 it, or in the same main, goes along with what is in between, lists of links excepted.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are known by their tags, roles and class names, and are left out before and
-after. A block ends where a block-level tag opens or closes; inline tags and `br` do not
+comments are known by their tags, roles and words of their class or id, and are left out
+before and after. Words alone do not leave out a part with every main, every article or
+every h1 of the page, or with over half of its paragraphs, unless it is mostly links; for
+reader comments paragraphs do not count, nor do articles that are named so. Headers stay in
+an article, by tag and by name. Words of layout, such as with-sidebar, name no part. A block ends where a block-level tag opens or closes; inline tags and `br` do not
 end one. Character references are decoded, white space inside a block becomes one space,
 and blocks are joined by an empty line.
 
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -75,25 +78,34 @@ FURNITURE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:menu|nav|navbar|navigation|header|masthead|footer|side-?bar|aside|banner|cookies?|consent)(?:$|[\s_-])",
     re.I,
 )
+COMMENT_NAMES = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies|respond)(?:$|[\s_-])", re.I)
+HEADER_NAMES = re.compile(r"(?:^|(?<=[\s_-]))(?:header|masthead)(?=$|[\s_-])", re.I)
+#: Class names that say how a page is laid out, or name the heading of its content.
+LAYOUT_NAMES = re.compile(
+    r"(?<!\S)(?:(?:with|without|no|has)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled)"
+    r"|(?:article|content|entry|page|post|story)[_-]header)(?!\S)",
+    re.I,
+)
+#: What the content of a page stands in or under.
+LANDMARKS = ("main", "article", "h1")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·¿¡]")
 
 
 def _left_out(tag: str, said: dict[str, str], inside_article: bool) -> bool:
+    """Whether the tag or its role leaves a part out, whatever it holds."""
     if tag in LEFT_OUT and not (tag == "header" and inside_article):
         return True
-    if said.get("role", "").lower() in LEFT_OUT_ROLES or said.get("aria-hidden", "").lower() == "true":
-        return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    return any(LEFT_OUT_NAMES.search(said.get(x, "")) for x in ("class", "id"))
+    return said.get("role", "").lower() in LEFT_OUT_ROLES or said.get("aria-hidden", "").lower() == "true"
 
 
-def _furniture(tag: str, said: dict[str, str]) -> bool:
-    return (
-        tag in FURNITURE
-        or said.get("role", "").lower() in FURNITURE_ROLES
-        or any(FURNITURE_NAMES.search(said.get(x, "")) for x in ("class", "id"))
-    )
+def _named(tag: str, said: dict[str, str], inside_article: bool) -> str:
+    """The class and id if a word of theirs is that of a part to leave out, or else nothing."""
+    if tag in ("html", "body", "main", "article"):
+        return ""
+    names = LAYOUT_NAMES.sub(" ", f"{said.get('class', '')} {said.get('id', '')}")
+    if inside_article:
+        names = HEADER_NAMES.sub(" ", names)
+    return names if LEFT_OUT_NAMES.search(names) else ""
 
 
 Path = tuple[str, ...]
@@ -104,6 +116,39 @@ class Leaf(NamedTuple):
     block: int
     text: str
     linked: bool
+    paragraph: bool
+    parts: tuple[int, ...]  # named parts that it stands in
+
+
+class Part(NamedTuple):
+    """A part whose class or id has a word of those to leave out."""
+
+    names: str
+    path: Path
+    parts: tuple[int, ...]  # named parts that it stands in
+
+
+def parts_to_leave(leaves: list[Leaf], parts: list[Part], landmarks: list[tuple[str, tuple[int, ...]]]) -> set[int]:
+    """The named parts that do not hold the page's content."""
+    length, linked, paragraphs, held = Counter(), Counter(), Counter(), Counter()
+    for leaf in leaves:
+        n = len(leaf.text.strip())
+        for k in (-1, *leaf.parts):
+            length[k] += n
+            linked[k] += n * leaf.linked
+            paragraphs[k] += n * (leaf.paragraph and not leaf.linked)
+    for tag, inside in landmarks:
+        for k in (-1, *inside):
+            held[tag, k] += 1
+
+    def holds_content(k: int) -> bool:
+        if 2 * linked[k] > length[k]:
+            return False
+        if any(held[x, k] and held[x, k] == held[x, -1] for x in LANDMARKS):
+            return True
+        return 2 * paragraphs[k] > paragraphs[-1] and not COMMENT_NAMES.search(parts[k].names)
+
+    return {k for k in range(len(parts)) if not holds_content(k)}
 
 
 def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
@@ -113,6 +158,10 @@ def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
     """
     leaves: list[Leaf] = []
     furniture: list[Path] = []
+    parts: list[Part] = []
+    landmarks: list[tuple[str, tuple[int, ...]]] = []
+    open_parts: list[int] = []
+    part_from: list[int] = []  # their depths
     links: list[int] = []  # depths of open links
     tags: list[str] = []
     steps: list[str] = []  # empty for an inline tag
@@ -125,16 +174,19 @@ def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
             out_from.pop()
         while links and links[-1] >= depth:
             links.pop()
+        while part_from and part_from[-1] >= depth:
+            part_from.pop(), open_parts.pop()
 
     def add(text: str) -> None:
         if text and not out_from:
-            leaves.append(Leaf(tuple(filter(None, steps)), block, text, bool(links)))
+            path = tuple(filter(None, steps))
+            leaves.append(Leaf(path, block, text, bool(links), "p" in tags, tuple(open_parts)))
 
     while True:
         m = TOKEN.search(page, at)
         add(page[at : m.start() if m else len(page)])
         if not m:
-            return leaves, furniture
+            break
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
@@ -160,20 +212,33 @@ def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
             if not any(x in CLOSES[tag] for x in tags[own + 1 :]):
                 close(own)
         said = {x[0].lower(): x[1] or x[2] or x[3] for x in NAMED.findall(rest)} if rest else {}
-        if _left_out(tag, said, "article" in tags):
-            if not out_from and _furniture(tag, said):
+        inside_article = "article" in tags
+        if _left_out(tag, said, inside_article):
+            if not out_from and (tag in FURNITURE or said.get("role", "").lower() in FURNITURE_ROLES):
                 furniture.append(tuple(filter(None, steps)))
             out_from.append(len(tags))
+        elif not out_from:
+            if names := _named(tag, said, inside_article):
+                parts.append(Part(names, tuple(filter(None, steps)), tuple(open_parts)))
+                open_parts.append(len(parts) - 1)
+                part_from.append(len(tags))
+            if tag in LANDMARKS and not (tag == "article" and COMMENT_NAMES.search(said.get("class", ""))):
+                landmarks.append((tag, tuple(open_parts)))
         if tag == "a" and HREF.search(rest):
             links.append(len(tags))
         tags.append(tag)
         steps.append("" if tag in INLINE else tag + "." + said["class"] if said.get("class") else tag)
+    leave = parts_to_leave(leaves, parts, landmarks)
+    furniture += [
+        x.path for k, x in enumerate(parts) if k in leave and leave.isdisjoint(x.parts) and FURNITURE_NAMES.search(x.names)
+    ]
+    return [x for x in leaves if leave.isdisjoint(x.parts)], furniture
 
 
 def content_root(leaves: list[Leaf]) -> Path | None:
     """The path of the deepest tag that holds the content."""
     sums: dict[Path, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
-    for path, _, text, _ in leaves:
+    for path, _, text, *_ in leaves:
         length = len(text.strip())
         if length:
             own = sums[path]

@@ -213,6 +213,27 @@ def test_whole_nested_article(page, before, after):
     assert html_text.extract(page).split("\n\n") == [*before, *LONG, *after]
 
 
+ARTICLE = f"<article><h1>Title</h1>{BODY}</article>"
+COMMENTS = "<p>" + "I disagree, strongly, with all of it. " * 60 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        *(f"<body><div {x}>{ARTICLE}{LINKS}</div>" for x in ("class='page with-sidebar'", "class=no-sidebar", "id='menu-content'", "class='search widget'")),
+        f"<body><nav>x</nav><div class='page sidebar'><h1>Title</h1>{BODY}</div>",
+        f"<body><article><div class='entry-header'><h1>Title</h1></div>{BODY}</article>",
+        f"<body><article><div class='header'><h1>Title</h1></div>{BODY}<div class=share>Share it</div></article><div class=header><h1>Site</h1></div>",
+        f"<body><div class=post><div class='post-header'><h1>Title</h1></div>{BODY}</div><div class=sidebar><p>Aside, a text.</div>",
+        f"<body>{ARTICLE}<div class=comments><article class=comment>{COMMENTS}</article></div>",
+        f"<body><div class=all><h1>Title</h1>{BODY}</div><div id=comments><article class=comment-body>{COMMENTS}</article></div>",
+        f"<body>{ARTICLE}<div class=related><article class=card><a href=/x>Other, a story.</a></article></div>",
+    ],
+)
+def test_names_leave_out_no_content(page):
+    assert html_text.extract(page).split("\n\n") == ["Title", *LONG]
+
+
 def _shingles(text, size):
     said = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not said:
