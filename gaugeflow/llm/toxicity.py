@@ -3,8 +3,12 @@
 A document is a bag of sentences, of which one is enough to make it toxic. With p_s for
 the sentences, noisy-or gives the document 1 - prod(1 - p_s); p_s is a logistic function
 of the sentence's words and of their first four and five bytes, hashed. The weights are
-learned by gradient descent on the document labels, from a bounded sample, so no sentence
-is labelled. The same p_s then locate the sentences that offend.
+learned by gradient descent on the document labels, so no sentence is labelled. The same
+p_s then locate the sentences that offend.
+
+The sample is bounded for each class: SAMPLE_ROWS documents and SAMPLE_BYTES of text, of
+texts up to TEXT_BYTES. If there are labelled texts of both kinds, but of one only longer
+ones, fitting is an error.
 
 A sentence ends at a full stop, exclamation mark, question mark or line feed. Null and
 empty texts have no sentence and score 0. Rows with the same doc_id are scored apart; a
@@ -21,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeflow import session
 from gaugeflow.llm import words
 from gaugeflow.llm.tables import bounded_sample, give_back
 
-#: Labelled documents of each class, and bytes of text, that a model is fitted on.
+#: Labelled documents of each class, and bytes of their text, that a model is fitted on.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32 << 20
+#: Longer texts are scored as all others are, but no model is fitted on them.
+TEXT_BYTES = 1 << 20
 BUCKET_BITS = 22
 PREFIXES = (4, 5)
 LEAST_Z, LEAST_DOCUMENTS = 4.0, 4
@@ -189,27 +196,40 @@ def fit_texts(
     return Model(telling, w[:-1], float(w[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+    text_bytes: int = TEXT_BYTES,
+) -> Model:
     """Learn from labels(doc_id, toxic), of which at most sample_rows of each class are used."""
     once = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg((F.max("toxic") > 0).alias("toxic"))
     )
-    chosen = bounded_sample(once, "toxic", sample_rows)
+    said = docs.where("text IS NOT NULL").select("doc_id", F.octet_length("text").alias("size"))
+    shortest = said.groupBy("doc_id").agg(F.min("size").alias("size"))
+    known = session.stage(once.join(shortest, "doc_id"), "labelled")
+    usable = known.where(F.col("size") <= text_bytes)
+    chosen = bounded_sample(usable.select("doc_id", "toxic"), "toxic", sample_rows)
     # At most two classes of sample_rows ids; copies among the texts count once.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     size = F.sum(F.octet_length("text")).over(
-        Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
     )
     sample = (
-        texts.dropDuplicates(["text", "toxic"]).withColumn("size", size).where(F.col("size") <= sample_bytes)
+        texts.where(F.octet_length("text") <= text_bytes)
+        .dropDuplicates(["text", "toxic"])
+        .withColumn("size", size)
+        .where(F.col("size") <= max(sample_bytes, text_bytes))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     ).select("text", "toxic").toArrow()
+    toxic = np.array(sample.column("toxic").to_pylist(), bool)
+    for row in known.select("toxic").distinct().collect():
+        if not (toxic == row.toxic).any() and known.where(F.col("toxic") != row.toxic).take(1):
+            raise ValueError(f"no labelled text with toxic = {int(row.toxic)} has at most {text_bytes} bytes")
     counts = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic = np.array(sample.column("toxic").to_pylist(), int) > 0
     weight = np.ones(len(toxic))
     for kind in (True, False):
-        n = sum(c for value, c in counts.items() if (value > 0) == kind)
-        weight[toxic == kind] = n / max(1, (toxic == kind).sum())
+        weight[toxic == kind] = counts.get(kind, 0) / max(1, (toxic == kind).sum())
     text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     return fit_texts(text, toxic, weight)

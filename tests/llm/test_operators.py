@@ -147,6 +147,21 @@ def test_toxicity_learns_sentences(spark, docs, empty):
     assert not toxicity.fit(empty, labels).telling.size
 
 
+def test_long_texts_do_not_end_the_sample(spark):
+    rows = [(i, f"Some note{i} of {LOREM}. {'You are a vile toad.' if i % 4 == 0 else 'Well met, friend.'}") for i in range(200)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    first = labels.orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    long = "repeat(concat('A long, long note', doc_id, '. '), {})"
+    got = texts.withColumn("text", F.when(F.col("doc_id") == first, F.expr(long.format(2 << 20))).otherwise(F.col("text")))
+    model = toxicity.fit(got, labels)
+    scored = texts.select("doc_id", toxicity.score("text", model).alias("s")).collect()
+    assert all((r.s >= 0.3) == (r.doc_id % 4 == 0) for r in scored)
+    one_kind = texts.withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.expr(long.format(60_000))).otherwise(F.col("text")))
+    with pytest.raises(ValueError, match="toxic = 1"):
+        toxicity.fit(one_kind.where("doc_id < 10"), labels)
+
+
 def _counts(text):
     said = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
