@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow import session
 from gaugeflow.llm import words
-from gaugeflow.llm.tables import bounded_sample, give_back
+from gaugeflow.llm.tables import bounded_sample, give_back, text_key
 
-#: Labelled rows of each kind that a list is learned from.
+#: Labelled documents of each kind, and as many of their distinct rows, that a list is learned from.
 SAMPLE_ROWS = 4000
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -230,8 +231,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     once = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = bounded_sample(once, "quality", sample_rows)
     named = {name: column.alias(f"f_{name}") for name, column in features().items()}
-    # At most two classes of sample_rows ids.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # At most two classes of sample_rows ids, but an id may have many rows; equal ones count once.
+    known = docs.select("doc_id", "text", text_key().alias("k"))
+    keys = (
+        known.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "k", "quality", F.xxhash64("doc_id", "k").alias("row"))
+        .distinct()
+    )
+    taken = bounded_sample(session.stage(keys, "rows"), "quality", sample_rows, "row").select("doc_id", "k")
+    texts = known.join(F.broadcast(taken), ["doc_id", "k"]).distinct()
     rows = (
         with_statistics(texts)
         .join(F.broadcast(chosen), "doc_id")

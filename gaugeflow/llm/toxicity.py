@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from gaugeflow import session
 from gaugeflow.llm import words
-from gaugeflow.llm.tables import bounded_sample, give_back
+from gaugeflow.llm.tables import bounded_sample, give_back, text_key
 
-#: Labelled documents of each class, and bytes of their text, that a model is fitted on.
+#: Labelled documents of each class, as many of their texts, and bytes of these, that a model is fitted on.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32 << 20
 #: Longer texts are scored as all others are, but no model is fitted on them.
 TEXT_BYTES = 1 << 20
@@ -211,16 +211,22 @@ def fit(
     known = session.stage(once.join(shortest, "doc_id"), "labelled")
     usable = known.where(F.col("size") <= text_bytes)
     chosen = bounded_sample(usable.select("doc_id", "toxic"), "toxic", sample_rows)
-    # At most two classes of sample_rows ids; copies among the texts count once.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    size = F.sum(F.octet_length("text")).over(
-        Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    # At most two classes of sample_rows ids, but an id may have many texts; copies count once.
+    texts = docs.where(F.octet_length("text") <= text_bytes).select("doc_id", "text", text_key().alias("k"))
+    keys = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("k", "toxic")
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.octet_length("text")).alias("size"))
     )
-    sample = (
-        texts.where(F.octet_length("text") <= text_bytes)
-        .dropDuplicates(["text", "toxic"])
-        .withColumn("size", size)
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "k")
+    taken = (
+        bounded_sample(session.stage(keys, "texts"), "toxic", sample_rows, "k")
+        .withColumn("size", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .where(F.col("size") <= max(sample_bytes, text_bytes))
+    )
+    sample = (
+        texts.join(F.broadcast(taken.drop("size")), ["doc_id", "k"])
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     ).select("text", "toxic").toArrow()
     toxic = np.array(sample.column("toxic").to_pylist(), bool)

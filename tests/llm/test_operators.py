@@ -179,6 +179,18 @@ def test_statistics_equal_brute_force(docs, empty, sf_dir, spark):
     assert quality_rules.judge(empty, []).count() == 0
 
 
+def test_samples_bound_rows_of_one_id(spark, monkeypatch):
+    rows = [(1, f"{LOREM} one{i} stays.") for i in range(300)] + [(i, f"{LOREM} two{i} goes.") for i in range(2, 30)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 30)], "doc_id bigint, toxic int, quality int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda column, toxic, weight: seen.append(toxic))
+    monkeypatch.setattr(quality_rules, "learn_rules", lambda table, bad: seen.append(bad))
+    toxicity.fit(texts, labels, sample_rows=40)
+    quality_rules.fit(texts, labels, sample_rows=40)
+    assert [(sorted(Counter(x.tolist()).values())) for x in seen] == [[14, 40]] * 2
+
+
 def test_rules_cover_what_is_bad():
     rng = np.random.default_rng(0)
     table = {"upper_share": rng.random(600), "mark_share": rng.random(600)}
