@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import session
 from gaugeflow.llm import (
+    bpe_stream,
     chat_format,
     decontamination,
     html_text,
@@ -106,6 +107,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.digests(load(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 QUERIES = {
     name: tuned(query) for name, query in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
