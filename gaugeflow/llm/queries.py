@@ -13,6 +13,7 @@ from gaugeflow.llm import (
     html_text,
     jaccard_join,
     language_id,
+    merkle,
     packing,
     quality_rules,
     token_files,
@@ -111,6 +112,10 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.digests(load(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_rows(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     name: tuned(query) for name, query in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
@@ -163,4 +168,8 @@ FROM said LEFT JOIN n USING (doc_id) LEFT JOIN named USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": CHAT_SQL, "op10_decontamination": DECONTAMINATION_SQL}
+    return {
+        "op2_chat_format": CHAT_SQL,
+        "op10_decontamination": DECONTAMINATION_SQL,
+        "op12_merkle_manifest": merkle.SQL,
+    }
