@@ -13,6 +13,7 @@ from gaugeflow.llm import (
     html_text,
     jaccard_join,
     language_id,
+    lexical_search,
     merkle,
     packing,
     quality_rules,
@@ -116,6 +117,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_rows(load(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     name: tuned(query) for name, query in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
@@ -172,4 +177,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": CHAT_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
         "op12_merkle_manifest": merkle.SQL,
+        "op13_lexical_search": lexical_search.SQL,
     }
