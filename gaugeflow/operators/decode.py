@@ -129,6 +129,13 @@ def archive_rows(messages: DataFrame) -> DataFrame:
     )
 
 
+def archive_schema() -> T.StructType:
+    """The columns of archived messages."""
+    kinds = {"partition": T.IntegerType(), "offset": T.LongType()}
+    names = ["_id", "key", *POSITION, "status", "value"]
+    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+
+
 def document_rows(messages: DataFrame) -> DataFrame:
     """Messages as nested documents for a store: identity, place, status, and the record.
 

@@ -117,3 +117,62 @@ def parity(
     return both.agg(
         F.count("*").alias("n_scored"), F.count_if(~same).alias("n_differing")
     )
+
+
+def optimality(
+    train: DataFrame,
+    coefficients: Sequence[float],
+    intercept: float,
+    training: Training = Training(),
+    features: Sequence[str] = S.FEATURES,
+    tolerance: float = 1e-3,
+) -> DataFrame:
+    """Whether a model is the one that training asks for, feature by feature.
+
+    The loss of the elastic net has one minimum, at which the slope of the mean loss along each
+    standardised feature is held by the penalty: it equals the penalty's slope where the
+    coefficient is not zero, and is no steeper than the absolute penalty where it is. A row tells
+    the slope, by how much it is `off`, and whether that is within the tolerance; one more
+    row is for the intercept, which has no penalty. `loss` is that of the whole model, with penalty.
+
+    `train` has `label` and the features as columns and is read once. A constant feature must
+    have a coefficient of zero. Without rows nothing is optimal.
+    """
+    linear = LinearScore(tuple(coefficients), intercept, features=tuple(features))
+    scored = train.selectExpr("label", *map(sql.name, features), sql.named(linear.margin(), "margin"))
+    gap = 1 / (1 + F.exp(-F.col("margin"))) - F.col("label")
+    # log(1 + exp(-m)) without overflow, with the sign of the label.
+    signed = F.when(F.col("label") == 1, F.col("margin")).otherwise(-F.col("margin"))
+    loss = F.log1p(F.exp(-F.abs("margin"))) + F.greatest(-signed, F.lit(0.0))
+    sums = scored.select("*", gap.alias("gap"), loss.alias("own_loss")).agg(
+        F.avg("gap").alias("g"),
+        F.avg("own_loss").alias("mean_loss"),
+        *[F.avg(F.col("gap") * F.col(name)).alias(f"g{j}") for j, name in enumerate(features)],
+        *[F.stddev_samp(name).alias(f"s{j}") for j, name in enumerate(features)],
+    )
+    absolute = training.reg_param * training.elastic_net
+    square = training.reg_param * (1 - training.elastic_net)
+    rows, penalty = [], F.lit(0.0)
+    for j, (name, value) in enumerate(zip(features, coefficients, strict=True)):
+        spread, weight = F.col(f"s{j}"), F.lit(float(value)) * F.col(f"s{j}")
+        slope = F.when(spread > 0, F.col(f"g{j}") / spread + square * weight).otherwise(0.0)
+        if value == 0:
+            off = F.greatest(F.abs(slope) - absolute, F.lit(0.0))
+        else:
+            off = F.abs(slope + absolute * (1 if value > 0 else -1))
+        penalty = penalty + absolute * F.abs(weight) + square / 2 * weight * weight
+        rows.append((name, float(value), slope, off))
+    rows.append(("intercept", float(intercept), F.col("g"), F.abs("g")))
+    members = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.lit(value).alias("coefficient"),
+            F.lit(0 if value == 0 else 1 if value > 0 else -1).alias("sign"),
+            slope.alias("slope"),
+            off.alias("off"),
+            F.coalesce(off <= tolerance, F.lit(False)).alias("optimal"),
+        )
+        for name, value, slope, off in rows
+    ]
+    told = sums.select(F.explode(F.array(*members)).alias("r"), (F.col("mean_loss") + penalty).alias("loss"))
+    return told.select("r.*", "loss")

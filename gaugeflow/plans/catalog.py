@@ -15,7 +15,7 @@ from gaugeflow.functions import readings, records, sql
 from gaugeflow.operators import decode, evaluate, features, synth
 from gaugeflow.operators import model as models
 from gaugeflow.plans import event_records as er
-from gaugeflow.plans import jobs
+from gaugeflow.plans import jobs, topic_queries
 from gaugeflow.plans.fixed_model import FIXED
 from gaugeflow.sources import documents, endpoint_config
 from gaugeflow.sources.messages import FROM_EARLIEST, FROM_LATEST, Subscription
@@ -356,7 +356,18 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[jobs.Trained, str]:
 
 def lr_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained, _ = _trained(spark, sf_dir)
-    return models.coefficient_table(spark, trained.model)
+    # Any solver comes near the one minimum; two digits are the same in all of them.
+    rounded = F.round("coefficient", 2) + 0
+    return models.coefficient_table(spark, trained.model).withColumn("coefficient", rounded)
+
+
+def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the trained model is the one with the smallest loss, by the training rows."""
+    trained, _ = _trained(spark, sf_dir)
+    rows = _labelled(spark, sf_dir).where(features.split_part(F.col("event_id")) == "train")
+    coefficients = [float(c) for c in trained.model.coefficients]
+    told = models.optimality(rows, coefficients, float(trained.model.intercept))
+    return told.select("feature", "sign", "optimal", F.round("loss", 6).alias("loss"))
 
 
 def reload_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -494,6 +505,7 @@ QUERIES: dict[str, Query] = {
         random_split_counts,
         key_split,
         lr_coefficients,
+        lr_optimality,
         reload_parity,
         score_batch,
         score_stream,
@@ -507,7 +519,7 @@ QUERIES: dict[str, Query] = {
         gen_records,
         mode_switch,
     )
-}
+} | topic_queries.QUERIES
 
 
 def tuned(query: Query) -> Query:

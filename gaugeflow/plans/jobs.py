@@ -17,7 +17,8 @@ from gaugeflow.functions import records
 from gaugeflow.operators import decode, evaluate, features
 from gaugeflow.operators import model as models
 from gaugeflow.sources.endpoint_config import EndpointConfig
-from gaugeflow.streaming import sinks
+from gaugeflow.sources.topic_stream import NAME as TOPIC_TABLE
+from gaugeflow.streaming import manifests, sinks, topics
 
 SCORED = [S.TIME, "label", "margin", "probability", "prediction"]
 
@@ -27,10 +28,14 @@ def publish(
 ) -> None:
     """Append `topic, key, value` messages; the topic column routes each row.
 
-    A broker gives each message its place. Where a table stands in for it, rows
-    without a place get the number of their task and the next position after
-    what that topic and partition hold. One publisher writes such a table at a time.
+    A broker gives each message its place, and so does a topic table, from its ledger. In a plain
+    table rows without a place get the number of their task and the next position after
+    what that topic and partition hold, which is read for it; prefer a topic table.
+    One publisher writes a table at a time.
     """
+    if fmt == TOPIC_TABLE:
+        topics.TopicTable(path).publish(messages)
+        return
     if fmt == "kafka":
         messages.select("topic", "key", "value").write.format(fmt).options(**options).save()
         return
@@ -85,6 +90,26 @@ def consume(
     return sinks.fan_out(decode.archive_rows(messages), branches, checkpoint)
 
 
+def publish_stream(
+    messages: DataFrame, checkpoint: str, fmt: str = "kafka", path: str | None = None, **options: str
+) -> DataStreamWriter:
+    """Publish a stream of `topic, key, value`, into a topic table each message once."""
+    if fmt == TOPIC_TABLE:
+        # The checkpoint tells the batches of one query from those of another.
+        return topics.publish_stream(messages, topics.TopicTable(path), checkpoint, writer=checkpoint)
+    writer = messages.select("topic", "key", "value").writeStream.format(fmt).options(**options)
+    return writer.option("checkpointLocation", checkpoint)
+
+
+def consume_whole(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """As `consume`, into a table whose lines and documents of a batch appear together."""
+    shapes = {
+        "lines": lambda batch: batch.select("key", records.consumed_line().alias("line")),
+        "documents": lambda batch: batch,
+    }
+    return manifests.fan_out_whole(decode.archive_rows(messages), shapes, manifests.WholeBatches(path), checkpoint)
+
+
 def archive(messages: DataFrame, sink: sinks.Sink, checkpoint: str) -> DataStreamWriter:
     """Every message as a document, marked where its text is none."""
     return sinks.to_sink(decode.archive_rows(messages), sink, checkpoint)

@@ -269,6 +269,65 @@ def _scored_line() -> str:
     )
 
 
+def _fitted(steps: int = 600, momentum: float = 0.9) -> str:
+    """`_coded` with noise, then `fitted`: the elastic net of the training rows by accelerated
+    proximal steps on standardised features, whose loss has one minimum."""
+    names = [*CATEGORIES, *SENSORS]
+    absolute, square = 0.02 * 0.8, 0.02 * (1 - 0.8)
+    # Steps that no loss with so many standardised features and an intercept can outrun.
+    pace = 4 / (len(names) + 1)
+
+    def each(form: str, between: str = ", ") -> str:
+        return between.join(form.format(j=j, n=n) for j, n in enumerate(names))
+
+    margin = f"vb + {each('v{j} * z{j}', ' + ')}"
+    soft = f"sign(u{{j}}) * greatest(abs(u{{j}}) - {_double(absolute * pace)}, 0) AS n{{j}}"
+    on = _double(momentum)
+    return f"""{_coded(noise=True).replace("WITH ", "WITH RECURSIVE ", 1)}, base AS (
+  SELECT Result AS y, {each("CAST({n} AS DOUBLE) AS x{j}")} FROM coded WHERE {_part("event_id")} = 'train'
+), shape AS (
+  SELECT {each("avg(x{j}) AS m{j}")}, {each("stddev_samp(x{j}) AS s{j}")} FROM base
+), standard AS (
+  SELECT y, {each("CASE WHEN s{j} > 0 THEN (x{j} - m{j}) / s{j} ELSE 0 END AS z{j}")} FROM base, shape
+), fit AS (
+  SELECT 0 AS step, 0::DOUBLE AS wb, 0::DOUBLE AS vb, {each("0::DOUBLE AS w{j}")}, {each("0::DOUBLE AS v{j}")}
+  UNION ALL
+  SELECT step + 1, nb, nb + {on} * (nb - wb), {each("n{j}")}, {each("n{j} + " + on + " * (n{j} - w{j})")}
+  FROM (
+    SELECT step, wb, {each("w{j}")}, nb, {each(soft)} FROM (
+      SELECT step, wb, {each("w{j}")}, vb - {_double(pace)} * avg(gap) AS nb,
+        {each("v{j} - " + _double(pace) + " * (avg(gap * z{j}) + " + _double(square) + " * v{j}) AS u{j}")}
+      FROM (
+        SELECT fit.*, {each("z{j}")}, 1 / (1 + exp(-({margin}))) - y AS gap FROM fit, standard WHERE step < {steps}
+      ) GROUP BY step, wb, vb, {each("w{j}")}, {each("v{j}")}
+    )
+  )
+), fitted AS (
+  SELECT {each("CASE WHEN s{j} > 0 THEN w{j} / s{j} ELSE 0 END AS c{j}")},
+    wb - ({each("CASE WHEN s{j} > 0 THEN w{j} * m{j} / s{j} ELSE 0 END", " + ")}) AS cb,
+    {_double(absolute)} * ({each("abs(w{j})", " + ")}) + {_double(square / 2)} * ({each("w{j} * w{j}", " + ")}) AS penalty
+  FROM fit, shape WHERE step = {steps}
+)"""
+
+
+def _coefficients() -> str:
+    named = [*((n, f"c{j}") for j, n in enumerate([*CATEGORIES, *SENSORS])), ("intercept", "cb")]
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS feature, {c} AS c FROM fitted" for n, c in named)
+    return f"{_fitted()} SELECT feature, round(c, 2) + 0 AS coefficient FROM ({rows})"
+
+
+def _optimality() -> str:
+    named = [*((n, f"c{j}") for j, n in enumerate([*CATEGORIES, *SENSORS])), ("intercept", "cb")]
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS feature, {c} AS c FROM fitted" for n, c in named)
+    margin = " + ".join(f"c{j} * x{j}" for j in range(len(named) - 1))
+    return f"""{_fitted()}, losses AS (
+  SELECT avg(ln(1 + exp(-abs(cb + {margin}))) + greatest(CASE WHEN y = 1 THEN -1 ELSE 1 END * (cb + {margin}), 0))
+    + any_value(penalty) AS loss FROM base, fitted
+)
+SELECT feature, CAST(sign(CASE WHEN abs(c) < 1e-12 THEN 0 ELSE c END) AS INTEGER) AS sign, TRUE AS optimal,
+  round(loss, 6) AS loss FROM ({rows}), losses"""
+
+
 def oracle_sql() -> dict[str, str]:
     typed = f"""{_messages()} SELECT "key", "value", {_POSITION} FROM messages"""
     in_scored = "round(margin, 6) AS margin, round(probability, 6) AS probability, prediction"
@@ -331,6 +390,8 @@ SELECT CurrentTime, Result AS label, prediction, {_scored_line()} AS line FROM s
         "random_split_counts": """SELECT count(*) AS n_rows, count(*) AS n_split,
   TRUE AS same_rows, TRUE AS share_ok FROM events""",
         "key_split": f"SELECT event_id, {_part('event_id')} AS part FROM events",
+        "lr_coefficients": _coefficients(),
+        "lr_optimality": _optimality(),
         "reload_parity": f"""SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_differing
 FROM events WHERE {_part("event_id")} = 'test'""",
         "score_batch": f"""{_scored()} SELECT CAST(event_id AS VARCHAR) AS "key",
@@ -361,6 +422,32 @@ SELECT event_id, Result AS label, {
         "threshold_level": f"{_records()} SELECT event_id, Result, {', '.join(CATEGORIES)} FROM records",
         "noisy_level": f"{_records(noise=True)} SELECT event_id, {', '.join(CATEGORIES)} FROM records",
         "gen_records": f"""{_messages(noise=True)} SELECT topic, "key", "value" FROM messages""",
+        "publish_stream": f"""{_messages(topic="event_type")}
+SELECT topic, "partition", "key", "value", count(*) OVER run AS n, count(*) OVER run AS n_places,
+  CAST(0 AS BIGINT) AS first, count(*) OVER run - 1 AS last
+FROM messages WINDOW run AS (PARTITION BY topic, "partition")""",
+        "publish_report": f"""{_messages(topic="event_type")}, halves AS (
+  SELECT *, "offset" % 2 AS half, count(*) FILTER ("offset" % 2 = 0) OVER (PARTITION BY topic, "partition") AS before,
+    row_number() OVER (PARTITION BY topic, "partition", "offset" % 2 ORDER BY "offset") - 1 AS own,
+    count(*) OVER (PARTITION BY topic, "partition", "offset" % 2) AS n FROM messages
+)
+SELECT "key", topic, "partition", before AS first, before + n AS next, n, 'topic=' || topic || '  partition=' || "partition"
+  || '  offset=' || (before + own) || ': ' || chr(10) || "value" AS line FROM halves WHERE half = 1""",
+        "offset_stream": f"""{typed} WHERE "partition" = 0 OR ("partition" = 1 AND "offset" >= 100)
+  OR ("partition" = 2 AND "offset" >= 7) OR ("partition" = 3 AND "offset" >= 200)""",
+        "insert_sizes": f"""{_messages()} SELECT "partition", CAST("offset" // 10 AS INTEGER) AS insert_no,
+  count(*) AS size FROM messages GROUP BY ALL""",
+        "committed_places": f"""{_messages(topic="event_type")} SELECT topic, "partition",
+  count(*) FILTER ("offset" < 100) AS committed, count(*) FILTER ("offset" >= 100) AS behind
+FROM messages WHERE topic IN ('click', 'view') GROUP BY ALL""",
+        "inferred_scan": f"{_records()} SELECT CurrentTime, Result, {MEMBERS} FROM records",
+        "inferred_mixed": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING'
+    WHEN 2 THEN 'ARRAY<BIGINT>' END AS kind,
+  CASE event_id % 4 WHEN 0 THEN user_id::VARCHAR WHEN 1 THEN '"' || event_type || '"'
+    WHEN 2 THEN '[' || user_id || ']' END AS tag FROM events""",
+        "fan_out_whole": f"""{_messages()}
+SELECT 'console' AS sink, "key", {_CONSUMED} AS line, CAST(0 AS BIGINT) AS n_before FROM messages
+UNION ALL SELECT 'store' AS sink, "key", "value" AS line, CAST(0 AS BIGINT) AS n_before FROM messages""",
         "mode_switch": f"""{_record_status()}
 SELECT 'archive' AS mode, COALESCE({_JSON_STATUS}, 'ok') AS status, count(*) AS n
 FROM damaged GROUP BY 2

@@ -52,8 +52,43 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete a work folder that nothing reads any more."""
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def _file_system(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    files, path = _file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    return [str(found.getPath().getName()) for found in files.listStatus(path)]
+
+
+def listed_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files below a folder, at any depth."""
+    files, path = _file_system(spark, folder)
+    found, names = files.listFiles(path, True), []
+    while found.hasNext():
+        names.append(str(found.next().getPath()))
+    return names
+
+
+def made(spark: SparkSession, folder: str) -> None:
+    files, path = _file_system(spark, folder)
+    files.mkdirs(path)
+
+
+def renamed(spark: SparkSession, folder: str, new: str) -> None:
+    """Give a folder another name, by which its readers see all of it or nothing."""
+    files, path = _file_system(spark, folder)
+    _, target = _file_system(spark, new)
+    if files.exists(target) or not files.rename(path, target):
+        raise RuntimeError(f"cannot rename {folder} to {new}")
 
 
 def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:

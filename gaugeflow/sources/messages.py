@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schemas import ENVELOPE
+from gaugeflow.sources.topic_stream import NAME as TOPIC_TABLE
+from gaugeflow.sources.topic_stream import TopicSource
 
 # Names and numbers the Kafka source gives to open positions.
 EARLIEST, LATEST = "earliest", "latest"
@@ -62,6 +64,10 @@ class Subscription:
             options["endingOffsets"] = _kafka_position(self.end)
         return options
 
+    def topic_options(self) -> dict[str, str]:
+        """Options of a stream over a topic table."""
+        return {"topics": json.dumps(self.topics), "start": _kafka_position(self.start)}
+
     def selected(self) -> Column:
         """The same choice as a predicate on an envelope table."""
         chosen = F.col("topic").isin(*self.topics)
@@ -122,13 +128,19 @@ def message_stream(
     """Messages as a stream.
 
     Another bound for micro-batches can be given as `maxOffsetsPerTrigger` for
-    Kafka, or `maxFilesPerTrigger` or `maxBytesPerTrigger` for an envelope table.
+    Kafka, or `maxFilesPerTrigger` or `maxBytesPerTrigger` for an envelope table. A topic
+    table takes in all there is, or `maxOffsetsPerTrigger`, kept over restarts if `planned`
+    names a file of the query's own; `runs.run_caught_up` reads it to its end in such batches.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         return reader.options(**subscription.kafka_options(streaming=True)).options(**options).load()
+    if fmt == TOPIC_TABLE:
+        spark.dataSource.register(TopicSource)
+        reader = reader.options(path=path, **subscription.topic_options())
+        return reader.options(**options).load()
     if subscription.start == LATEST:
-        raise ValueError("a stream over a table starts at its first file")
+        raise ValueError("a stream over files has no positions; it starts at its first file")
     files = reader.schema(ENVELOPE).options(**bounded_files(options)).load(path)
     return files.where(subscription.selected())
 
@@ -146,4 +158,8 @@ def message_scan(
         return (
             reader.options(**subscription.kafka_options(streaming=False)).options(**options).load()
         )
+    if fmt == TOPIC_TABLE:
+        from gaugeflow.streaming.topics import TopicTable
+
+        return TopicTable(path).scan(spark, subscription)
     return reader.schema(ENVELOPE).options(**options).load(path).where(subscription.selected())

@@ -12,6 +12,19 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def run_caught_up(writer: DataStreamWriter) -> StreamingQuery:
+    """Process what the source holds in batches as large as it allows, until it has no more, and end.
+
+    For sources whose bound would end `run_available` after one batch.
+    """
+    query = writer.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def run_for(writer: DataStreamWriter, seconds: int) -> StreamingQuery:
     """Process what arrives within a number of seconds, then stop."""
     query = writer.start()

@@ -37,3 +37,15 @@ def test_all_jobs(spark, place, capsys):
     consumed = ["--checkpoint", place / "c-consume", "--out", place / "consumed"]
     _run(place, "consume", *consumed, "--seconds", 8)
     assert spark.read.parquet(f"{place}/consumed/documents").count() == 2000
+
+
+def test_jobs_over_a_topic_table(spark, place, capsys):
+    source = ["--format", "topic_table", "--path", f"{place}/topics", "--topic", "epd01"]
+    for _ in range(2):
+        main([*source, "publish", "--records", "500"])
+    out = f"{place}/t-archive"
+    main([*source, "archive", "--checkpoint", f"{place}/c-t-archive", "--out", out])
+    rows = spark.read.parquet(out)
+    assert rows.count() == rows.select("_id").distinct().count() == 1000
+    main([*source, "train", "--model", f"{place}/t-model"])
+    assert "auc_of_scores" in capsys.readouterr().out

@@ -199,3 +199,39 @@ def test_publishing_adds_to_what_is_there(spark, tmp_path):
     there = spark.read.parquet(path)
     assert there.count() == 90
     assert there.select("topic", "partition", "offset").distinct().count() == 90
+
+
+def _told(rows, coefficients, intercept):
+    return {r.feature: r for r in models.optimality(rows, coefficients, intercept).collect()}
+
+
+def test_a_trained_model_is_optimal_and_others_are_not(labelled, model):
+    coefficients = [float(c) for c in model.coefficients]
+    told = _told(labelled, coefficients, float(model.intercept))
+    assert len(told) == 19 and all(r.optimal for r in told.values())
+    assert {n: r.sign for n, r in told.items() if n != "intercept"} == {
+        n: int(np.sign(c)) for n, c in zip(S.FEATURES, coefficients, strict=True)
+    }
+    changed = [c + 0.2 if i == 0 else c for i, c in enumerate(coefficients)]
+    moved = _told(labelled, changed, float(model.intercept))
+    assert not moved["cat0"].optimal and moved["cat0"].loss > told["cat0"].loss
+    assert not _told(labelled, coefficients, float(model.intercept) + 0.1)["intercept"].optimal
+    absent = next(i for i, c in enumerate(coefficients) if c == 0)
+    added = [c + 0.5 if i == absent else c for i, c in enumerate(coefficients)]
+    assert not _told(labelled, added, float(model.intercept))[S.FEATURES[absent]].optimal
+    dropped = _told(labelled, [0.0] * 18, float(model.intercept))
+    assert not dropped["cat0"].optimal
+
+
+def test_optimality_of_odd_tables(spark, labelled):
+    constant = labelled.withColumn("sensor0", F.lit(5.0))
+    assert _told(constant, [0.0] * 18, 0.0)["sensor0"].optimal
+    assert not any(r.optimal for n, r in _told(labelled.limit(0), [0.0] * 18, 0.0).items() if n == "intercept")
+
+
+def test_training_parameters_matter_to_optimality(assembled, labelled):
+    other = models.Training(reg_param=0.1, elastic_net=0.3)
+    fitted = models.fit(assembled, other)
+    given = [float(c) for c in fitted.coefficients], float(fitted.intercept)
+    assert all(r.optimal for r in models.optimality(labelled, *given, training=other).collect())
+    assert not all(r.optimal for r in models.optimality(labelled, *given).collect())

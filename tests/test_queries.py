@@ -14,7 +14,7 @@ ORACLES = oracles.oracle_sql()
 
 def test_every_twin_has_a_query():
     assert set(contract.oracle_sql()) <= set(QUERIES)
-    assert set(catalog.QUERIES) - set(ORACLES) == {"lr_coefficients"}
+    assert set(catalog.QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -4,6 +4,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from sample import messages, text
 
 from gaugeflow import schemas as S
@@ -11,8 +12,8 @@ from gaugeflow.operators import decode, features
 from gaugeflow.operators import model as models
 from gaugeflow.plans import catalog, jobs
 from gaugeflow.plans.fixed_model import FIXED
-from gaugeflow.sources.messages import Subscription, message_stream
-from gaugeflow.streaming import runs, sinks
+from gaugeflow.sources.messages import TOPIC_TABLE, Subscription, message_scan, message_stream
+from gaugeflow.streaming import manifests, runs, sinks
 
 TOPIC = Subscription(("epd01",))
 
@@ -259,3 +260,27 @@ def test_connector_options():
         "maxBatchSize": "25",
     }
     assert sinks.mongo_sink().all_options()["maxBatchSize"] == "10"
+
+
+def test_lines_and_documents_appear_together(spark, place):
+    values = [text(), "x", None]
+    _arrive(spark, place, values)
+    runs.run_available(jobs.consume_whole(_stream(spark, place), place.out, place.checkpoint))
+    _arrive(spark, place, values, first_offset=3)
+    runs.run_available(jobs.consume_whole(_stream(spark, place), place.out, place.checkpoint))
+    table = manifests.WholeBatches(place.out)
+    stored = table.read(spark, "documents", decode.archive_schema())
+    assert sorted((r.offset, r.batch, r.status) for r in stored.collect()) == [
+        (3 * b + i, b, s) for b in (0, 1) for i, s in enumerate(["ok", "malformed", "blank"])
+    ]
+    assert table.read(spark, "lines", T.StructType([T.StructField("line", T.StringType())])).count() == 6
+
+
+def test_a_stream_is_published_into_a_topic_table(spark, place):
+    _arrive(spark, place, [text()] * 5)
+    for _ in range(2):
+        runs.run_available(
+            jobs.publish_stream(_stream(spark, place).drop("offset"), place.checkpoint, TOPIC_TABLE, place.out)
+        )
+    read = message_scan(spark, TOPIC, TOPIC_TABLE, place.out)
+    assert sorted(r.offset for r in read.collect()) == list(range(5))
