@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from gaugeflow.functions import sql
 
 _QUOTED = re.compile(r"(`(?:[^`]|``)*`)")
-_WHOLE_DIGITS = 18
+# What whole numbers of 64 bits and numbers with a point have in common has up to 20 digits.
+_DOUBLE_DIGITS = 20
 
 
 def scan_collection(
@@ -35,15 +36,14 @@ def scan_collection(
 def _column_type(seen: str) -> str:
     """The type of columns for what was seen in documents.
 
-    Whole numbers become `bigint` up to 18 digits and decimals beyond, other numbers `double`;
-    what was only ever null becomes text, and what had several kinds stays a variant.
+    Whole numbers of 64 bits are `bigint` and longer ones decimals; numbers that were written with
+    a point or an exponent anywhere are `double`, 3.0 too. What was only ever null becomes text,
+    and what had several kinds stays a variant.
     """
 
     def number(found: re.Match) -> str:
         digits, scale = int(found[1]), int(found[2])
-        if scale:
-            return "DOUBLE"
-        return "BIGINT" if digits <= _WHOLE_DIGITS else f"DECIMAL({min(digits, 38)},0)"
+        return "DOUBLE" if scale or digits <= _DOUBLE_DIGITS else f"DECIMAL({min(digits, 38)},0)"
 
     made = []
     for part in _QUOTED.split(seen):
