@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import array
 import codecs
+import gc
 import hashlib
 import heapq
 import itertools
@@ -34,6 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gaugeflow.llm.merging import ID_BITS as _BITS
+from gaugeflow.llm.merging import LONGEST, PairTable
+from gaugeflow.llm.merging import LOW as _LOW
+from gaugeflow.llm.merging import NONE as _NONE
 from gaugeflow.llm.tables import per_batch
 
 # Fixed values of the file format: the pattern of words, the steps of the normalizer, and the
@@ -45,10 +50,8 @@ LONGEST_CONTRACTION = 3
 
 BLOCK = 1 << 16
 LONG_STRETCH = 128
-KEPT_STRETCHES = KEPT_WORDS = 500_000
-_BITS = 20
-_LOW = (1 << _BITS) - 1
-_NONE = 1 << 62
+KEPT_STRETCHES, KEPT_WORDS = 1_000_000, 700_000
+LEARNT_AT_ONCE = 50_000
 
 # White space as the library reads it; the separators of information are none.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -156,6 +159,7 @@ class Merges:
             made.add(whole)
             parts[whole] = (left, right)
             self.pairs[left << _BITS | right] = rank << _BITS | whole
+        self.table = PairTable(self.pairs)
         self.lookahead = self._lookahead([(ids[a], ids[b]) for a, b in merges], parts) if self.ordered else None
 
     def _lookahead(self, merges: list[tuple[int, int]], parts: dict[int, tuple[int, int]]) -> int:
@@ -319,9 +323,13 @@ class Encoder:
         self.merges = merges
         self.table: dict[str, bytes] = {"": b""}
         self.seen: dict[str, bytes] = {}
+        self.inner, self.final = np.array(merges.inner), np.array(merges.final)
         self.code = "H" if merges.kind == "<u2" else "I"
         longest_first = sorted(merges.controls, key=len, reverse=True)
         self.control = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if longest_first else None
+        # What every control string begins with; a stretch without it holds none.
+        signs = {c[0] for c in merges.controls}
+        self.sign = signs.pop() if len(signs) == 1 else ""
         self._joins: frozenset[str] | None = None
 
     def joins_left(self) -> frozenset[str]:
@@ -356,13 +364,42 @@ class Encoder:
         seen = self.seen
         return b"".join([seen.get(x) or self._word(x) for x in self.merges.words.findall(lowered)])
 
+    def learn(self, stretches: Iterable[str]) -> None:
+        """Look up many stretches ahead; what is too long for the tables is left out."""
+        # Before and not after: what is learnt now is needed next.
+        _halved(self.table, KEPT_STRETCHES)
+        _halved(self.seen, KEPT_WORDS)
+        new = [x for x in stretches if x not in self.table and len(x) <= LONG_STRETCH]
+        controls, seen, findall = self.merges.controls, self.seen, self.merges.words.findall
+        collecting = gc.isenabled()
+        gc.disable()  # many short lists live for a moment, and none of them in a cycle
+        for k in range(0, len(new), LEARNT_AT_ONCE):
+            plans, missing = [], {}
+            for stretch in new[k : k + LEARNT_AT_ONCE]:
+                if self.sign in stretch and any(c in stretch for c in controls):
+                    continue
+                lowered = _lower(stretch if stretch.isascii() else unicodedata.normalize("NFC", stretch))
+                words = [lowered] if lowered.isalpha() else findall(lowered)
+                plans.append((stretch, words))
+                for word in words:
+                    if word not in seen and len(raw := word.encode("utf-8", "replace")) <= LONGEST:
+                        missing[raw] = word
+            made = self.merges.table.words(missing, self.inner, self.final, self.merges.kind)
+            seen.update((missing[raw], ids) for raw, ids in made.items())
+            for stretch, words in plans:
+                found = [seen.get(w) for w in words]
+                if None not in found:
+                    self.table[stretch] = b"".join(found)
+        if collecting:
+            gc.enable()
+
     def _learn(self, stretch: str) -> bytes | None:
         if len(stretch) > LONG_STRETCH:
             return None
         _halved(self.table, KEPT_STRETCHES)
         _halved(self.seen, KEPT_WORDS)
         controls = self.merges.controls
-        if not any(c in stretch for c in controls):
+        if self.sign not in stretch or not any(c in stretch for c in controls):
             made = self._words(stretch)
         else:
             made = b"".join(
@@ -455,6 +492,22 @@ class Codec:
     def __reduce__(self):
         return _codec_of, (self.merges,)
 
+    def ahead(self, texts: Iterable[str | None]) -> None:
+        """Learn the stretches of a batch together, before its texts are encoded one by one."""
+        found: set[str] = set()
+        for text in texts:
+            for start in range(0, len(text or ""), BLOCK):
+                found.update(text[start : start + BLOCK].replace("\n", " ").split(" "))
+            if len(found) > 4 * LEARNT_AT_ONCE:
+                self.encoder.learn(found)
+                found = set()
+        self.encoder.learn(found)
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each of some texts, as bytes of the merges' kind."""
+        self.ahead(texts)
+        return [b"".join(self.encoder.encode(text)) for text in texts]
+
     def passes(self, text: str | None) -> Iterator[tuple[np.ndarray, str]]:
         """Blocks of ids, each with the text that it decodes to."""
         for raw in self.encoder.encode(text):
@@ -476,13 +529,14 @@ def codec_of(path: str) -> Codec:
         return Codec(file.read())
 
 
-def _shared(docs: DataFrame, path: str):
+def shared_codec(docs: DataFrame, path: str):
+    """The codec of a file for all tasks."""
     # As large as the tokenizer file, whatever the corpus. A worker unpacks it once and
     # its tasks go on with the table of those before.
     return docs.sparkSession.sparkContext.broadcast(codec_of(path))
 
 
-def _texts(column: pa.Array) -> list[str | None]:
+def texts_of(column: pa.Array) -> list[str | None]:
     """Texts of a column; bytes that are no UTF-8 are read as replacement characters."""
     try:
         return column.to_pylist()
@@ -492,14 +546,11 @@ def _texts(column: pa.Array) -> list[str | None]:
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and the ids of the whole text."""
-    codec = _shared(docs, path)
+    codec = shared_codec(docs, path)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kind = codec.value.merges.kind
-        made = [
-            np.frombuffer(b"".join(codec.value.encoder.encode(t)), kind).astype(np.int32)
-            for t in _texts(batch.column("text"))
-        ]
+        kind, texts = codec.value.merges.kind, texts_of(batch.column("text"))
+        made = [np.frombuffer(raw, kind).astype(np.int32) for raw in codec.value.encode_batch(texts)]
         offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
         flat = pa.array(np.concatenate(made) if made else np.zeros(0, np.int32))
         return pa.RecordBatch.from_arrays(
@@ -511,7 +562,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and the text of its ids."""
-    codec = _shared(encoded, path)
+    codec = shared_codec(encoded, path)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         decoder, texts = codec.value.decoder, []
@@ -525,11 +576,13 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Number and digest of the ids of each document, and digest of what they decode to."""
-    codec = _shared(docs, path)
+    codec = shared_codec(docs, path)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, ids_hex, text_hex = [], [], []
-        for text in _texts(batch.column("text")):
+        texts = texts_of(batch.column("text"))
+        codec.value.ahead(texts)
+        for text in texts:
             n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
             for ids, decoded in codec.value.passes(text):
                 n += len(ids)

@@ -14,7 +14,6 @@ and ids are interchangeable; each gets a place of its own. An empty table gives
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow import session
-from gaugeflow.llm.tables import give_back, per_batch
-from gaugeflow.llm.tokens import TextEncoder, as_uint32
+from gaugeflow.llm.bpe_stream import shared_codec, texts_of
+from gaugeflow.llm.tables import per_batch
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PIECES_WITH_IDS = PIECES + ", ids binary"
@@ -117,28 +116,26 @@ def pieces_of(
 ) -> DataFrame:
     """Documents as pieces of at most capacity ids, each document ended by end_id."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer_path, keeps_space=False)
-        end = np.array([end_id], encoder.kind).tobytes()
-        for batch in batches:
-            rows = []
-            encoded = encoder.encode(batch.column("text").to_pylist())
-            for name, raw in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                ids = as_uint32(raw + end, encoder.kind)
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    own = part.tobytes()
-                    rows.append((name, piece, start, len(part), zlib.crc32(own), own))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = [x.split()[0] for x in PIECES_WITH_IDS.split(", ")]
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-            if made.num_rows:
-                yield made if with_ids else made.select(names[:-1])
-        del encoder
-        give_back()
-
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES_WITH_IDS if with_ids else PIECES)
+    codec = shared_codec(docs, tokenizer_path)
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kind = np.dtype(codec.value.merges.kind)
+        end, step = np.array([end_id], kind).tobytes(), capacity * kind.itemsize
+        out: dict[str, list] = {x.split()[0]: [] for x in (PIECES_WITH_IDS if with_ids else PIECES).split(", ")}
+        encoded = codec.value.encode_batch(texts_of(batch.column("text")))
+        for name, raw in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+            raw += end
+            wide = np.frombuffer(raw, kind).astype("<u4").tobytes()
+            for piece, at in enumerate(range(0, len(raw), step)):
+                own = wide[4 * piece * capacity : 4 * (piece + 1) * capacity]
+                row = (name, piece, piece * capacity, len(own) // 4, zlib.crc32(own), own)
+                for column, value in zip(out.values(), row, strict=False):
+                    column.append(value)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        columns = [pa.array(c, k) for c, k in zip(out.values(), kinds, strict=False)]
+        return pa.RecordBatch.from_arrays(columns, list(out))
+
+    return per_batch(docs.select("doc_id", "text"), cut, PIECES_WITH_IDS if with_ids else PIECES)
 
 
 def pack(
@@ -146,11 +143,13 @@ def pack(
 ) -> DataFrame:
     """One row per piece with its sequence and its offset there; with_ids adds the ids themselves."""
     spark = docs.sparkSession
-    pieces = session.stage(pieces_of(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
-    counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = packing_plan(counts, capacity)
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    made = pieces_of(docs, tokenizer_path, capacity, end_id, with_ids)
+    # By the place of the row, which is written down: rows that are repeated differ in it.
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    salted = session.stage(made.withColumn("salt", salt), "pieces")
+    counts = {r.length: r.n for r in salted.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    plan = packing_plan(counts, capacity)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
     bases = (
         salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", before.alias("base"))
@@ -160,7 +159,7 @@ def pack(
         salted.withColumn("row", F.row_number().over(order) - 1)
         .join(bases, ["length", "salt"])
         .withColumn("rank", F.col("base") + F.col("row"))
-        .select(*pieces.columns, "rank")
+        .select(*made.columns, "rank")
     )
     shape = PIECES + ", sequence_id bigint, offset bigint" + (", ids binary" if with_ids else "")
 

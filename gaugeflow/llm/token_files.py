@@ -89,12 +89,12 @@ def read_ids(image: bytes, first: int = 0, last: int | None = None) -> np.ndarra
 
 
 def write_shards(
-    docs: DataFrame, path: str, tokenizer_path: str, keeps_space: bool = True, end_id: int = 0
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
 ) -> None:
     """Encode documents and write their ids to a folder of shards, in order of doc_id."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_encoder(tokenizer_path, keeps_space)
+        encoder = kept_encoder(tokenizer_path)
         bits, end = bits_for(encoder.vocabulary), np.array([end_id], encoder.kind).tobytes()
         width = encoder.kind.itemsize
         shard, part = TaskContext.get().partitionId(), 0
@@ -130,8 +130,9 @@ def write_shards(
         give_back()
 
     ranged = (
-        docs.select("doc_id", "text", text_key().alias("k"))
-        .repartitionByRange("doc_id", "k")
+        # The last one cuts a row that is repeated very often into ranges.
+        docs.select("doc_id", "text", text_key().alias("k"), F.monotonically_increasing_id().alias("own"))
+        .repartitionByRange("doc_id", "k", "own")
         .sortWithinPartitions("doc_id", "k")
     )
     ranged.select("doc_id", "text").mapInArrow(pack, SHARDS).write.parquet(path)

@@ -1,42 +1,57 @@
-"""Token ids of whole texts from the files of public tokenizers.
+"""Token ids of whole texts from tokenizer files that work on bytes and keep white space.
 
-Between single spaces and line feeds the tokenizers used here encode each stretch by
-itself, so a stretch that has been seen is looked up. Texts with other white space next
-to a space or at a line's edge are cut only where two non-spaces meet one space.
+A space belongs to the word behind it. Between single spaces and line feeds each stretch is
+encoded by itself, so a stretch that has been seen is looked up; words of letters that have not
+are merged many at once, and all else goes through the tokenizers library. Texts with other
+white space next to a space or at a line's edge are cut only where two non-spaces meet one
+space. Control strings are cut out first, as the library does, and are their ids.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import json
 import re
 from collections.abc import Iterable
 
 import numpy as np
 
-CACHED_STRETCHES = 500_000
+from gaugeflow.llm.bpe_stream import byte_symbols
+from gaugeflow.llm.merging import ID_BITS, LONGEST, PairTable
+
+CACHED_STRETCHES = 700_000
 MARKS = ".,;:!?"
 JOINED_STRETCHES = 2000
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class TextEncoder:
-    """Ids of texts as little-endian bytes. `keeps_space`: a space is part of the next word."""
+    """Ids of texts as little-endian bytes."""
 
-    def __init__(self, path: str, keeps_space: bool):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        self.keeps_space = keeps_space
         self.lead: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = self.lead if not keeps_space else {}
-        self.line = self._each(["\n"])[0] if keeps_space else b""
-        # Many short stretches go through as one text, cut again at a mark of its own.
-        self.mark = "\n" if keeps_space else " \x01 "
+        self.later: dict[str, bytes | None] = {}
+        with open(path, encoding="utf-8") as text:
+            file = json.load(text)
+        model, ids = file["model"], file["model"]["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.table = PairTable(
+            {ids[a] << ID_BITS | ids[b]: rank << ID_BITS | ids[a + b] for rank, (a, b) in enumerate(merges)}
+        )
+        self.symbols = np.array([ids[s] for s in byte_symbols()])
+        added = sorted(((a["content"], a["id"]) for a in file["added_tokens"]), key=lambda a: -len(a[0]))
+        self.controls = {content: np.array([number], self.kind).tobytes() for content, number in added}
+        self.control = re.compile(f"({'|'.join(re.escape(c) for c in self.controls)})") if added else None
+        # Many short stretches go through as one text, cut again at a line feed.
+        self.mark = "\n"
         self.mark_ids = self._ids(self.mark)
+        self.line = self.mark_ids.tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         made = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -63,16 +78,21 @@ class TextEncoder:
 
     def _learn(self, cache: dict[str, bytes | None], stretches: set[str], before: str) -> None:
         new = [x for x in stretches if x not in cache]
-        if self.keeps_space:
-            # White space at an edge belongs to a longer run, which is not cut here.
-            whole = [x for x in new if x and x.strip() == x]
-            if len(whole) < len(new):
-                cache.update(dict.fromkeys(new))
-            new = whole
+        # White space at an edge belongs to a longer run, which is not cut here.
+        whole = [x for x in new if x and x.strip() == x]
+        if len(whole) < len(new):
+            cache.update(dict.fromkeys(new))
         # Letters and the marks behind them are always apart, so each is encoded once.
-        ended = {x: x.rstrip(MARKS) for x in new if x and x[-1] in MARKS}
+        ended = {x: x.rstrip(MARKS) for x in whole if x[-1] in MARKS}
         ended = {x: stem for x, stem in ended.items() if stem and stem[-1].isalpha()}
-        plain = {x for x in new if x not in ended} | {x for x in ended.values() if x not in cache}
+        plain = {x for x in whole if x not in ended} | {x for x in ended.values() if x not in cache}
+        letters: dict[bytes, str] = {}
+        for x in plain:
+            if x.isalpha() and len(raw := (before + x).encode()) <= LONGEST:
+                letters[raw] = x
+        made = self.table.words(letters, self.symbols, self.symbols, self.kind.str)
+        cache.update((letters[raw], ids) for raw, ids in made.items())
+        plain.difference_update(letters.values())
         cache.update(zip(plain, self._encode([before + x for x in plain]), strict=True))
         tails = list({x[len(stem) :] for x, stem in ended.items()})
         tail_ids = dict(zip(tails, self._encode(tails), strict=True))
@@ -89,12 +109,23 @@ class TextEncoder:
                 # Most of the frequent stretches were seen first.
                 for late in list(itertools.islice(cache, CACHED_STRETCHES // 2, None)):
                     del cache[late]
+        if self.control is None or not any(c in (t or "") for t in texts for c in self.controls):
+            return self._plain(texts)
+        parts = [self.control.split(t or "") for t in texts]
+        made = iter(self._plain([x for text in parts for x in text if x not in self.controls]))
+        return [b"".join([self.controls[x] if x in self.controls else next(made) for x in text]) for text in parts]
+
+    def _plain(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of texts without control strings."""
         lines = [[line.split(" ") for line in (text or "").split("\n")] for text in texts]
-        if self.keeps_space:
-            self._learn(self.lead, {x[0] for text in lines for x in text}, "")
-            self._learn(self.later, {y for text in lines for x in text for y in x[1:]}, " ")
-        else:
-            self._learn(self.lead, {y for text in lines for x in text for y in x}, "")
+        first: set[str] = set()
+        rest: set[str] = set()
+        for text in lines:
+            first.update([x[0] for x in text])
+            for x in text:
+                rest.update(x[1:])
+        self._learn(self.lead, first, "")
+        self._learn(self.later, rest, " ")
         lead, later, out = self.lead, self.later, []
         for text, parts in zip(texts, lines, strict=True):
             try:
@@ -108,10 +139,7 @@ class TextEncoder:
 
 
 @functools.lru_cache(maxsize=1)
-def kept_encoder(path: str, keeps_space: bool) -> TextEncoder:
+def kept_encoder(path: str) -> TextEncoder:
     """The encoder of this Python worker: later tasks find what earlier ones have looked up."""
-    return TextEncoder(path, keeps_space)
-
+    return TextEncoder(path)
 
-def as_uint32(ids: bytes, kind: np.dtype) -> np.ndarray:
-    return np.frombuffer(ids, kind).astype("<u4")

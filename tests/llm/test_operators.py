@@ -49,11 +49,10 @@ def test_image_round_trip():
         assert len(token_files.read_ids(token_files.pack_image(ids[:0], bits))) == 0
 
 
-def _reference_ids(name, texts, specials=True):
+def _reference_ids(name, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer(name))
-    tokenizer.encode_special_tokens = not specials
     made = tokenizer.encode_batch(texts, add_special_tokens=False)
     return [[*x.ids, 0] for x in made]
 
@@ -77,20 +76,51 @@ def test_token_files_equal_brute_force(spark, docs, empty, tmp_path):
     assert token_files.document_digests(token_files.read_shards(spark, none)).count() == 0
 
 
-@pytest.mark.parametrize(("name", "keeps_space"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_encoder_cuts_and_forgets_rightly(monkeypatch, name, keeps_space):
+def test_random_texts_are_encoded_as_the_library_does():
+    rng = np.random.default_rng(5)
+    parts = [*"aabeinst  \n.,!?07<|>'", "  ", "\t", "İ", "İ!", "é", "é", "<|endoftext|>", " <|endoftext|>", "\n<|endoftext|>",
+             "the ", " of", "中", "\x1c", "\x85", "　", "😀", "'ll", "Word. "]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(20_000)]
+    encoder = tokens.TextEncoder(queries.tokenizer("byte_bpe_50k.json"))
+    wanted = _reference_ids("byte_bpe_50k.json", texts)
+    for k in range(0, len(texts), 500):
+        for text, raw, ids in zip(texts[k:], encoder.encode(texts[k : k + 500]), wanted[k:], strict=False):
+            assert [*np.frombuffer(raw, encoder.kind).tolist(), 0] == ids, repr(text)
+
+
+def test_encoder_cuts_and_forgets_rightly(monkeypatch):
+    name = "byte_bpe_50k.json"
     monkeypatch.setattr(tokens, "CACHED_STRETCHES", 6)
-    encoder = tokens.TextEncoder(queries.tokenizer(name), keeps_space)
+    encoder = tokens.TextEncoder(queries.tokenizer(name))
     texts = [
         "a  b", "a\n\nb", " a", "a ", "\n\n\n a", "\t a", "x \t\n y", "", "\n", " ", "a\n", "don't stop\nit's!! ok",
         "a\x1cb \x85c", "É,, !?", "a b\x1c d", "one two three four five six seven eight", LOREM, "<|endoftext|> é\u0301",
     ]
     for batch in (texts, texts[::-1], texts[9:], [*texts, *texts]):
         got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(batch)]
-        assert [[*x, 0] for x in got] == _reference_ids(name, batch, specials=False)
+        assert [[*x, 0] for x in got] == _reference_ids(name, batch)
     assert encoder.encode([None]) == [b""]
 
 
+def test_packing_encodes_as_the_library_does(spark):
+    """Control strings are their ids, and a lowered letter may join the mark behind it."""
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "İ!? x", "aİ,", "İ.", "Σας ΟΔΟΣ", "é e\u0301", "x" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = packing.pack(docs, queries.tokenizer("word_bpe_49k.json"), with_ids=True).collect()
+    ids = _reference_ids("word_bpe_49k.json", texts)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == dict(enumerate(ids))
+
+
+def test_packing_of_one_row_repeated_very_often(spark):
+    docs = spark.createDataFrame([(1, LOREM)], "doc_id bigint, text string").crossJoin(spark.range(3000)).drop("id")
+    rows = packing.pack(docs.repartition(4), queries.tokenizer("word_bpe_49k.json"), capacity=64).collect()
+    places = {(r.sequence_id, r.offset) for r in rows}
+    assert len(rows) == len(places) == 3000
+    # Three of the 21 ids fit 64; a plan by lengths alone puts them there.
+    size = rows[0].length
+    assert len({r.sequence_id for r in rows}) == -(-3000 // (64 // size))
+
+
 def test_packing_is_whole_and_gapless(docs, empty):
     rows = packing.pack(docs, queries.tokenizer("word_bpe_49k.json"), capacity=16).collect()
     texts = _texts(docs)
