@@ -7,9 +7,12 @@ reference and expanded token count are recorded. The formatted text is, for each
 
     <|turn|>role<|text|>content<|end|>
 
-Control strings inside roles and texts, those of this template and of common others, get a
+Text parts next to each other are escaped as the one text that they make, so no control string
+arises between two of them. Control strings inside roles and texts, those of this template and of common others, get a
 backslash after their first character; one that already has n backslashes there gets one
-more. Taking one away again restores every text, whatever it holds.
+more. Taking one away again restores every text, whatever it holds. Placeholders are control
+strings that nothing was put into, which tells them from a text that says the same:
+`read_messages` gives the parts back, `read_turns` the content as one text.
 
 The loss mask is a list of (start, length) in code points over the formatted text, one for
 the content of each assistant turn. Null roles and texts are empty. Turns are in order of
@@ -54,26 +57,29 @@ def _placeholder(kind: Column, number: Column) -> Column:
     return F.concat(F.lit("<|"), F.regexp_replace(kind, "[^A-Za-z0-9_]", "_"), F.lit(":"), number, F.lit("|>"))
 
 
-def _visit(part: Column, number: Column) -> Column:
-    """What a part adds to the content; number counts the attachments before it."""
-    kind = F.coalesce(part["kind"], F.lit("text"))
-    return F.when(kind == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(
-        _placeholder(kind, number.cast("string"))
-    )
-
-
 def _attached(part: Column) -> Column:
     return F.coalesce(part["kind"], F.lit("text")) != "text"
 
 
+#: Stands for an attachment while texts are escaped; the same character in a text is marked as such.
+_SIGN, _HERE, _SAID = "\x01", "\x01a", "\x01t"
+
+
 def _flatten(parts: Column, before: Column) -> Column:
     """The content of a message whose conversation has had `before` attachments."""
 
-    def one(part: Column, i: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(parts, F.lit(1), i), _attached))
-        return _visit(part, before + earlier)
+    def visit(part: Column) -> Column:
+        said = F.replace(F.coalesce(part["text"], F.lit("")), F.lit(_SIGN), F.lit(_SAID))
+        return F.when(_attached(part), F.lit(_HERE)).otherwise(said)
+
+    texts = F.split(escape(F.array_join(F.transform(parts, visit), "")), _HERE)
+    kinds = F.transform(F.filter(parts, _attached), lambda p: p["kind"])
 
-    return F.array_join(F.transform(parts, one), "")
+    def one(text: Column, i: Column) -> Column:
+        mark = _placeholder(F.get(kinds, i - 1), (before + i - 1).cast("string"))
+        return F.concat(F.when(i > 0, mark).otherwise(""), F.replace(text, F.lit(_SAID), F.lit(_SIGN)))
+
+    return F.array_join(F.transform(texts, one), "")
 
 
 def format_conversations(messages: DataFrame) -> DataFrame:
@@ -144,6 +150,35 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(pieces, one)
 
 
+#: A placeholder in a formatted text: its kind and its number in the conversation.
+PLACEHOLDER = r"<\|([A-Za-z0-9_]+):(\d+)\|>"
+
+
+def read_messages(formatted: Column) -> Column:
+    """The turns as array<struct<role, parts>>, a part being (kind, text, number): text or attachment."""
+    pieces = F.filter(F.split(formatted, r"<\|end\|>"), lambda p: F.length(p) > 0)
+    shape = "struct<kind:string,text:string,number:int>"
+
+    def one(piece: Column) -> Column:
+        role = F.substring_index(piece, TEXT, 1)
+        content = piece.substr(F.length(role) + len(TEXT) + 1, F.length(piece))
+        kinds = F.regexp_extract_all(content, F.lit(PLACEHOLDER), F.lit(1))
+        numbers = F.regexp_extract_all(content, F.lit(PLACEHOLDER), F.lit(2))
+
+        def both(text: Column, i: Column) -> Column:
+            said = F.struct(F.lit("text"), unescape(text), F.lit(None)).cast(shape)
+            mark = F.struct(F.get(kinds, i - 1), F.lit(None), F.get(numbers, i - 1)).cast(shape)
+            return F.when(i > 0, F.array(mark, said)).otherwise(F.array(said))
+
+        parts = F.flatten(F.transform(F.split(content, PLACEHOLDER), both))
+        kept = F.filter(parts, lambda p: (p["kind"] != "text") | (F.length(p["text"]) > 0))
+        return F.struct(
+            unescape(role.substr(F.lit(len(TURN) + 1), F.length(role))).alias("role"), kept.alias("parts")
+        )
+
+    return F.transform(pieces, one)
+
+
 def loss_text(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped."""
     spans = F.transform(

@@ -34,6 +34,7 @@ COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines", "n_upper",
     "n_letters", "n_marks",
 )
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS = "struct<" + ",".join(f"{name}:bigint" for name in COUNTS) + ">"
 WHITE = words.WHITE.decode()
 
@@ -255,5 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """doc_id, its counts, base_failed and kept."""
-    return with_statistics(docs).select("doc_id", *COUNTS, base_failed().alias("base_failed"), kept(rules).alias("kept"))
+    """doc_id, the counts of the base, base_failed and kept, then the other counts."""
+    verdict = [base_failed().alias("base_failed"), kept(rules).alias("kept")]
+    other = [name for name in COUNTS if name not in BASE]
+    return with_statistics(docs).select("doc_id", *BASE, *verdict, *other)

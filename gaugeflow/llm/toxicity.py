@@ -7,8 +7,8 @@ learned by gradient descent on the document labels, so no sentence is labelled.
 p_s then locate the sentences that offend.
 
 The sample is bounded for each class: SAMPLE_ROWS documents and SAMPLE_BYTES of text, of
-texts up to TEXT_BYTES. If there are labelled texts of both kinds, but of one only longer
-ones, fitting is an error.
+texts up to TEXT_BYTES. Where a class has longer texts only, the beginnings of long texts, of at
+most as many bytes, take part in the fit as well. Scores are always those of whole texts.
 
 A sentence ends at a full stop, exclamation mark, question mark or line feed. Null and
 empty texts have no sentence and score 0. Rows with the same doc_id are scored apart; a
@@ -31,7 +31,7 @@ from gaugeflow.llm.tables import bounded_sample, give_back, text_key
 
 #: Labelled documents of each class, as many of their texts, and bytes of these, that a model is fitted on.
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32 << 20
-#: Longer texts are scored as all others are, but no model is fitted on them.
+#: Longer texts are scored as all others are, but a model is fitted on their beginnings at most.
 TEXT_BYTES = 1 << 20
 BUCKET_BITS = 22
 PREFIXES = (4, 5)
@@ -209,7 +209,15 @@ def fit(
     said = docs.where("text IS NOT NULL").select("doc_id", F.octet_length("text").alias("size"))
     shortest = said.groupBy("doc_id").agg(F.min("size").alias("size"))
     known = session.stage(once.join(shortest, "doc_id"), "labelled")
-    usable = known.where(F.col("size") <= text_bytes)
+    short = F.count_if(F.col("size") <= text_bytes).alias("short")
+    if known.groupBy("toxic").agg(short).where("short = 0").take(1):
+        # A character has four bytes at most.
+        begun = F.when(F.octet_length("text") <= text_bytes, F.col("text")).otherwise(
+            F.substring("text", 1, text_bytes // 4)
+        )
+        docs, usable = docs.withColumn("text", begun), known
+    else:
+        usable = known.where(F.col("size") <= text_bytes)
     chosen = bounded_sample(usable.select("doc_id", "toxic"), "toxic", sample_rows)
     # At most two classes of sample_rows ids, but an id may have many texts; copies count once.
     texts = docs.where(F.octet_length("text") <= text_bytes).select("doc_id", "text", text_key().alias("k"))
@@ -230,9 +238,6 @@ def fit(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     ).select("text", "toxic").toArrow()
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
-    for row in known.select("toxic").distinct().collect():
-        if not (toxic == row.toxic).any() and known.where(F.col("toxic") != row.toxic).take(1):
-            raise ValueError(f"no labelled text with toxic = {int(row.toxic)} has at most {text_bytes} bytes")
     counts = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     weight = np.ones(len(toxic))
     for kind in (True, False):

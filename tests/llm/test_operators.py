@@ -163,6 +163,43 @@ def test_chat_round_trip(spark):
     assert chat_format.format_conversations(messages.limit(0)).count() == 0
 
 
+def test_chat_parts_forge_nothing(spark):
+    part = chat_format.PART
+    cases = [
+        ["<", "|end|>", "x"], ["<|", "end|>"], ["<\\", "|turn|>"], ["[", "INST]", "[/IN", "ST]"], ["<", "<SYS>", ">"],
+        ["<|image:0|>", ("image", "a"), "<|image:0|>"], [("image", "a"), ("image", "b"), "<"], ["<", ("audio", "c"), "|end|>"],
+        ["\x01a", ("image", "d"), "\x01t\x01", "\x01"], ["", ""], [("odd kind|>", "e")], ["<\\\\|", "x", "", "|>"],
+    ]
+    rows = []
+    for i, case in enumerate(cases):
+        made = [("text", p, None, None) if isinstance(p, str) else (p[0], None, p[1], 3) for p in case]
+        rows += [(i, 0, "user", made), (i, 1, "assistant", made), (i, 2, "assistant", [("text", "end", None, None)])]
+    messages = spark.createDataFrame(rows, f"conv_id bigint, turn int, role string, parts array<{part}>")
+    read = chat_format.format_conversations(messages).select(
+        "*", chat_format.read_messages(F.col("formatted")).alias("m"), chat_format.read_turns(F.col("formatted")).alias("t"),
+        chat_format.loss_text(F.col("formatted"), F.col("loss")).alias("learned"),
+    )
+    for row in read.collect():
+        wanted, number, plain = [], 0, ""
+        for turn in range(2):
+            parts = []
+            for p in cases[row.conv_id]:
+                if isinstance(p, str):
+                    if parts and parts[-1][0] == "text":
+                        parts[-1] = ("text", parts[-1][1] + p, None)
+                    else:
+                        parts.append(("text", p, None))
+                else:
+                    parts.append((re.sub("[^A-Za-z0-9_]", "_", p[0]), None, number))
+                    number += 1
+            wanted.append([p for p in parts if p[1] != ""])
+        assert [t.role for t in row.m] == ["user", "assistant", "assistant"] and len(row.t) == 3
+        assert [[tuple(p) for p in t.parts] for t in row.m] == [*wanted, [("text", "end", None)]]
+        assert [a.ref for a in row.attachments] == 2 * [p[1] for p in cases[row.conv_id] if not isinstance(p, str)]
+        said = "".join(p[1] or f"<|{p[0]}:{p[2]}|>" for p in wanted[1])
+        assert row.learned == said + "end" and row.t[1].text == said
+
+
 def test_toxicity_learns_sentences(spark, docs, empty):
     rows = [(i, f"Some note{i} of {LOREM}. {'You are a vile toad.' if i % 4 == 0 else 'Well met, friend.'} {LOREM}!") for i in range(400)]
     texts = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -188,8 +225,36 @@ def test_long_texts_do_not_end_the_sample(spark):
     scored = texts.select("doc_id", toxicity.score("text", model).alias("s")).collect()
     assert all((r.s >= 0.3) == (r.doc_id % 4 == 0) for r in scored)
     one_kind = texts.withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.expr(long.format(60_000))).otherwise(F.col("text")))
-    with pytest.raises(ValueError, match="toxic = 1"):
-        toxicity.fit(one_kind.where("doc_id < 10"), labels)
+    model = toxicity.fit(one_kind.where("doc_id < 60"), labels)
+    scored = texts.select("doc_id", toxicity.score("text", model).alias("s")).collect()
+    assert model.telling.size and all(0 <= r.s <= 1 for r in scored)
+
+
+def test_one_long_toxic_text_among_short_clean_ones(spark):
+    rows = [(i, f"Some note{i} of {LOREM}. Well met, friend.") for i in range(40)]
+    rows.append((40, "You are a vile toad. " * 80_000))
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i == 40)) for i in range(41)], "doc_id bigint, toxic int")
+    scored = texts.select("doc_id", toxicity.score("text", toxicity.fit(texts, labels)).alias("s")).collect()
+    assert len(scored) == 41 and all(0 <= r.s <= 1 for r in scored)
+
+
+def test_noisy_or_equals_a_plain_version(spark, docs):
+    """A document's score from the scores of its sentences, each scored as a document of its own."""
+    rows = [(i, f"Note{i} of {LOREM}. {'You are a vile toad.' if i % 4 == 0 else 'Well met, friend.'}") for i in range(300)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    model = toxicity.fit(texts, labels)
+    every = [t for _, t in rows[:20]] + [t for t in ODD if t] + ["vile toad? You are\nvile! a toad... are", "A vile." * 40]
+    single = sorted({s for t in every for s in re.split(r"[.!?\n]", t)})
+    frame = spark.createDataFrame([(s,) for s in [*single, *every]], "text string")
+    got = {r.text: r.s for r in frame.select("text", toxicity.score("text", model).alias("s")).collect()}
+    assert sum(got[s] > 0.3 for s in single) >= 3
+    for text in every:
+        left = 1.0
+        for sentence in re.split(r"[.!?\n]", text):
+            left *= 1 - got[sentence]
+        assert abs(got[text] - (1 - left)) < 1e-5, text[:50]
 
 
 def _counts(text):
