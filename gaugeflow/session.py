@@ -101,4 +101,12 @@ def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     path = f"{work_folder(spark, purpose)}/table"
     rows.write.partitionBy(*partition_by).parquet(path)
     schema = rows.schema
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    made = spark.read.schema(schema).parquet(path).select(*schema.names)
+    made.staged_at = path
+    return made
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        discard(table.sparkSession, table.staged_at)
