@@ -12,8 +12,9 @@ the same sets count once. In a region, the place of its shingle in the order of
 what two sets can have in common, and keeps far sets from being compared. Rarity is counted over all documents in buckets of fixed number; it
 only balances regions, any order is exact.
 
-Regions of more than LEAF sets are joined recursively. Some of their sets become pivots and
-are compared with all sets of other components, so they are done. Each other set goes to the Voronoi region of
+Regions of more than LEAF sets are joined recursively. Some of their sets become pivots, a single
+one at first, and are compared with all sets of other components, so they are done: a region
+of near copies takes as many comparisons as it has sets. Each other set goes to the Voronoi region of
 the nearest of the first pivots, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If
 that would make more than SPREAD times as many rows, the region stays whole and goes on with
 more pivots. Before sets are
@@ -42,10 +43,11 @@ from pyspark.sql import functions as F
 from gaugeflow import session
 from gaugeflow.llm import sketch, words
 from gaugeflow.llm.components import components
-from gaugeflow.llm.tables import give_back, text_key
+from gaugeflow.llm.tables import give_back, text_key, with_group
 
-LEAF = 16
-FIRST_PIVOTS, MORE_PIVOTS = 4, 4
+LEAF = 3
+#: Pivots of a region in the first round, how many times more in each further one, and cells at most.
+FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 4, 4
 SPREAD = 1.5
 PARITIES = 512
 PARITY_COLUMNS = [f"h{i}" for i in range(PARITIES // 64)]
@@ -185,9 +187,11 @@ def _regions(homes: DataFrame, num: int, den: int) -> DataFrame:
     )
     smallest = F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))
     reaches = (num + den) * (F.col("n") - F.col("pos")) >= num * (F.col("n") + smallest)
-    return session.stage(
+    found = session.stage(
         met.join(kept.select("region"), "region").where(reaches).select("region", "name", "n", "pos"), "distinct-regions"
     )
+    session.unstage(met)
+    return found
 
 
 def _bodies(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
@@ -266,11 +270,13 @@ def set_components(
     if members.isEmpty():
         return None
     once = parity.groupBy("name").agg(*(F.first(c).alias(c) for c in PARITY_COLUMNS))
-    members = session.stage(members.join(once, "name"), "members")
+    regions, members = members, session.stage(members.join(once, "name"), "members")
+    session.unstage(regions)
     kept = ["name", "n", "pos", *PARITY_COLUMNS]
     bodies, labels, pivots = None, None, FIRST_PIVOTS
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
+        session.unstage(members)
         if grouped.isEmpty():
             return labels
         x, y = grouped.alias("x"), grouped.alias("y")
@@ -320,6 +326,7 @@ def set_components(
         compared = session.stage(_compared(pairs, _within(bodies, sketch.bitmap(ends, "v"))), "compared")
         if compared.count() != pairs.count():
             raise RuntimeError("sets to be compared are missing")
+        session.unstage(pairs, grouped)
         links = compared.where(den * F.col("common") >= num * F.col("either")).select("a", "b")
         labels = _merged(labels, links)
         distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
@@ -329,7 +336,7 @@ def set_components(
         near = F.col("d").isNull() | (F.col("d") <= F.col("home") + 2 * radius + 1e-9)
         cells = (
             others.select("region", *kept, "m")
-            .join(large.where(F.col("row") <= FIRST_PIVOTS).select("region", F.col("name").alias("p")), "region")
+            .join(large.where(F.col("row") <= min(pivots, CELLS)).select("region", F.col("name").alias("p")), "region")
             .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"], "left")
             .select("*", F.min("d").over(Window.partitionBy("region", "name")).alias("home"))
             .where(near)
@@ -341,6 +348,7 @@ def set_components(
         )
         whole = others.join(wide.where("wide").select("region"), "region").select("region", *kept)
         members = session.stage(split.unionByName(whole), "members")
+        session.unstage(cells, large, compared)
         pivots *= MORE_PIVOTS
 
 
@@ -387,7 +395,7 @@ def repeats(joined: DataFrame) -> DataFrame:
     )
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("k") == F.col("best.k"))
     return (
-        grouped.join(best.where("rows > 1"), "group")
+        with_group(grouped, session.stage(best.where("rows > 1"), "best"), "group", "rows")
         .where(~stays | (F.col("n") > 1))
         .select("doc_id", "k", stays.alias("keep"))
     )
@@ -411,8 +419,8 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
         placed = full.join(labels.select(F.col("v").alias("name"), F.col("c").alias("label")), "name", "left").select(
             "doc_id", "k", "n", "name", F.coalesce("label", "name").alias("c")
         )
-    smallest = placed.groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    joined = placed.join(smallest, "c").select(
+    smallest = placed.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+    joined = with_group(placed, session.stage(smallest, "smallest"), "c", "rows").select(
         "doc_id", "k", F.col("n").alias("n_shingles"), F.col("c").alias("group"), "component_id"
     )
     empty = rows.where("n = 0").select(

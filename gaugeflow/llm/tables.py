@@ -39,6 +39,21 @@ def bounded_sample(rows: DataFrame, by: str, most: int, key: str = "doc_id") ->
     return near.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= most).select(*rows.columns)
 
 
+#: A group is heavy if it holds more than one in so many rows; no more than so many groups are.
+HEAVY_SHARE = 1000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, by: str, n: str) -> DataFrame:
+    """Rows joined with what is known of their group; `n` is the number of rows of each.
+
+    Heavy groups, at most HEAVY_SHARE of them, are broadcast, so their rows stay where they are.
+    """
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    heavy = F.broadcast(groups.where(F.col(n) * HEAVY_SHARE > total))
+    light = rows.join(heavy.select(by), by, "left_anti").join(groups, by)
+    return rows.join(heavy, by).unionByName(light)
+
+
 def give_back() -> None:
     """Return memory that the task has freed to the system; the worker lives on."""
     pa.default_memory_pool().release_unused()

@@ -496,3 +496,24 @@ def test_language_stage_without_languages(spark, docs):
         given = docs.withColumn("lang", lang)
         kept = stage(spark, given, "")
         assert Counter(_texts(kept)) == lettered and kept.columns == docs.columns
+
+
+def test_a_cluster_of_near_copies_takes_few_comparisons(spark, monkeypatch):
+    """Pairs grow with the sets of a cluster and not with their square."""
+    base = [f"w{x}" for x in range(120)]
+    counts = {}
+    staged = jaccard_join.session.stage
+
+    def counting(rows, purpose, *by):
+        made = staged(rows, purpose, *by)
+        if purpose == "pairs":
+            counts[n] = counts.get(n, 0) + made.count()
+        return made
+
+    monkeypatch.setattr(jaccard_join.session, "stage", counting)
+    for n in (300, 1200):
+        rows = [(i, " ".join(f"x{i}" if k == i % 110 + 3 else w for k, w in enumerate(base))) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        got = jaccard_join.jaccard_join(docs, size=3, num=90, den=100).collect()
+        assert len(got) == n and {r.component_id for r in got} == {0}
+    assert counts[1200] <= 6 * counts[300] and counts[1200] <= 20 * 1200
