@@ -436,6 +436,65 @@ def test_phrases_equal_brute_force():
             assert not sizes[i] or phrases[row, i] == n, (kind, text)
 
 
+def _plain_phrases(sample, text):
+    n, at = 0, 0
+    while at < len(text):
+        size = 1
+        while at + size <= len(text) and text[at : at + size] in sample:
+            size += 1
+        at += max(1, size - 1)
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize(("stretch", "kept"), [(512, 1 << 22), (7, 1 << 22), (7, 40), (1, 1), (16, 64)])
+def test_phrases_go_on_over_stretches(monkeypatch, stretch, kept):
+    monkeypatch.setattr(language_id, "STRETCH", stretch)
+    monkeypatch.setattr(language_id, "KEPT_STATES", kept)
+    rng = np.random.default_rng(stretch)
+    said = lambda letters, n: "".join(rng.choice(list(letters), n)).strip() or "a"
+    texts = {"aa": [said("ab ", 300)], "bb": [said("abc ", 300)], "zh": [said("一二三四五六七八九十", 300)]}
+    texts = {k: [re.sub(" +", " ", t) for t in ts] for k, ts in texts.items()}
+    model = language_id.fit_texts(texts)
+    tried = [re.sub(" +", " ", said(a, n)) for a in ("ab ", "abc ", "一二三四", "ax") for n in (1, 6, 7, 8, 50, 400)] + ["", None]
+    tried.append(texts["aa"][0] * 4)
+    phrases, _ = language_id.parse(pa.array(tried), model)
+    for row, kind in enumerate(model.languages):
+        sample = " " + texts[kind][0]
+        assert phrases[row].tolist() == [_plain_phrases(sample, t or "") for t in tried], kind
+
+
+SCRIPTS = {
+    "de": "abcdefghijklmnopqrstuvwxyzäöüß", "en": "abcdefghijklmnopqrstuvwxyz", "el": "αβγδεζηθικλμνξοπρστυφχψω",
+    "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "he": "אבגדהוזחטיכלמנסעפצקרשת", "ar": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "hi": "अआइईउऊएऐओऔकखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह", "ja": "".join(map(chr, range(0x3042, 0x3094))),
+    "ko": "".join(map(chr, range(0xAC00, 0xAC00 + 3000, 5))), "zh": "".join(map(chr, range(0x4E00, 0x4E00 + 2500))),
+}
+
+
+def test_ten_scripts(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for kind, letters in SCRIPTS.items():
+        lexicon = ["".join(rng.choice(list(letters), rng.integers(2, 7))) for _ in range(150)]
+        rows += [(kind, " ".join(rng.choice(lexicon, 60))) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    # One text that takes a third of all rows must not be all that a language is learned from.
+    docs = docs.unionByName(spark.createDataFrame([(0, "un mot", "de")], docs.schema).crossJoin(spark.range(250)).drop("id"))
+    model = language_id.fit(docs)
+    assert len(model.languages) == 10
+    named = docs.where("text <> 'un mot'").select("lang", language_id.identify("text", model).alias("n"))
+    right = named.groupBy("lang").agg(F.count_if(F.col("n.lang_pred") == F.col("lang")).alias("r")).collect()
+    assert {r.lang: r.r for r in right} == dict.fromkeys(SCRIPTS, 50)
+
+
+def test_bytes_that_are_no_text(spark):
+    rows = spark.sql("SELECT cast(x'61FF62' AS string) AS text UNION ALL SELECT 'ab' UNION ALL SELECT cast(x'FFFE' AS string)")
+    model = language_id.fit_texts({"aa": ["ab ab"]})
+    got = rows.select(language_id.identify("text", model).alias("n")).collect()
+    assert [r.n.lang_pred for r in got] == ["aa", "aa", "und"]
+
+
 def test_languages_held_out(spark, docs, empty, sf_dir):
     rows = queries.op9_language_id(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id").where("held_out")
     assert rows.where("lang = lang_pred").count() >= 0.95 * rows.count()
