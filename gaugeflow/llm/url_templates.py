@@ -1,13 +1,18 @@
 """Operator 8, URL filters: rules, and a tree of path templates judged by labelled purity.
 
-Templates: a path is cut into segments. A segment that holds a digit, or is long and of
-hexadecimal digits, is variable and becomes a wildcard. Of the others, one becomes a
+Templates: a path is cut into segments, however many it has. A segment that holds a digit, or is
+long and of hexadecimal digits, is variable and becomes a wildcard. Of the others, one becomes a
 wildcard if its branch of the host's tree has many children and it holds but a small share
-of the branch, counted over all URLs; this is done level by level. Below the first LEVELS
-segments a path is not told apart. Sibling leaves of a host whose share of rejected labels
-does not differ by more than chance (a two-proportion test) are merged and pool their labels.
-A template is blocked if its share of rejected labels, smoothed towards a low prior share,
-is beyond a limit; so one without labels, or with a few, is allowed.
+of the branch, counted over all URLs. This is done from the root downwards, at those levels
+where a branch has many children.
+
+Sibling leaves of a host whose share of rejected labels does not differ by more than chance
+(a two-proportion test) are merged and pool their labels. Labels also reach other hosts: the
+templates of all hosts form one tree, in which a branch is merged with the one above it if
+its share does not differ by more than chance from that one's, and otherwise has its own share,
+smoothed towards the one above; the root is smoothed towards a low prior share. A host's template
+is blocked if its share of rejected labels, smoothed towards that of the template in this
+tree, is beyond a limit. Without any labels all is allowed.
 
 The longest fitting rule decides first. A rule fits its host and all subdomains, if the
 path begins with the rule's. Of rules of one length, the one that blocks wins.
@@ -27,13 +32,13 @@ from pyspark.sql import functions as F
 
 from gaugeflow import session
 
-LEVELS = 4
 MANY_CHILDREN = 20
 SMALL_SHARE = 0.05
 SAME_Z = 1.96
 PRIOR = 0.2
 SMOOTHING = 4.0
 LIMIT = 0.5
+_ALL = (1 << 31) - 1
 #: Segments that are variable by their look.
 VARIABLE = r"[0-9]|^[0-9A-Fa-f-]{16,}$"
 
@@ -70,28 +75,41 @@ def rule_of(rules: list[Rule], host: Column, path: Column) -> Column:
 
 def path_templates(paths: DataFrame) -> DataFrame:
     """host, path, template for distinct (host, path, n), with rare segments as wildcards."""
-    cut = F.slice(F.split(F.regexp_replace("path", "^/", ""), "/"), 1, LEVELS)
+    cut = F.split(F.regexp_replace("path", "^/", ""), "/")
     segments = F.transform(cut, lambda s: F.when(s.rlike(VARIABLE), F.lit("*")).otherwise(s))
     shapes = session.stage(paths.select("host", "path", "n", segments.alias("segments")), "url-shapes")
     # Paths of one shape go on as one row.
     tree = (
         shapes.groupBy("host", "segments").agg(F.sum("n").alias("n")).select("*", F.col("segments").alias("template"))
     )
-    for level in range(LEVELS):
-        branch = F.slice("template", 1, level)
-        here = F.try_element_at("template", F.lit(level + 1))
-        at = tree.select("*", branch.alias("branch"), here.alias("here"))
-        children = at.where(F.col("here").isNotNull()).groupBy("host", "branch", "here").agg(F.sum("n").alias("held"))
-        sizes = children.groupBy("host", "branch").agg(
+    level = -1
+    while True:
+        # The children of every branch below the levels that are done, and the first level at which
+        # some of them are rare. Most levels have none, so there are few rounds.
+        at = tree.select("host", "n", "template", F.posexplode("template").alias("level", "here"))
+        branch = F.xxhash64(F.slice("template", 1, F.col("level")))
+        children = at.where(F.col("level") > level).groupBy("host", "level", branch.alias("branch"), "here").agg(
+            F.sum("n").alias("held")
+        )
+        children = session.stage(children, "url-children")
+        sizes = children.groupBy("host", "level", "branch").agg(
             F.count("*").alias("n_children"), F.sum("held").alias("of_branch")
         )
-        rare = (
-            children.join(sizes, ["host", "branch"])
-            .where((F.col("n_children") > MANY_CHILDREN) & (F.col("held") < SMALL_SHARE * F.col("of_branch")))
-            .select("host", "branch", "here", F.lit(True).alias("rare"))
+        crowded = sizes.where(F.col("n_children") > MANY_CHILDREN).drop("n_children")
+        rare = session.stage(
+            children.join(crowded, ["host", "level", "branch"])
+            .where((F.col("held") < SMALL_SHARE * F.col("of_branch")) & (F.col("here") != "*"))
+            .select("host", "level", "branch", "here"),
+            "url-rare",
         )
-        wild = F.concat(branch, F.array(F.lit("*")), F.slice("template", level + 2, LEVELS))
-        wider = at.join(rare, ["host", "branch", "here"], "left").select(
+        level = rare.agg(F.min("level")).first()[0]
+        if level is None:
+            break
+        own = rare.where(F.col("level") == level).select("host", "branch", "here", F.lit(True).alias("rare"))
+        here = F.get("template", F.lit(level))
+        wild = F.concat(F.slice("template", 1, level), F.array(F.lit("*")), F.slice("template", level + 2, _ALL))
+        named = tree.withColumns({"branch": F.xxhash64(F.slice("template", 1, level)), "here": here})
+        wider = named.join(own, ["host", "branch", "here"], "left").select(
             "host", "segments", "n", F.when(F.col("rare"), wild).otherwise(F.col("template")).alias("template")
         )
         tree = session.stage(wider, "url-tree")
@@ -100,6 +118,33 @@ def path_templates(paths: DataFrame) -> DataFrame:
     ).select("host", "path", "template")
 
 
+def shared_shares(labelled: DataFrame) -> DataFrame:
+    """template, shared: the share of rejected labels of a template in the tree of all hosts."""
+    shapes = session.stage(
+        labelled.groupBy("template").agg(F.sum("n_bad").alias("bad"), F.sum("n_labelled").alias("of")), "url-templates"
+    )
+    root = shapes.agg(F.sum("bad").alias("bad"), F.sum("of").alias("of")).first()
+    prior = ((root.bad or 0) + SMOOTHING * PRIOR) / ((root.of or 0) + SMOOTHING)
+    nodes = shapes.withColumn("level", F.explode(F.sequence(F.lit(1), F.greatest(F.size("template"), F.lit(1)))))
+    nodes = nodes.withColumn("node", F.slice("template", 1, F.col("level")))
+    sums = nodes.where("of > 0").groupBy("node").agg(F.sum("bad").alias("bad"), F.sum("of").alias("of"))
+    chains = (
+        nodes.select("template", "level", "node")
+        .join(sums, "node")
+        .groupBy("template")
+        .agg(F.array_sort(F.collect_list(F.struct("level", "bad", "of"))).alias("chain"))
+    )
+
+    def down(above: Column, node: Column) -> Column:
+        alike = F.abs(node["bad"] / node["of"] - above) <= SAME_Z * F.sqrt(above * (1 - above) / node["of"])
+        return F.when(alike, above).otherwise((node["bad"] + SMOOTHING * above) / (node["of"] + SMOOTHING))
+
+    shared = F.aggregate("chain", F.lit(prior).cast("double"), down)
+    return shapes.select("template").join(chains.select("template", shared.alias("shared")), "template", "left").select(
+        "template", F.coalesce("shared", F.lit(prior)).alias("shared")
+    )
+
+
 def template_verdicts(labelled: DataFrame) -> DataFrame:
     """host, template, verdict from (host, template, n_bad, n_labelled), one row per template."""
     branch = F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0)))
@@ -119,9 +164,10 @@ def template_verdicts(labelled: DataFrame) -> DataFrame:
     )
     bad = F.when(F.col("alike"), F.col("pool_bad")).otherwise(F.col("n_bad"))
     of = F.when(F.col("alike"), F.col("pool_of")).otherwise(F.col("n_labelled"))
-    purity = (bad + F.lit(SMOOTHING * PRIOR)) / (of + F.lit(SMOOTHING))
+    purity = (bad + F.lit(SMOOTHING) * F.col("shared")) / (of + F.lit(SMOOTHING))
     return (
         seen.join(pooled, ["host", "branch"], "left")
+        .join(shared_shares(labelled), "template")
         .select("host", "template", purity.alias("bad_share"), F.when(purity > LIMIT, "block").otherwise("allow").alias("verdict"))
     )
 
@@ -147,10 +193,11 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None)
     )
     paths = session.stage(paths, "url-paths")
     templates = session.stage(path_templates(paths), "url-templates")
-    counts = (
+    counts = session.stage(
         templates.join(paths, ["host", "path"])
         .groupBy("host", "template")
-        .agg(F.sum("n_bad").alias("n_bad"), F.sum("n_labelled").alias("n_labelled"))
+        .agg(F.sum("n_bad").alias("n_bad"), F.sum("n_labelled").alias("n_labelled")),
+        "url-counts",
     )
     verdicts = templates.join(template_verdicts(counts), ["host", "template"])
     return read.join(verdicts, ["host", "path"], "left").select(

@@ -418,6 +418,71 @@ def test_url_verdicts(spark):
     assert url_templates.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_templates_of_any_depth(spark):
+    """Labels that differ at the fifth segment, and at the fortieth."""
+    deep = "/".join("abcdefghij" * 4)
+    urls = [f"http://h.org/a/b/c/d/{'ab'[i % 2]}/x" for i in range(200)]
+    urls += [f"http://k.org/{deep}/{'ab'[i % 2]}/x{i}" for i in range(200)] + ["http://k.org/" + "s/" * 400]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 400) if i % 10 < 6], "page_id bigint, bad int")
+    got = {r.page_id: r.verdict for r in url_templates.judge(pages, [], labels).collect()}
+    assert len(got) == 401
+    assert all(got[i] == ("block" if i % 2 else "allow") for i in range(400))
+
+
+def test_url_labels_reach_other_hosts(spark):
+    """A host without labels is judged by its templates elsewhere, and one with labels by its own."""
+    urls = [f"http://h{i % 7}.org/{'spam' if i % 2 else 'news'}/p{i}" for i in range(140)]
+    urls += [f"http://fresh.net/{kind}/q{i}" for i in range(5) for kind in ("spam", "news")]
+    urls += [f"http://own.net/spam/r{i}" for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    known = [(i, i % 2) for i in range(140)] + [(150 + i, 0) for i in range(40)]
+    labels = spark.createDataFrame(known, "page_id bigint, bad int")
+    rows = url_templates.judge(pages, [], labels).collect()
+    got = {(r.host, r.path.split("/")[1]): r.verdict for r in rows}
+    assert got["fresh.net", "spam"] == "block" and got["fresh.net", "news"] == "allow"
+    assert got["own.net", "spam"] == "allow" and got["h3.org", "spam"] == "block"
+    assert len(rows) == len(urls)
+    assert {r.verdict for r in url_templates.judge(pages, [], labels.limit(0)).collect()} == {"allow"}
+
+
+def _plain_templates(urls):
+    """host, path -> template: level by level, with rare segments of crowded branches as wildcards."""
+    paths = Counter(urls)
+    made = {}
+    for host, path in paths:
+        cut = re.sub("^/", "", path).split("/")
+        made[host, path] = tuple("*" if re.search(r"[0-9]|^[0-9A-Fa-f-]{16,}$", s) else s for s in cut)
+    for level in range(max(map(len, made.values()), default=0)):
+        held = Counter()
+        for key, template in made.items():
+            if len(template) > level:
+                held[key[0], template[:level], template[level]] += paths[key]
+        total, children = Counter(), Counter()
+        for (host, branch, _), n in held.items():
+            total[host, branch] += n
+            children[host, branch] += 1
+        for key, template in made.items():
+            if len(template) > level:
+                at = key[0], template[:level]
+                if children[at] > 20 and held[*at, template[level]] < 0.05 * total[at]:
+                    made[key] = (*template[:level], "*", *template[level + 1 :])
+    return made
+
+
+def test_url_templates_equal_a_plain_version(spark, sf_dir):
+    rng = np.random.default_rng(4)
+    words_ = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)]
+    urls = [(f"h{rng.integers(3)}.org", "/" + "/".join(rng.choice(words_[: [3, 64, 5, 40][k]]) for k in range(rng.integers(1, 5)))) for _ in range(1500)]
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        url_templates.host_of(F.col("url")).alias("host"), url_templates.path_of(F.col("url")).alias("path")
+    )
+    for rows in (urls, [tuple(r) for r in given.collect()]):
+        frame = spark.createDataFrame([(h, p, n) for (h, p), n in Counter(rows).items()], "host string, path string, n bigint")
+        got = {(r.host, r.path): tuple(r.template) for r in url_templates.path_templates(frame).collect()}
+        assert got == _plain_templates(rows)
+
+
 def test_phrases_equal_brute_force():
     texts = {"aa": ["abababa cabab"], "bb": ["xyzzy zyx xy"]}
     model = language_id.fit_texts(texts)
