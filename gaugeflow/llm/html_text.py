@@ -21,7 +21,10 @@ end one. Character references are decoded, white space inside a block becomes on
 and blocks are joined by an empty line.
 
 Null and empty html, and pages without content, give the empty text. Unclosed and stray
-tags, unclosed comments and cut-off pages are read to their end. Rows with the same page_id
+tags, unclosed comments and cut-off pages are read to their end. Parts that are hidden, by their
+attribute or style, are left out. A tag longer than TAG_MOST ends at its first `>`, quoted or
+not. Pages are read in one pass: open tags are counted by name and paths are numbers of a
+tree, so time grows with the page, however deep or broken it is. Rows with the same page_id
 stay apart, an empty table gives no rows, other columns are not read.
 """
 
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -42,12 +45,17 @@ SMOOTH = (0.25, 0.5, 0.25)
 #: A path with this many links, and over half of its text in them, is a list of links.
 LEAST_LINKS = 3
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>",
-    re.S,
-)
+COMMENT = re.compile(r"<!--.*?(?:--!?>|\Z)", re.S)
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>")
+TAG_MOST = 1 << 14
 HREF = re.compile(r"\bhref\s*=", re.I)
-NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMED = re.compile(
+    r"(?<![^\s\"'/])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/]|$))"
+    r"|\"[^\"]*\"|'[^']*'",
+    re.I,
+)
+UNSEEN = re.compile(r"\b(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 # Elements of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object select title canvas".split())
@@ -95,6 +103,8 @@ def _left_out(tag: str, said: dict[str, str], inside_article: bool) -> bool:
     """Whether the tag or its role leaves a part out, whatever it holds."""
     if tag in LEFT_OUT and not (tag == "header" and inside_article):
         return True
+    if "hidden" in said or UNSEEN.search(said.get("style", "")):
+        return True
     return said.get("role", "").lower() in LEFT_OUT_ROLES or said.get("aria-hidden", "").lower() == "true"
 
 
@@ -108,68 +118,124 @@ def _named(tag: str, said: dict[str, str], inside_article: bool) -> str:
     return names if LEFT_OUT_NAMES.search(names) else ""
 
 
-Path = tuple[str, ...]
+ROOT = 0
+
+
+class Paths:
+    """The paths of a page as a tree: a number each, the parent before its children."""
+
+    def __init__(self):
+        self.parent, self.tag, self.depth = [ROOT], [""], [0]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def below(self, path: int, step: str) -> int:
+        found = self.known.get((path, step))
+        if found is None:
+            found = self.known[path, step] = len(self.parent)
+            self.parent.append(path)
+            self.tag.append(step.split(".")[0])
+            self.depth.append(self.depth[path] + 1)
+        return found
+
+    def shared(self, some: list[int]) -> int:
+        """The deepest path that all of these begin with."""
+        held = [0] * len(self.parent)
+        for path in some:
+            held[path] += 1
+        for path in range(len(held) - 1, ROOT, -1):
+            if held[path] == len(some):
+                return path
+            held[self.parent[path]] += held[path]
+        return ROOT
+
+    def within(self, path: int, *tags: str) -> int | None:
+        """The nearest of these tags that a path is or stands in."""
+        while path != ROOT:
+            if self.tag[path] in tags:
+                return path
+            path = self.parent[path]
+        return None
+
+    def all_below(self, *roots: int) -> list[bool]:
+        """For every path whether it is one of these or stands in one."""
+        inside = [False] * len(self.parent)
+        for root in roots:
+            inside[root] = True
+        for path in range(1, len(inside)):
+            inside[path] = inside[path] or inside[self.parent[path]]
+        return inside
 
 
 class Leaf(NamedTuple):
-    path: Path
+    path: int
     block: int
     text: str
     linked: bool
     paragraph: bool
-    parts: tuple[int, ...]  # named parts that it stands in
+    part: int  # the innermost named part that it stands in, or -1
 
 
 class Part(NamedTuple):
     """A part whose class or id has a word of those to leave out."""
 
     names: str
-    path: Path
-    parts: tuple[int, ...]  # named parts that it stands in
+    path: int
+    part: int  # the named part that it stands in, or -1
 
 
-def parts_to_leave(leaves: list[Leaf], parts: list[Part], landmarks: list[tuple[str, tuple[int, ...]]]) -> set[int]:
-    """The named parts that do not hold the page's content."""
-    length, linked, paragraphs, held = Counter(), Counter(), Counter(), Counter()
+def parts_to_leave(leaves: list[Leaf], parts: list[Part], landmarks: list[tuple[str, int]]) -> list[bool]:
+    """For every named part whether it, or one that it stands in, does not hold the page's content."""
+    n = len(parts) + 1  # the last one is the page
+    length, linked, paragraphs = [0] * n, [0] * n, [0] * n
+    held = {tag: [0] * n for tag in LANDMARKS}
     for leaf in leaves:
-        n = len(leaf.text.strip())
-        for k in (-1, *leaf.parts):
-            length[k] += n
-            linked[k] += n * leaf.linked
-            paragraphs[k] += n * (leaf.paragraph and not leaf.linked)
-    for tag, inside in landmarks:
-        for k in (-1, *inside):
-            held[tag, k] += 1
+        size = len(leaf.text.strip())
+        length[leaf.part] += size
+        linked[leaf.part] += size * leaf.linked
+        paragraphs[leaf.part] += size * (leaf.paragraph and not leaf.linked)
+    for tag, part in landmarks:
+        held[tag][part] += 1
+    sums = [length, linked, paragraphs, *held.values()]
+    for k in range(len(parts) - 1, -1, -1):
+        for total in sums:
+            total[parts[k].part] += total[k]
 
     def holds_content(k: int) -> bool:
         if 2 * linked[k] > length[k]:
             return False
-        if any(held[x, k] and held[x, k] == held[x, -1] for x in LANDMARKS):
+        if any(x[k] and x[k] == x[-1] for x in held.values()):
             return True
         return 2 * paragraphs[k] > paragraphs[-1] and not COMMENT_NAMES.search(parts[k].names)
 
-    return {k for k in range(len(parts)) if not holds_content(k)}
+    leave = [False] * n
+    for k, part in enumerate(parts):
+        leave[k] = leave[part.part] or not holds_content(k)
+    return leave
 
 
-def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
+def read_leaves(page: str) -> tuple[list[Leaf], list[int], Paths]:
     """Every leaf outside the parts that are left out, and where page furniture stands.
 
     No path has inline tags.
     """
+    paths = Paths()
     leaves: list[Leaf] = []
-    furniture: list[Path] = []
+    furniture: list[int] = []
     parts: list[Part] = []
-    landmarks: list[tuple[str, tuple[int, ...]]] = []
-    open_parts: list[int] = []
-    part_from: list[int] = []  # their depths
+    landmarks: list[tuple[str, int]] = []
+    open_parts, part_from = [-1], []  # named parts, and their depths
     links: list[int] = []  # depths of open links
-    tags: list[str] = []
-    steps: list[str] = []  # empty for an inline tag
     out_from: list[int] = []  # depths at which a left-out part begins
-    block = at = 0
+    tags: list[str] = []
+    here: list[int] = [ROOT]  # the path at each depth
+    depths: dict[str, list[int]] = defaultdict(list)  # of the open tags of each name
+    block = at = begun = 0
+    last = page.rfind(">")
 
     def close(depth: int) -> None:
-        del tags[depth:], steps[depth:]
+        while len(tags) > depth:
+            depths[tags.pop()].pop()
+            here.pop()
         while out_from and out_from[-1] >= depth:
             out_from.pop()
         while links and links[-1] >= depth:
@@ -179,65 +245,75 @@ def read_leaves(page: str) -> tuple[list[Leaf], list[Path]]:
 
     def add(text: str) -> None:
         if text and not out_from:
-            path = tuple(filter(None, steps))
-            leaves.append(Leaf(path, block, text, bool(links), "p" in tags, tuple(open_parts)))
+            leaves.append(Leaf(here[-1], block, text, bool(links), bool(depths["p"]), open_parts[-1]))
 
     while True:
-        m = TOKEN.search(page, at)
-        add(page[at : m.start() if m else len(page)])
+        sign = page.find("<", at)
+        if sign >= 0 and page.startswith("<!--", sign):
+            m = COMMENT.match(page, sign)
+        elif 0 <= sign < last:
+            m = TAG.match(page, sign, sign + TAG_MOST) or LOOSE_TAG.match(page, sign)
+            if not m:
+                at = sign + 1
+                continue
+        else:
+            m = None
+        add(page[begun : m.start() if m else len(page)])
         if not m:
             break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        at = begun = m.end()
+        tag = (m[2] or "").lower() if m.re is not COMMENT else ""
         if not tag:
             continue
         if tag not in INLINE:
             block += 1
-        if m[1] or m[4]:
-            if tag in tags:
-                close(len(tags) - 1 - tags[::-1].index(tag))
+        own = depths[tag]
+        if m[1]:
+            if own:
+                close(own[-1])
             continue
-        rest = m[3] or m[6] or ""
+        rest = m[3] or ""
         if tag in RAW:
             if not rest.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at) if at < last else None
+                at = begun = end.end() if end else len(page)
             continue
         if tag in VOID:
             continue
-        if tag in ENDS_P and "p" in tags:
-            close(len(tags) - 1 - tags[::-1].index("p"))
-        elif tag in CLOSES and tag in tags:
-            own = len(tags) - 1 - tags[::-1].index(tag)
-            if not any(x in CLOSES[tag] for x in tags[own + 1 :]):
-                close(own)
-        said = {x[0].lower(): x[1] or x[2] or x[3] for x in NAMED.findall(rest)} if rest else {}
-        inside_article = "article" in tags
+        if tag in ENDS_P and depths["p"]:
+            close(depths["p"][-1])
+        elif tag in CLOSES and own:
+            if not any(depths[x] and depths[x][-1] > own[-1] for x in CLOSES[tag]):
+                close(own[-1])
+        said = {x[0].lower(): x[1] or x[2] or x[3] for x in NAMED.findall(rest) if x[0]} if rest else {}
+        inside_article = bool(depths["article"])
         if _left_out(tag, said, inside_article):
             if not out_from and (tag in FURNITURE or said.get("role", "").lower() in FURNITURE_ROLES):
-                furniture.append(tuple(filter(None, steps)))
+                furniture.append(here[-1])
             out_from.append(len(tags))
         elif not out_from:
             if names := _named(tag, said, inside_article):
-                parts.append(Part(names, tuple(filter(None, steps)), tuple(open_parts)))
+                parts.append(Part(names, here[-1], open_parts[-1]))
                 open_parts.append(len(parts) - 1)
                 part_from.append(len(tags))
             if tag in LANDMARKS and not (tag == "article" and COMMENT_NAMES.search(said.get("class", ""))):
-                landmarks.append((tag, tuple(open_parts)))
+                landmarks.append((tag, open_parts[-1]))
         if tag == "a" and HREF.search(rest):
             links.append(len(tags))
+        depths[tag].append(len(tags))
         tags.append(tag)
-        steps.append("" if tag in INLINE else tag + "." + said["class"] if said.get("class") else tag)
+        step = tag + "." + said["class"] if said.get("class") else tag
+        here.append(here[-1] if tag in INLINE else paths.below(here[-1], step))
     leave = parts_to_leave(leaves, parts, landmarks)
     furniture += [
-        x.path for k, x in enumerate(parts) if k in leave and leave.isdisjoint(x.parts) and FURNITURE_NAMES.search(x.names)
+        x.path for k, x in enumerate(parts) if leave[k] and not leave[x.part] and FURNITURE_NAMES.search(x.names)
     ]
-    return [x for x in leaves if leave.isdisjoint(x.parts)], furniture
+    return [x for x in leaves if not leave[x.part]], furniture, paths
 
 
-def content_root(leaves: list[Leaf]) -> Path | None:
+def content_root(leaves: list[Leaf], paths: Paths) -> int | None:
     """The path of the deepest tag that holds the content."""
-    sums: dict[Path, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
+    sums: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
     for path, _, text, *_ in leaves:
         length = len(text.strip())
         if length:
@@ -247,27 +323,26 @@ def content_root(leaves: list[Leaf]) -> Path | None:
             own[2] += 1
     if not sums:
         return None
-    paths = list(sums)
+    named = list(sums)
 
     def smoothed(of: int) -> list[float]:
-        raw = [sums[p][of] / sums[p][2] for p in paths]
+        raw = [sums[p][of] / sums[p][2] for p in named]
         padded = [raw[0], *raw, raw[-1]]
         return [sum(w * x for w, x in zip(SMOOTH, padded[i : i + 3], strict=True)) for i in range(len(raw))]
 
     # The share of the page's text weighs in, so that one long notice is no article.
-    fused = [a * b * sums[p][0] for a, b, p in zip(smoothed(0), smoothed(1), paths, strict=True)]
+    fused = [a * b * sums[p][0] for a, b, p in zip(smoothed(0), smoothed(1), named, strict=True)]
     most = max(fused)
-    chosen = [p for p, value in zip(paths, fused, strict=True) if value >= LEAST_SHARE * most]
+    chosen = [p for p, value in zip(named, fused, strict=True) if value >= LEAST_SHARE * most]
     # Above a paragraph stands the tag that holds its neighbours as well.
-    shared = chosen[0][:-1] if len(chosen) == 1 and len(chosen[0]) > 1 else chosen[0]
-    for path in chosen[1:]:
-        shared = shared[: _shared(shared, path)]
-    return shared
+    if len(chosen) == 1 and paths.depth[chosen[0]] > 1:
+        return paths.parent[chosen[0]]
+    return paths.shared(chosen)
 
 
-def link_lists(leaves: list[Leaf]) -> set[Path]:
+def link_lists(leaves: list[Leaf]) -> set[int]:
     """Paths that hold mostly links."""
-    sums: dict[Path, list[int]] = defaultdict(lambda: [0, 0, 0])
+    sums: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
     for leaf in leaves:
         length = len(leaf.text.strip())
         if length:
@@ -278,47 +353,42 @@ def link_lists(leaves: list[Leaf]) -> set[Path]:
     return {p for p, (all_, linked, n) in sums.items() if n >= LEAST_LINKS and 2 * linked > all_}
 
 
-def _shared(a: Path, b: Path) -> int:
-    k = 0
-    while k < min(len(a), len(b)) and a[k] == b[k]:
-        k += 1
-    return k
-
-
-def _within(root: Path, *tags: str) -> Path | None:
-    """The nearest of these tags that root is or stands in."""
-    for k in range(len(root), 0, -1):
-        if root[k - 1].split(".")[0] in tags:
-            return root[:k]
-    return None
-
-
-def widened(root: Path, barred: list[Path]) -> Path:
+def widened(root: int, barred: set[int], paths: Paths) -> int:
     """The article or main around root, or the highest tag that brings in no barred path."""
-    around = _within(root, "article", "main")
+    around = paths.within(root, "article", "main")
     if around is not None:
         return around
-    met = (_shared(root, path) for path in barred)
-    return root[: max((k for k in met if k < len(root)), default=-1) + 1]
-
-
-def content(leaves: list[Leaf], furniture: list[Path]) -> list[Leaf]:
+    on_the_way, path = {ROOT}, root
+    while path != ROOT:
+        on_the_way.add(path)
+        path = paths.parent[path]
+    met = [0] * len(paths.parent)  # how deep each path goes along with root
+    for path in range(1, len(met)):
+        met[path] = paths.depth[path] if path in on_the_way else met[paths.parent[path]]
+    depth = max((met[p] for p in barred if met[p] < paths.depth[root]), default=-1) + 1
+    while paths.depth[root] > depth:
+        root = paths.parent[root]
+    return root
+
+
+def content(leaves: list[Leaf], furniture: list[int], paths: Paths) -> list[Leaf]:
     """The leaves of the main text."""
-    root = content_root(leaves)
+    root = content_root(leaves, paths)
     if root is None:
         return []
     lists = link_lists(leaves)
-    root = widened(root, [*lists, *furniture])
-    inside = [leaf.path[: len(root)] == root for leaf in leaves]
-
-    def headed(k: int) -> bool:
-        return any(step.split(".")[0] == "h1" for step in leaves[k].path)
-
-    if root and not any(held and headed(k) for k, held in enumerate(inside)):
-        scope = _within(root[:-1], "main") or root[:-1]
+    root = widened(root, {*lists, *furniture}, paths)
+    below = paths.all_below(root)
+    inside = [below[leaf.path] for leaf in leaves]
+    in_heading = paths.all_below(*(p for p, tag in enumerate(paths.tag) if tag == "h1"))
+    headed = [in_heading[leaf.path] for leaf in leaves]
+    if root != ROOT and not any(held and h for held, h in zip(inside, headed, strict=True)):
+        above = paths.parent[root]
+        scope = paths.within(above, "main")
+        near = paths.all_below(above if scope is None else scope)
         first = inside.index(True)
-        beside = [k for k in range(first) if leaves[k].path[: len(scope)] == scope]
-        block = next((leaves[k].block for k in reversed(beside) if headed(k)), None)
+        beside = [k for k in range(first) if near[leaves[k].path]]
+        block = next((leaves[k].block for k in reversed(beside) if headed[k]), None)
         if block is not None:
             for k in beside:
                 inside[k] = leaves[k].block >= block and leaves[k].path not in lists

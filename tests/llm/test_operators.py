@@ -418,6 +418,44 @@ def test_url_verdicts(spark):
     assert url_templates.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+BROKEN_PAGES = {
+    "nested": lambda n: "<div>" * n + "<p>" + "Some text, more. " * 20 + "</p>",
+    "unclosed": lambda n: "<div><p>Some text, and more of it. " * n,
+    "cut off": lambda n: "<p>Some text.</p>" + "<a " * n,
+    "menus": lambda n: "<div class=menu>Some text, more. " * n,
+    "quotes": lambda n: "<p>Some text.</p>" + '<a "' * n + ">",
+    "comments": lambda n: "<!--" * n,
+    "scripts": lambda n: "<script>" + "</scrip>" * n,
+    "declarations": lambda n: "<!a " * n,
+    "lists": lambda n: "<ul><li>Some text, more. " * n,
+}
+
+
+@pytest.mark.parametrize("kind", BROKEN_PAGES)
+def test_broken_pages_take_time_for_their_length(kind):
+    import time
+
+    def seconds(n):
+        page = BROKEN_PAGES[kind](n)
+        started = time.process_time()
+        html_text.extract(page)
+        return time.process_time() - started
+
+    seconds(1000)
+    short, long = min(seconds(6000) for _ in range(3)), min(seconds(48_000) for _ in range(2))
+    # Eight times the length; a square would take 64 times as long.
+    assert long < 24 * short + 0.05
+
+
+def test_hidden_parts_and_attribute_values():
+    body = "<p>" + "Words of the article, and more of them. " * 10 + "</p>"
+    page = f"""<article>{body}<div hidden>secret one</div><div style="color:red; display: none">secret two</div>
+    <div data-x="hidden">shown one</div><div title='class="menu"'>shown two</div><div class="a hidden-b">shown three</div>
+    <p HIDDEN>secret three</p><section style='visibility:hidden'><p>secret four</p></section></article>"""
+    got = html_text.extract(page)
+    assert "secret" not in got and all(f"shown {n}" in got for n in ("one", "two", "three"))
+
+
 def test_url_templates_of_any_depth(spark):
     """Labels that differ at the fifth segment, and at the fortieth."""
     deep = "/".join("abcdefghij" * 4)
