@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow import schemas as S
+from gaugeflow import session
 
 
 def assemble(flat: DataFrame, handle_invalid: str = "skip") -> DataFrame:
@@ -21,9 +22,15 @@ def assemble(flat: DataFrame, handle_invalid: str = "skip") -> DataFrame:
     return assembler.transform(flat).drop(*S.FEATURES)
 
 
-def random_split(rows: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """About 80 and 20 of 100 rows; which ones depends on the layout of the rows."""
-    train, test = rows.randomSplit([0.8, 0.2], seed)
+def random_split(rows: DataFrame, seed: int = 42, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """About 80 and 20 of 100 rows; which ones depends on the layout of the rows.
+
+    Rows are drawn once and written with their part, so the parts are read apart, need no order
+    to be the same whenever they are read, and hold every row once between them.
+    """
+    drawn = F.when(F.rand(seed) < train_share, "train").otherwise("test")
+    staged = session.stage(rows.withColumn("_part", drawn), "split", "_part")
+    train, test = (staged.where(F.col("_part") == part).drop("_part") for part in ("train", "test"))
     return train, test
 
 
