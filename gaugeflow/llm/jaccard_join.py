@@ -12,16 +12,19 @@ the same sets count once. In a region, the place of its shingle in the order of
 what two sets can have in common, and keeps far sets from being compared. Rarity is counted over all documents in buckets of fixed number; it
 only balances regions, any order is exact.
 
-Regions of more than LEAF sets are joined recursively. Some of their sets become pivots, a single
-one at first, and are compared with all sets of other components, so they are done: a region
-of near copies takes as many comparisons as it has sets. Each other set goes to the Voronoi region of
-the nearest of the first pivots, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If
-that would make more than SPREAD times as many rows, the region stays whole and goes on with
-more pivots. Before sets are
-compared, the parity of their shingles in PARITIES buckets tells how many shingles they
-must at least differ in, which is again a metric that never exceeds the true one. A region ends when all its sets are in one component already, and at LEAF
-sets or fewer its pairs of different components are compared directly. Every comparison is
-of whole sets; no link between sets of different components is missed.
+Before sets are compared, the parity of their shingles in PARITIES buckets tells how many shingles
+they must at least differ in, which is again a metric that never exceeds the true one.
+
+A region of up to LEAF sets is a star first: each set is compared with the first other one of
+another component that may be near enough, so near copies take as many comparisons as there are
+sets. What is in different components then and may still be near is compared with some, and
+at last with all of those. Regions of more sets are joined recursively. Some of their sets become
+pivots, a single one at first, and are compared with all sets of other components, so they are
+done. With several pivots, each other set goes to the Voronoi region of the nearest of the first
+pivots, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If that would make more
+than SPREAD times as many rows, the region stays whole and goes on with more pivots. A region ends
+when all its sets are in one component already. Every comparison is of whole sets; no link
+between sets of different components is missed.
 
 Copies share one set and are never paired. With fewer words than a shingle has, a text
 is one shingle of all of them. Null texts and texts without words have the empty set and
@@ -45,9 +48,11 @@ from gaugeflow.llm import sketch, words
 from gaugeflow.llm.components import components
 from gaugeflow.llm.tables import give_back, text_key, with_group
 
-LEAF = 3
-#: Pivots of a region in the first round, how many times more in each further one, and cells at most.
-FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 4, 4
+LEAF = 256
+#: Others that a set of a small region is compared with in the first rounds; then all.
+PARTNERS = (1, 4)
+#: Pivots of a large region in the first round, how many times more in each further one, and cells at most.
+FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 16, 4
 SPREAD = 1.5
 PARITIES = 512
 PARITY_COLUMNS = [f"h{i}" for i in range(PARITIES // 64)]
@@ -261,6 +266,69 @@ def _grouped(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(open_, "region")
 
 
+def _stars(rows: DataFrame, partners: int | None, num: int, den: int) -> DataFrame:
+    """(a, b) of sets in small regions: each with the first partners that it may link with, or all.
+
+    Rows with a = b name all sets that may link with any other.
+    """
+
+    def may_link(n: np.ndarray, pos: np.ndarray, c: np.ndarray, odd: np.ndarray) -> np.ndarray:
+        """For regions of one size, which of their sets may link, the first of a pair before the second."""
+        differ = np.bitwise_count(odd[:, :, None, :] ^ odd[:, None, :, :]).sum(axis=-1, dtype=np.int64)
+        n_a, n_b = n[:, :, None], n[:, None, :]
+        left = n - pos
+        some = (den * n_b >= num * n_a) & (den * n_a >= num * n_b) & (c[:, :, None] != c[:, None, :])
+        some &= (num + den) * differ <= (den - num) * (n_a + n_b)
+        some &= (num + den) * np.minimum(left[:, :, None], left[:, None, :]) >= num * (n_a + n_b)
+        return some & np.triu(np.ones(some.shape[1:], bool), 1)
+
+    def found(table: dict[str, np.ndarray], odd: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.diff(table["region"], prepend=table["region"][0] - 1))
+        sizes = np.diff(np.append(starts, len(table["region"])))
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            own = starts[sizes == size]
+            step = max(1, (1 << 19) // (size * size))
+            for k in range(0, len(own), step):
+                at = own[k : k + step, None] + np.arange(size)
+                some = may_link(table["n"][at], table["pos"][at], table["c"][at], odd[at])
+                near = some.any(axis=1) | some.any(axis=2)
+                if partners is not None:
+                    some &= np.cumsum(some, axis=1) <= partners
+                g, x, y = np.nonzero(some)
+                own_name = table["name"][at]
+                a = np.concatenate([own_name[g, x], own_name[near]])
+                b = np.concatenate([own_name[g, y], own_name[near]])
+                if len(a):
+                    yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def handed(whole: bool) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            region = rows.column("region").to_numpy()
+            # The last region may go on in the next batch.
+            end = len(region) if whole else int(np.searchsorted(region, region[-1], "left"))
+            held[:] = rows.slice(end).to_batches()
+            part = rows.slice(0, end)
+            if end:
+                odd = np.stack([part.column(c).to_numpy() for c in PARITY_COLUMNS], axis=1).view(np.uint64)
+                yield from found({c: part.column(c).to_numpy() for c in ("region", "name", "n", "pos", "c")}, odd)
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                if sum(x.num_rows for x in held) >= 1 << 14:
+                    yield from handed(False)
+        if held:
+            yield from handed(True)
+        give_back()
+
+    columns = ["region", "name", "n", "pos", "c", *PARITY_COLUMNS]
+    dealt = rows.select(*columns).repartition("region").sortWithinPartitions("region", "name")
+    return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
+
+
 def set_components(
     docs: DataFrame, size: int, num: int, den: int, levels: np.ndarray, parity: DataFrame
 ) -> DataFrame | None:
@@ -273,13 +341,12 @@ def set_components(
     regions, members = members, session.stage(members.join(once, "name"), "members")
     session.unstage(regions)
     kept = ["name", "n", "pos", *PARITY_COLUMNS]
-    bodies, labels, pivots = None, None, FIRST_PIVOTS
+    bodies, labels, pivots, turn = None, None, FIRST_PIVOTS, 0
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
         session.unstage(members)
         if grouped.isEmpty():
             return labels
-        x, y = grouped.alias("x"), grouped.alias("y")
 
         def may_link(a: str, b: str) -> Column:
             """Linked sets are of like size, differ in few shingles, and share none before this one."""
@@ -289,13 +356,9 @@ def set_components(
             sizes &= (num + den) * differ <= (den - num) * (n_a + n_b)
             return sizes & ((num + den) * F.least(n_a - pos_a, n_b - pos_b) >= num * (n_a + n_b))
 
-        apart = F.col("x.c") != F.col("y.c")
-        small = (
-            x.where(f"m <= {LEAF}")
-            .join(y, F.col("x.region") == F.col("y.region"))
-            .where((F.col("x.name") < F.col("y.name")) & may_link("x", "y") & apart)
-            .select(F.col("x.name").alias("a"), F.col("y.name").alias("b"))
-        )
+        partners = PARTNERS[turn] if turn < len(PARTNERS) else None
+        few = grouped.where(f"m <= {LEAF}")
+        small = _stars(few, partners, num, den)
         # Sets in many regions stand in the middle of their likes; sets in large components
         # have the fewest others to be compared with.
         wide_open = grouped.where(f"m > {LEAF}")
@@ -314,42 +377,55 @@ def set_components(
             .where((F.col("p.c") != F.col("o.c")) & may_link("p", "o"))
             .select(F.col("p.name").alias("a"), F.col("o.name").alias("b"))
         )
-        pairs = small.unionByName(
+        either = small.unionByName(
             by_pivot.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         ).distinct()
-        pairs = session.stage(pairs, "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("v"))
+        named = session.stage(either, "pairs")
+        pairs = named.where("a <> b")
+        ends = named.select(F.explode(F.array("a", "b")).alias("v"))
         if bodies is None:
-            # Later rounds compare no sets but those of the large regions.
+            # Later rounds compare no sets but these and those of the large regions.
             ever = sketch.bitmap(ends.unionByName(large.select(F.col("name").alias("v"))), "v")
             bodies = session.stage(_bodies(docs, size, ever), "bodies")
-        compared = session.stage(_compared(pairs, _within(bodies, sketch.bitmap(ends, "v"))), "compared")
+        wanted = sketch.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
+        compared = session.stage(_compared(pairs, _within(bodies, wanted)), "compared")
         if compared.count() != pairs.count():
             raise RuntimeError("sets to be compared are missing")
-        session.unstage(pairs, grouped)
         links = compared.where(den * F.col("common") >= num * F.col("either")).select("a", "b")
         labels = _merged(labels, links)
-        distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
-        both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-        # A distance that is not known is inside a component or of sets that cannot link; such
-        # a set goes to that cell as well.
-        near = F.col("d").isNull() | (F.col("d") <= F.col("home") + 2 * radius + 1e-9)
-        cells = (
-            others.select("region", *kept, "m")
-            .join(large.where(F.col("row") <= min(pivots, CELLS)).select("region", F.col("name").alias("p")), "region")
-            .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"], "left")
-            .select("*", F.min("d").over(Window.partitionBy("region", "name")).alias("home"))
-            .where(near)
-        )
-        cells = session.stage(cells, "cells")
-        wide = cells.groupBy("region", "m").agg((F.count("*") > SPREAD * F.col("m")).alias("wide"))
-        split = cells.join(wide.where("NOT wide").select("region"), "region").select(
-            F.xxhash64("region", "p").alias("region"), *kept
-        )
-        whole = others.join(wide.where("wide").select("region"), "region").select("region", *kept)
-        members = session.stage(split.unionByName(whole), "members")
-        session.unstage(cells, large, compared)
-        pivots *= MORE_PIVOTS
+        rest = others.select("region", *kept)
+        if pivots > 1:
+            distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
+            rest = _cells(others, large.where(F.col("row") <= min(pivots, CELLS)), distance, kept, radius)
+        if partners is not None:
+            # What may link with no other set of its small regions is done with them.
+            going_on = ends.select(F.col("v").alias("name")).distinct()
+            rest = rest.unionByName(few.join(going_on, "name", "left_semi").select("region", *kept))
+        members = session.stage(rest, "members")
+        session.unstage(named, grouped, large, compared)
+        pivots, turn = pivots * MORE_PIVOTS, turn + 1
+
+
+def _cells(others: DataFrame, pivots: DataFrame, distance: DataFrame, kept: list[str], radius: float) -> DataFrame:
+    """Members of large regions with the Voronoi cells that they go on in, or the region where cells do not part it."""
+    both = distance.unionByName(distance.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+    # A distance that is not known is inside a component or of sets that cannot link; such
+    # a set goes to that cell as well.
+    near = F.col("d").isNull() | (F.col("d") <= F.col("home") + 2 * radius + 1e-9)
+    cells = (
+        others.select("region", *kept, "m")
+        .join(pivots.select("region", F.col("name").alias("p")), "region")
+        .join(both.select(F.col("a").alias("name"), F.col("b").alias("p"), "d"), ["name", "p"], "left")
+        .select("*", F.min("d").over(Window.partitionBy("region", "name")).alias("home"))
+        .where(near)
+    )
+    cells = session.stage(cells, "cells")
+    wide = cells.groupBy("region", "m").agg((F.count("*") > SPREAD * F.col("m")).alias("wide"))
+    split = cells.join(wide.where("NOT wide").select("region"), "region").select(
+        F.xxhash64("region", "p").alias("region"), *kept
+    )
+    whole = others.join(wide.where("wide").select("region"), "region").select("region", *kept)
+    return split.unionByName(whole)
 
 
 def _within(bodies: DataFrame, wanted: np.ndarray) -> DataFrame:
