@@ -7,8 +7,7 @@ Sets of documents that have little in common are all about 1 apart, so no triang
 inequality tells them apart. The space is therefore first cut by the simplest pivots there
 are, sets of one shingle: a set has a distance below 1 from just those of its own shingles.
 Its home is its rarest shingle, and it is replicated to the regions of as many of the
-next rarest as the radius asks for: sets within the radius share one of these. Regions of
-the same sets count once. In a region, the place of its shingle in the order of a set bounds
+next rarest as the radius asks for: sets within the radius share one of these. In a region, the place of its shingle in the order of a set bounds
 what two sets can have in common, and keeps far sets from being compared. Rarity is counted over all documents in buckets of fixed number; it
 only balances regions, any order is exact.
 
@@ -17,8 +16,8 @@ they must at least differ in, which is again a metric that never exceeds the tru
 
 A region of up to LEAF sets is a star first: each set is compared with the first other one of
 another component that may be near enough, so near copies take as many comparisons as there are
-sets. What is in different components then and may still be near is compared with some, and
-at last with all of those. Regions of more sets are joined recursively. Some of their sets become
+sets. What is in different components then and may still be near is compared with all of those.
+Regions of more sets are joined recursively. Some of their sets become
 pivots, a single one at first, and are compared with all sets of other components, so they are
 done. With several pivots, each other set goes to the Voronoi region of the nearest of the first
 pivots, and to all regions j with d(x, p_j) <= d(x, p_home) + 2 * radius. If that would make more
@@ -49,10 +48,10 @@ from gaugeflow.llm.components import components
 from gaugeflow.llm.tables import give_back, text_key, with_group
 
 LEAF = 256
-#: Others that a set of a small region is compared with in the first rounds; then all.
-PARTNERS = (1, 4)
+#: Others that a set of a small region is compared with in the first rounds; then with all.
+PARTNERS = (1,)
 #: Pivots of a large region in the first round, how many times more in each further one, and cells at most.
-FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 16, 4
+FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 64, 4
 SPREAD = 1.5
 PARITIES = 512
 PARITY_COLUMNS = [f"h{i}" for i in range(PARITIES // 64)]
@@ -170,33 +169,19 @@ def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den
 
 
 def _regions(homes: DataFrame, num: int, den: int) -> DataFrame:
-    """(region, name, n, pos) of the regions of two sets or more, one region of those with equal sets.
+    """(region, name, n, pos) of the regions of two sets or more.
 
-    Of these it is the one whose shingle comes first in the order. A set that cannot link with
-    the smallest set of the region, for the place of the shingle, is left out.
+    A set that cannot link with the smallest set of the region, for the place of the shingle, is left out.
     """
     once = homes.repartition("region").dropDuplicates(["region", "name"])
     inside = Window.partitionBy("region")
-    met = session.stage(
-        once.select(
-            "*",
-            F.count("*").over(inside).alias("m"),
-            F.bit_xor(F.xxhash64("name")).over(inside).alias("who"),
-            F.min("name").over(inside).alias("first"),
-            F.min("n").over(inside).alias("least"),
-        ).where("m > 1"),
-        "regions",
-    )
-    kept = met.where(F.col("name") == F.col("first")).groupBy("m", "who", "first").agg(
-        F.min_by("region", "pos").alias("region")
-    )
     smallest = F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))
     reaches = (num + den) * (F.col("n") - F.col("pos")) >= num * (F.col("n") + smallest)
-    found = session.stage(
-        met.join(kept.select("region"), "region").where(reaches).select("region", "name", "n", "pos"), "distinct-regions"
+    return (
+        once.withColumns({"m": F.count("*").over(inside), "least": F.min("n").over(inside)})
+        .where((F.col("m") > 1) & reaches)
+        .select("region", "name", "n", "pos")
     )
-    session.unstage(met)
-    return found
 
 
 def _bodies(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
@@ -261,9 +246,9 @@ def _grouped(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         rows = members.join(labels.select(F.col("v").alias("name"), F.col("c").alias("label")), "name", "left").select(
             *members.columns, F.coalesce("label", "name").alias("c")
         )
-    span = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    open_ = span.where("m > 1 AND lo < hi").select("region", "m")
-    return rows.join(open_, "region")
+    inside = Window.partitionBy("region")
+    seen = {"m": F.count("*").over(inside), "lo": F.min("c").over(inside), "hi": F.max("c").over(inside)}
+    return rows.withColumns(seen).where("m > 1 AND lo < hi").drop("lo", "hi")
 
 
 def _stars(rows: DataFrame, partners: int | None, num: int, den: int) -> DataFrame:
@@ -334,18 +319,17 @@ def set_components(
 ) -> DataFrame | None:
     """(v, c) for every set that links with another one: c names the component."""
     radius = 1 - num / den
-    members = _regions(_home_shingles(docs, size, levels, num, den), num, den)
-    if members.isEmpty():
-        return None
+    regions = session.stage(_regions(_home_shingles(docs, size, levels, num, den), num, den), "regions")
+    # Parities are met at the regions; what needs none of them is not carried along.
     once = parity.groupBy("name").agg(*(F.first(c).alias(c) for c in PARITY_COLUMNS))
-    regions, members = members, session.stage(members.join(once, "name"), "members")
-    session.unstage(regions)
+    members, written = regions.join(once, "name"), regions
     kept = ["name", "n", "pos", *PARITY_COLUMNS]
     bodies, labels, pivots, turn = None, None, FIRST_PIVOTS, 0
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
-        session.unstage(members)
-        if grouped.isEmpty():
+        session.unstage(written)
+        largest = grouped.agg(F.max("m")).first()[0]
+        if largest is None:
             return labels
 
         def may_link(a: str, b: str) -> Column:
@@ -359,50 +343,52 @@ def set_components(
         partners = PARTNERS[turn] if turn < len(PARTNERS) else None
         few = grouped.where(f"m <= {LEAF}")
         small = _stars(few, partners, num, den)
-        # Sets in many regions stand in the middle of their likes; sets in large components
-        # have the fewest others to be compared with.
-        wide_open = grouped.where(f"m > {LEAF}")
-        degree = wide_open.groupBy("name").agg(F.count("*").alias("degree"))
-        of_own = F.count("*").over(Window.partitionBy("region", "c"))
-        ranked = wide_open.withColumn("of_own", of_own).join(degree, "name")
-        first = Window.partitionBy("region").orderBy("of_own", F.desc("degree"), "name")
-        large = session.stage(
-            ranked.select("region", *kept, "c", "m", F.row_number().over(first).alias("row")), "large"
-        )
-        some = large.where(F.col("row") <= pivots)
-        others = large.where(F.col("row") > pivots)
-        by_pivot = (
-            some.alias("p")
-            .join(large.alias("o"), F.col("p.region") == F.col("o.region"))
-            .where((F.col("p.c") != F.col("o.c")) & may_link("p", "o"))
-            .select(F.col("p.name").alias("a"), F.col("o.name").alias("b"))
-        )
-        either = small.unionByName(
-            by_pivot.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        ).distinct()
+        either, large = small, None
+        if largest > LEAF:
+            # Sets in many regions stand in the middle of their likes; sets in large components
+            # have the fewest others to be compared with.
+            wide_open = grouped.where(f"m > {LEAF}")
+            degree = wide_open.groupBy("name").agg(F.count("*").alias("degree"))
+            of_own = F.count("*").over(Window.partitionBy("region", "c"))
+            ranked = wide_open.withColumn("of_own", of_own).join(degree, "name")
+            first = Window.partitionBy("region").orderBy("of_own", F.desc("degree"), "name")
+            large = session.stage(
+                ranked.select("region", *kept, "c", "m", F.row_number().over(first).alias("row")), "large"
+            )
+            some, others = large.where(F.col("row") <= pivots), large.where(F.col("row") > pivots)
+            by_pivot = (
+                some.alias("p")
+                .join(large.alias("o"), F.col("p.region") == F.col("o.region"))
+                .where((F.col("p.c") != F.col("o.c")) & may_link("p", "o"))
+                .select(F.least("p.name", "o.name").alias("a"), F.greatest("p.name", "o.name").alias("b"))
+            )
+            either = small.unionByName(by_pivot).distinct()
         named = session.stage(either, "pairs")
         pairs = named.where("a <> b")
         ends = named.select(F.explode(F.array("a", "b")).alias("v"))
         if bodies is None:
             # Later rounds compare no sets but these and those of the large regions.
-            ever = sketch.bitmap(ends.unionByName(large.select(F.col("name").alias("v"))), "v")
-            bodies = session.stage(_bodies(docs, size, ever), "bodies")
+            ever = ends if large is None else ends.unionByName(large.select(F.col("name").alias("v")))
+            bodies = session.stage(_bodies(docs, size, sketch.bitmap(ever, "v")), "bodies")
         wanted = sketch.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
         compared = session.stage(_compared(pairs, _within(bodies, wanted)), "compared")
         if compared.count() != pairs.count():
             raise RuntimeError("sets to be compared are missing")
         links = compared.where(den * F.col("common") >= num * F.col("either")).select("a", "b")
         labels = _merged(labels, links)
-        rest = others.select("region", *kept)
-        if pivots > 1:
-            distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
-            rest = _cells(others, large.where(F.col("row") <= min(pivots, CELLS)), distance, kept, radius)
-        if partners is not None:
-            # What may link with no other set of its small regions is done with them.
-            going_on = ends.select(F.col("v").alias("name")).distinct()
-            rest = rest.unionByName(few.join(going_on, "name", "left_semi").select("region", *kept))
-        members = session.stage(rest, "members")
-        session.unstage(named, grouped, large, compared)
+        # What may link with no other set of its small regions is done with them.
+        going_on = ends.select(F.col("v").alias("name")).distinct()
+        rest = few.join(going_on, "name", "left_semi").select("region", *kept)
+        if partners is None and large is None:
+            return labels
+        if large is not None:
+            again = others.select("region", *kept)
+            if pivots > 1:
+                distance = compared.select("a", "b", (1 - F.col("common") / F.col("either")).alias("d"))
+                again = _cells(others, large.where(F.col("row") <= min(pivots, CELLS)), distance, kept, radius)
+            rest = again if partners is None else rest.unionByName(again)
+        members = written = session.stage(rest, "members")
+        session.unstage(named, grouped, compared, *([] if large is None else [large]))
         pivots, turn = pivots * MORE_PIVOTS, turn + 1
 
 
