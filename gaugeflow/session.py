@@ -107,6 +107,11 @@ def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
 
 
 def unstage(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more."""
+    """Delete staged tables that nothing reads any more, and let go of the shuffles they came from.
+
+    Spark deletes the files of a shuffle once the driver has collected the plan it belonged to.
+    """
     for table in tables:
         discard(table.sparkSession, table.staged_at)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()

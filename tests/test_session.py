@@ -53,3 +53,11 @@ def test_staged_rows_come_back_in_order_of_columns(spark):
 def test_tuning_is_applied(spark):
     for name, value in session.RUNTIME.items():
         assert spark.conf.get(name) == value
+
+
+def test_staged_tables_are_deleted_on_request(spark):
+    staged = session.stage(spark.range(10), "kept-for-a-while")
+    assert staged.count() == 10 and session.listed(spark, staged.staged_at)
+    session.unstage(staged)
+    assert session.listed(spark, staged.staged_at) == []
+    session.unstage()
