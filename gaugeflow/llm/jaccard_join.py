@@ -12,7 +12,10 @@ what two sets can have in common, and keeps far sets from being compared. Rarity
 only balances regions, any order is exact.
 
 Before sets are compared, the parity of their shingles in PARITIES buckets tells how many shingles
-they must at least differ in, which is again a metric that never exceeds the true one.
+they must at least differ in, which is again a metric that never exceeds the true one. Sets of so many
+shingles that this tells nothing have WIDE buckets besides.
+
+A set that can link with no other of a small region, for sizes and places alone, leaves it before it gets its parities.
 
 A region of up to LEAF sets is a star first: each set is compared with the first other one of
 another component that may be near enough, so near copies take as many comparisons as there are
@@ -55,6 +58,9 @@ FIRST_PIVOTS, MORE_PIVOTS, CELLS = 1, 64, 4
 SPREAD = 1.5
 PARITIES = 512
 PARITY_COLUMNS = [f"h{i}" for i in range(PARITIES // 64)]
+WIDE = 4096
+#: Rows of whole regions that a task looks at together.
+HELD = 1 << 14
 #: Documents after which a task hands over its 16-bit counts.
 COUNTED = 60_000
 
@@ -81,16 +87,21 @@ def set_name(values: np.ndarray) -> int:
     return int(words.mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def parities(values: np.ndarray) -> np.ndarray:
-    """For each of PARITIES buckets whether it holds an odd number of the shingles, as 64-bit words."""
-    odd = np.bincount((values >> np.uint64(7)).astype(np.int64) % PARITIES, minlength=PARITIES).astype(np.uint8) & 1
+def parities(values: np.ndarray, buckets: int = PARITIES) -> np.ndarray:
+    """For each of so many buckets whether it holds an odd number of the shingles, as 64-bit words."""
+    odd = np.bincount((values >> np.uint64(7)).astype(np.int64) % buckets, minlength=buckets).astype(np.uint8) & 1
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
-def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, k, n, name, h0, h1, ...) of documents and rows (slice, counts) of shingle counts."""
+def _wide_from(num: int, den: int) -> int:
+    """From so many shingles on, linked sets may differ in nearly as many as others do in PARITIES buckets."""
+    return PARITIES * (num + den) // (5 * max(1, den - num))
+
+
+def _survey(docs: DataFrame, size: int, wide_from: int) -> DataFrame:
+    """Rows (doc_id, k, n, name, h0, h1, ..., wide) of documents and rows (slice, counts) of shingle counts."""
     odd = ", ".join(f"{c} bigint" for c in PARITY_COLUMNS)
-    shape = f"doc_id bigint, k bigint, n bigint, name bigint, {odd}, slice int, counts binary"
+    shape = f"doc_id bigint, k bigint, n bigint, name bigint, {odd}, wide binary, slice int, counts binary"
     names = [x.split()[0] for x in shape.split(", ")]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +111,12 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             used, raw = sketch.counter_rows(counts)
             none = pa.nulls(len(used), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none] * (4 + len(PARITY_COLUMNS)) + [pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names
-            )
+                [
+                    *[none] * (4 + len(PARITY_COLUMNS)), pa.nulls(len(used), pa.binary()),
+                    pa.array(used, pa.int32()), pa.array(raw, pa.binary()),
+                ],
+                names,
+            )
 
         for batch in batches:
             sets = list(shingle_sets(batch.column("text"), size))
@@ -109,10 +124,11 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             name = pa.array([set_name(x) for x in sets], pa.int64())
             rows = len(sets)
             odd = np.array([parities(x) for x in sets], np.int64).reshape(rows, len(PARITY_COLUMNS))
+            wide = [parities(x, WIDE).tobytes() if len(x) >= wide_from else None for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("k"), n, name,
-                    *(pa.array(np.ascontiguousarray(x)) for x in odd.T),
+                    *(pa.array(np.ascontiguousarray(x)) for x in odd.T), pa.array(wide, pa.binary()),
                     pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ],
                 names,
@@ -171,17 +187,83 @@ def _home_shingles(docs: DataFrame, size: int, levels: np.ndarray, num: int, den
 def _regions(homes: DataFrame, num: int, den: int) -> DataFrame:
     """(region, name, n, pos) of the regions of two sets or more.
 
-    A set that cannot link with the smallest set of the region, for the place of the shingle, is left out.
+    A set that cannot link with the smallest set of the region, for the place of the shingle, is left out. So is one
+    of a region of up to LEAF sets that can link with none of them.
     """
+
+    def meeting(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        n, pos = (rows.column(c).to_numpy() for c in ("n", "pos"))
+        kept = np.zeros(len(n), bool)
+        for at in _of_one_size(rows.column("region").to_numpy()):
+            some = _may_meet(n[at], pos[at], num, den)
+            kept[at] = some.any(axis=1) | some.any(axis=2)
+        yield from rows.filter(pa.array(kept)).select(["region", "name", "n", "pos"]).to_batches()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def small() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                few = batch.column("m").to_numpy() <= LEAF
+                passed.append(batch.filter(pa.array(~few)).select(["region", "name", "n", "pos"]))
+                yield batch.filter(pa.array(few))
+
+        passed: list[pa.RecordBatch] = []
+        for rows in _whole_regions(small()):
+            yield from passed
+            passed.clear()
+            if rows is not None:
+                yield from meeting(rows)
+        give_back()
+
     once = homes.repartition("region").dropDuplicates(["region", "name"])
     inside = Window.partitionBy("region")
     smallest = F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))
     reaches = (num + den) * (F.col("n") - F.col("pos")) >= num * (F.col("n") + smallest)
-    return (
+    met = (
         once.withColumns({"m": F.count("*").over(inside), "least": F.min("n").over(inside)})
         .where((F.col("m") > 1) & reaches)
-        .select("region", "name", "n", "pos")
+        .select("region", "name", "n", "pos", "m")
     )
+    # Tasks have their regions one after the other from the window.
+    return met.mapInArrow(work, "region bigint, name bigint, n bigint, pos int")
+
+
+def _whole_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table | None]:
+    """Rows that are sorted by region, some whole regions at a time; None after a batch that completes none."""
+    held: list[pa.RecordBatch] = []
+
+    def handed(whole: bool) -> pa.Table | None:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        region = rows.column("region").to_numpy()
+        # The last region may go on in the next batch.
+        end = len(region) if whole else int(np.searchsorted(region, region[-1], "left"))
+        held[:] = rows.slice(end).to_batches()
+        return rows.slice(0, end) if end else None
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        yield handed(False) if sum(x.num_rows for x in held) >= HELD else None
+    if held:
+        yield handed(True)
+
+
+def _of_one_size(region: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows, sorted by region, as matrices: a line for each region of two rows or more."""
+    starts = np.flatnonzero(np.diff(region, prepend=region[0] - 1))
+    sizes = np.diff(np.append(starts, len(region)))
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        own = starts[sizes == size]
+        step = max(1, (1 << 19) // (size * size))
+        for k in range(0, len(own), step):
+            yield own[k : k + step, None] + np.arange(size)
+
+
+def _may_meet(n: np.ndarray, pos: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For regions of one size, which of their sets may link for sizes and places, the first of a pair before the second."""
+    n_a, n_b, left = n[:, :, None], n[:, None, :], n - pos
+    some = (den * n_b >= num * n_a) & (den * n_a >= num * n_b)
+    some &= (num + den) * np.minimum(left[:, :, None], left[:, None, :]) >= num * (n_a + n_b)
+    return some & np.triu(np.ones(some.shape[1:], bool), 1)
 
 
 def _bodies(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
@@ -257,59 +339,39 @@ def _stars(rows: DataFrame, partners: int | None, num: int, den: int) -> DataFra
     Rows with a = b name all sets that may link with any other.
     """
 
-    def may_link(n: np.ndarray, pos: np.ndarray, c: np.ndarray, odd: np.ndarray) -> np.ndarray:
-        """For regions of one size, which of their sets may link, the first of a pair before the second."""
-        differ = np.bitwise_count(odd[:, :, None, :] ^ odd[:, None, :, :]).sum(axis=-1, dtype=np.int64)
-        n_a, n_b = n[:, :, None], n[:, None, :]
-        left = n - pos
-        some = (den * n_b >= num * n_a) & (den * n_a >= num * n_b) & (c[:, :, None] != c[:, None, :])
-        some &= (num + den) * differ <= (den - num) * (n_a + n_b)
-        some &= (num + den) * np.minimum(left[:, :, None], left[:, None, :]) >= num * (n_a + n_b)
-        return some & np.triu(np.ones(some.shape[1:], bool), 1)
-
-    def found(table: dict[str, np.ndarray], odd: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.diff(table["region"], prepend=table["region"][0] - 1))
-        sizes = np.diff(np.append(starts, len(table["region"])))
-        for size in np.unique(sizes[sizes > 1]).tolist():
-            own = starts[sizes == size]
-            step = max(1, (1 << 19) // (size * size))
-            for k in range(0, len(own), step):
-                at = own[k : k + step, None] + np.arange(size)
-                some = may_link(table["n"][at], table["pos"][at], table["c"][at], odd[at])
-                near = some.any(axis=1) | some.any(axis=2)
-                if partners is not None:
-                    some &= np.cumsum(some, axis=1) <= partners
-                g, x, y = np.nonzero(some)
-                own_name = table["name"][at]
-                a = np.concatenate([own_name[g, x], own_name[near]])
-                b = np.concatenate([own_name[g, y], own_name[near]])
-                if len(a):
-                    yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        region, name, n, pos, c = (rows.column(x).to_numpy() for x in ("region", "name", "n", "pos", "c"))
+        odd = np.stack([rows.column(x).to_numpy() for x in PARITY_COLUMNS], axis=1).view(np.uint64)
+        has = rows.column("wide").is_valid().to_numpy()
+        own_wide = b"".join(rows.column("wide").drop_null().to_pylist())
+        wide, wide_at = np.frombuffer(own_wide, np.uint64).reshape(-1, WIDE // 64), np.cumsum(has) - 1
+        for at in _of_one_size(region):
+            some = _may_meet(n[at], pos[at], num, den) & (c[at][:, :, None] != c[at][:, None, :])
+            both = n[at][:, :, None] + n[at][:, None, :]
+            differ = np.bitwise_count(odd[at][:, :, None, :] ^ odd[at][:, None, :, :]).sum(axis=-1, dtype=np.int64)
+            some &= (num + den) * differ <= (den - num) * both
+            g, x, y = np.nonzero(some & has[at][:, :, None] & has[at][:, None, :])
+            for k in range(0, len(g), HELD):
+                own = g[k : k + HELD], x[k : k + HELD], y[k : k + HELD]
+                p, q = at[own[0], own[1]], at[own[0], own[2]]
+                differ = np.bitwise_count(wide[wide_at[p]] ^ wide[wide_at[q]]).sum(axis=1, dtype=np.int64)
+                some[own] = (num + den) * differ <= (den - num) * (n[p] + n[q])
+            near = some.any(axis=1) | some.any(axis=2)
+            if partners is not None:
+                some &= np.cumsum(some, axis=1) <= partners
+            g, x, y = np.nonzero(some)
+            a = np.concatenate([name[at][g, x], name[at][near]])
+            b = np.concatenate([name[at][g, y], name[at][near]])
+            if len(a):
+                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def handed(whole: bool) -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            region = rows.column("region").to_numpy()
-            # The last region may go on in the next batch.
-            end = len(region) if whole else int(np.searchsorted(region, region[-1], "left"))
-            held[:] = rows.slice(end).to_batches()
-            part = rows.slice(0, end)
-            if end:
-                odd = np.stack([part.column(c).to_numpy() for c in PARITY_COLUMNS], axis=1).view(np.uint64)
-                yield from found({c: part.column(c).to_numpy() for c in ("region", "name", "n", "pos", "c")}, odd)
-
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                if sum(x.num_rows for x in held) >= 1 << 14:
-                    yield from handed(False)
-        if held:
-            yield from handed(True)
+        for rows in _whole_regions(batches):
+            if rows is not None:
+                yield from found(rows)
         give_back()
 
-    columns = ["region", "name", "n", "pos", "c", *PARITY_COLUMNS]
+    columns = ["region", "name", "n", "pos", "c", *PARITY_COLUMNS, "wide"]
     dealt = rows.select(*columns).repartition("region").sortWithinPartitions("region", "name")
     return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
 
@@ -321,9 +383,9 @@ def set_components(
     radius = 1 - num / den
     regions = session.stage(_regions(_home_shingles(docs, size, levels, num, den), num, den), "regions")
     # Parities are met at the regions; what needs none of them is not carried along.
-    once = parity.groupBy("name").agg(*(F.first(c).alias(c) for c in PARITY_COLUMNS))
+    once = parity.select("name", *PARITY_COLUMNS, "wide").dropDuplicates(["name"])
     members, written = regions.join(once, "name"), regions
-    kept = ["name", "n", "pos", *PARITY_COLUMNS]
+    kept = ["name", "n", "pos", *PARITY_COLUMNS, "wide"]
     bodies, labels, pivots, turn = None, None, FIRST_PIVOTS, 0
     while True:
         grouped = session.stage(_grouped(members, labels), "grouped")
@@ -470,7 +532,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
 
     Sets link if den * intersection >= num * union.
     """
-    survey = session.stage(_survey(docs, size), "survey")
+    survey = session.stage(_survey(docs, size, _wide_from(num, den)), "survey")
     rows = survey.where("slice IS NULL").select("doc_id", "k", "n", "name")
     levels = sketch.merged_levels(survey.where("slice IS NOT NULL").select("slice", "counts"))
     labels = set_components(docs, size, num, den, levels, survey.where("slice IS NULL AND n > 0"))

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeflow import session
 from gaugeflow.llm.tables import text_key
 
 BITS = 21
@@ -84,7 +85,7 @@ def merged_levels(slices: DataFrame) -> np.ndarray:
             levels = [np.minimum(255, np.round(8 * np.log2(1 + x))).astype(np.uint8).tobytes() for x in held.values()]
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(levels, pa.binary())], ["k", "l"])
 
-    found = slices.repartition("slice").mapInArrow(add, "k int, l binary").toArrow()
+    found = session.stage(slices.repartition("slice").mapInArrow(add, "k int, l binary"), "levels").toArrow()
     out = np.zeros((1 << BITS) // SLICE * SLICE, np.uint8).reshape(-1, SLICE)
     for k, raw in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
         out[k] = np.frombuffer(raw, np.uint8)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +93,21 @@ def renamed(spark: SparkSession, folder: str, new: str) -> None:
         raise RuntimeError(f"cannot rename {folder} to {new}")
 
 
+#: With this setting Spark deletes the shuffles of a query when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffles on the disks; none of it may be run again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write rows to the work folder and read them back.
 
@@ -99,7 +116,8 @@ def stage(rows: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = f"{work_folder(spark, purpose)}/table"
-    rows.write.partitionBy(*partition_by).parquet(path)
+    with shuffles_let_go(spark):
+        rows.write.partitionBy(*partition_by).parquet(path)
     schema = rows.schema
     made = spark.read.schema(schema).parquet(path).select(*schema.names)
     made.staged_at = path

@@ -680,3 +680,28 @@ def test_a_cluster_of_near_copies_takes_few_comparisons(spark, monkeypatch):
         got = jaccard_join.jaccard_join(docs, size=3, num=90, den=100).collect()
         assert len(got) == n and {r.component_id for r in got} == {0}
     assert counts[1200] <= 6 * counts[300] and counts[1200] <= 20 * 1200
+
+
+def test_sets_that_share_a_shingle_by_chance_leave_their_region(spark):
+    """Of a region only sets stay that can link with another one for sizes and places."""
+    rows = [(1, 7, 100, 0), (1, 8, 100, 1), (1, 9, 300, 0), (1, 10, 100, 30), (2, 7, 100, 0), (2, 8, 120, 0), (3, 7, 50, 0)]
+    homes = spark.createDataFrame(rows, "region bigint, name bigint, n bigint, pos int")
+    left = jaccard_join._regions(homes, 90, 100).collect()
+    assert sorted((r.region, r.name) for r in left) == [(1, 7), (1, 8)]
+
+
+def test_long_sets_are_compared_only_if_wide_parities_allow(spark):
+    """512 buckets tell nothing of sets of 5000 shingles; sets without wide parities are compared as before."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64)) for _ in range(3)]
+    sets.append(np.concatenate([sets[0][:4900], sets[1][:100]]))
+    assert all(len(x) >= jaccard_join._wide_from(90, 100) for x in sets)
+    for wide, pairs in ((True, [(0, 3)]), (False, [(i, k) for k in range(4) for i in range(k)])):
+        rows = [
+            (1, i, len(x), 0, i, *jaccard_join.parities(x).tolist(), jaccard_join.parities(x, 4096).tobytes() if wide else None)
+            for i, x in enumerate(sets)
+        ]
+        odd = ", ".join(f"{c} bigint" for c in jaccard_join.PARITY_COLUMNS)
+        given = spark.createDataFrame(rows, f"region bigint, name bigint, n bigint, pos int, c bigint, {odd}, wide binary")
+        found = jaccard_join._stars(given, None, 90, 100).where("a <> b").collect()
+        assert sorted((r.a, r.b) for r in found) == sorted(pairs)

@@ -61,3 +61,19 @@ def test_staged_tables_are_deleted_on_request(spark):
     session.unstage(staged)
     assert session.listed(spark, staged.staged_at) == []
     session.unstage()
+
+
+def test_staging_leaves_no_shuffles(spark):
+    import time
+
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    setting = spark.conf.get(session.SHUFFLE_CLEANUP)
+    first = held.shuffleStatuses().size()
+    for _ in range(3):
+        session.stage(spark.range(1000).repartition("id"), "shuffled")
+    for _ in range(50):
+        if held.shuffleStatuses().size() <= first:
+            break
+        time.sleep(0.1)
+    assert held.shuffleStatuses().size() <= first
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == setting
