@@ -47,10 +47,12 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 LONGEST_CONTRACTION = 3
+# Marks that are words of their own behind letters.
+MARKS = ".,;:!?"
 
 BLOCK = 1 << 16
 LONG_STRETCH = 128
-KEPT_STRETCHES, KEPT_WORDS = 1_000_000, 700_000
+KEPT_STRETCHES, KEPT_WORDS = 500_000, 100_000
 LEARNT_AT_ONCE = 50_000
 
 # White space as the library reads it; the separators of information are none.
@@ -378,8 +380,13 @@ class Encoder:
             for stretch in new[k : k + LEARNT_AT_ONCE]:
                 if self.sign in stretch and any(c in stretch for c in controls):
                     continue
-                lowered = _lower(stretch if stretch.isascii() else unicodedata.normalize("NFC", stretch))
-                words = [lowered] if lowered.isalpha() else findall(lowered)
+                lowered = stretch.lower() if stretch.isascii() else _lower(unicodedata.normalize("NFC", stretch))
+                if lowered.isalpha():
+                    words = (lowered,)
+                elif lowered[-1:] in MARKS and lowered[:-1].isalpha():
+                    words = (lowered[:-1], lowered[-1])
+                else:
+                    words = findall(lowered)
                 plans.append((stretch, words))
                 for word in words:
                     if word not in seen and len(raw := word.encode("utf-8", "replace")) <= LONGEST:

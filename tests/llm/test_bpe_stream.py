@@ -141,3 +141,19 @@ def test_given_documents_equal_the_library(spark, sf_dir, library):
     ids = {r.doc_id: list(r.ids) for r in bpe_stream.encode_documents(docs, PATH).collect()}
     for row in docs.collect():
         assert ids[row.doc_id] == library.encode(row.text or "", add_special_tokens=False).ids
+
+
+def test_tables_of_a_worker_stay_small():
+    """Two workers share an executor with a full heap, so the tables of each are bounded, and ids are the same without."""
+    codec = bpe_stream.codec_of(queries.tokenizer("word_bpe_49k.json"))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word(i: int) -> str:
+        return "".join(letters[i // 26**k % 26] for k in range(5))
+
+    for first in range(0, 600_000, 40_000):
+        codec.encoder.learn([word(i) for i in range(first, first + 40_000)])
+    assert len(codec.encoder.table) <= 550_000 and len(codec.encoder.seen) <= 150_000
+    texts = [f"{word(i)}, {word(i + 1).title()}. x{word(i)}!? .,; é{word(i)}," for i in range(599_000, 599_050)]
+    fresh = bpe_stream.codec_of(queries.tokenizer("word_bpe_49k.json"))
+    assert codec.encode_batch(texts) == [b"".join(fresh.encoder.encode(t)) for t in texts]
