@@ -25,6 +25,8 @@ from gaugeflow.functions import records
 from gaugeflow.sources.messages import Subscription
 
 PARTITIONS = 8
+#: Bytes of messages that are read together. A reader of some places skips the rest of a file.
+ROW_GROUP = 8 << 20
 MESSAGES, LEDGER = "messages", "_ledger"
 FILE, NEXT, WRITER = "file", "next", "writer"
 ENTRY = T.StructType(
@@ -150,7 +152,8 @@ class TopicTable:
             return None
         # By ranges, so a topic or partition with most of the messages fills many files.
         ranged = placed.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        ranged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        out = ranged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        out.option("parquet.block.size", str(ROW_GROUP)).parquet(folder)
         written = spark.read.schema(S.ENVELOPE).parquet(folder)
         files = written.groupBy("topic", "partition", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
         ranges = files.agg(

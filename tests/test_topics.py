@@ -226,3 +226,19 @@ def test_stream_publisher_after_a_lost_driver(spark, table, tmp_path):
     runs.run_available(topics.publish_stream(stream, table, checkpoint))
     rows = _all(spark, table)
     assert Counter(r.topic for r in rows) == {"a": 40, "b": 25} and _gapless(rows)
+
+
+def test_a_file_is_cut_into_row_groups(spark, tmp_path):
+    """A reader of some places opens part of a file, however many messages the file holds."""
+    import pyarrow.parquet as pq
+
+    noise = F.concat(*[F.sha2(F.concat("id", F.lit(f" {k}")), 512) for k in range(6)])
+    rows = spark.range(60_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit("k").alias("key"), noise.alias("value"))
+    table = topics.TopicTable(f"{tmp_path}/topic")
+    table.publish(rows.coalesce(1))
+    groups = []
+    for file in tmp_path.glob("topic/messages/entry=*/*.parquet"):
+        held = pq.ParquetFile(file).metadata
+        groups += [held.row_group(k).num_rows for k in range(held.num_row_groups)]
+    assert sum(groups) == 60_000 and max(groups) <= 20_000
+    assert table.scan(spark, Subscription(("t",))).select("offset").distinct().count() == 60_000
