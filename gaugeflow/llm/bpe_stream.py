@@ -6,8 +6,9 @@ of merges of rising rank, each of which takes a token on its left to one that be
 the left part of the merge before. The heaviest such chain, found in one pass over the list,
 is the lookahead that suffices: tokens that end before it are final, whatever follows.
 
-`Encoder` reads a text in blocks. Stretches between spaces and line feeds are looked up in a
-bounded table. A stretch that is too long for it goes through `_Stretch`, which holds back
+`Encoder` reads a text in blocks. Stretches between spaces and line feeds are looked up by their
+normal form in a bounded table, those of many short texts together and each different one once.
+A stretch that is too long for it goes through `_Stretch`, which holds back
 only what a control string, a composed character, an open word or the lookahead may need.
 `Decoder` turns ids into text, block by block, with the bytes of a cut character as its state.
 
@@ -33,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from gaugeflow.llm.merging import ID_BITS as _BITS
@@ -47,13 +49,15 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 LONGEST_CONTRACTION = 3
-# Marks that are words of their own behind letters.
-MARKS = ".,;:!?"
+# Marks that are a word of their own behind letters, one or several of them.
+MARKS = ".,;:!?*&%$#|<>()[]{}+-=/~^_@"
 
 BLOCK = 1 << 16
 LONG_STRETCH = 128
 KEPT_STRETCHES, KEPT_WORDS = 500_000, 100_000
 LEARNT_AT_ONCE = 50_000
+# Characters of short texts that are looked up together.
+TOGETHER = 1 << 21
 
 # White space as the library reads it; the separators of information are none.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -76,6 +80,7 @@ NEWER_LOWER = [
     (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
 ]
 _LOWER = {c: c + by for first, last, by in NEWER_LOWER for c in range(first, last + 1)}
+_NEWER = re.compile(f"[{chr(min(_LOWER))}-{chr(max(_LOWER))}]")
 
 
 def _char_class(kind: str, newer: list[tuple[int, int]]) -> str:
@@ -101,7 +106,13 @@ def _lower(text: str) -> str:
     """Lower case character by character: a sigma at a word's end is like any other."""
     if text.isascii():
         return text.lower()
-    return text.replace("\u03a3", "\u03c3").lower().translate(_LOWER)
+    text = text.replace("\u03a3", "\u03c3").lower()
+    return text.translate(_LOWER) if _NEWER.search(text) else text
+
+
+def _normal(text: str) -> str:
+    """The normal form of text that ends where nothing can join it, as before a space."""
+    return text.lower() if text.isascii() else _lower(unicodedata.normalize("NFC", text))
 
 
 def _composes_with_left() -> frozenset[str]:
@@ -357,65 +368,136 @@ class Encoder:
             made.byteswap()
         return made.tobytes()
 
+    def keys(self, text: str) -> list[str]:
+        """What the stretches between spaces are looked up by: their normal form, or, if they
+        hold a control string, a space and themselves."""
+        controls = self.merges.controls
+        if self.sign not in text or not any(c in text for c in controls):
+            return _normal(text).split(" ")
+        return [" " + x if any(c in x for c in controls) else _normal(x) for x in text.split(" ")]
+
     def _word(self, word: str) -> bytes:
         made = self.seen[word] = self.as_bytes(self.merges.word(word))
         return made
 
-    def _words(self, text: str) -> bytes:
-        lowered = _lower(text if text.isascii() else unicodedata.normalize("NFC", text))
+    def _words(self, normal: str) -> bytes:
         seen = self.seen
-        return b"".join([seen.get(x) or self._word(x) for x in self.merges.words.findall(lowered)])
+        return b"".join([seen.get(x) or self._word(x) for x in self.merges.words.findall(normal)])
 
-    def learn(self, stretches: Iterable[str]) -> None:
+    def learn(self, keys: Iterable[str]) -> None:
         """Look up many stretches ahead; what is too long for the tables is left out."""
         # Before and not after: what is learnt now is needed next.
         _halved(self.table, KEPT_STRETCHES)
         _halved(self.seen, KEPT_WORDS)
-        new = [x for x in stretches if x not in self.table and len(x) <= LONG_STRETCH]
-        controls, seen, findall = self.merges.controls, self.seen, self.merges.words.findall
+        new = [x for x in keys if x not in self.table and len(x) <= LONG_STRETCH]
+        table, seen, findall = self.table, self.seen, self.merges.words.findall
         collecting = gc.isenabled()
         gc.disable()  # many short lists live for a moment, and none of them in a cycle
         for k in range(0, len(new), LEARNT_AT_ONCE):
-            plans, missing = [], {}
+            alone, plans, missing = {}, [], {}
             for stretch in new[k : k + LEARNT_AT_ONCE]:
-                if self.sign in stretch and any(c in stretch for c in controls):
+                if stretch.isalpha():
+                    if len(raw := stretch.encode("utf-8", "replace")) <= LONGEST:
+                        alone[raw] = stretch
+                    continue
+                if (stem := stretch.rstrip(MARKS)).isalpha():
+                    words = (stem, stretch[len(stem) :])
+                elif stretch[0] == " ":
                     continue
-                lowered = stretch.lower() if stretch.isascii() else _lower(unicodedata.normalize("NFC", stretch))
-                if lowered.isalpha():
-                    words = (lowered,)
-                elif lowered[-1:] in MARKS and lowered[:-1].isalpha():
-                    words = (lowered[:-1], lowered[-1])
                 else:
-                    words = findall(lowered)
+                    words = findall(stretch)
                 plans.append((stretch, words))
                 for word in words:
                     if word not in seen and len(raw := word.encode("utf-8", "replace")) <= LONGEST:
                         missing[raw] = word
-            made = self.merges.table.words(missing, self.inner, self.final, self.merges.kind)
+            merged = self.merges.table.words
+            made = merged(alone, self.inner, self.final, self.merges.kind)
+            table.update((alone[raw], ids) for raw, ids in made.items())
+            made = merged(missing, self.inner, self.final, self.merges.kind)
             seen.update((missing[raw], ids) for raw, ids in made.items())
             for stretch, words in plans:
                 found = [seen.get(w) for w in words]
                 if None not in found:
-                    self.table[stretch] = b"".join(found)
+                    table[stretch] = b"".join(found)
         if collecting:
             gc.enable()
 
-    def _learn(self, stretch: str) -> bytes | None:
-        if len(stretch) > LONG_STRETCH:
+    def _learn(self, key: str) -> bytes | None:
+        if len(key) > LONG_STRETCH:
             return None
         _halved(self.table, KEPT_STRETCHES)
         _halved(self.seen, KEPT_WORDS)
         controls = self.merges.controls
-        if self.sign not in stretch or not any(c in stretch for c in controls):
-            made = self._words(stretch)
+        if key[0] != " ":
+            made = self._words(key)
         else:
             made = b"".join(
-                self.as_bytes([controls[part]]) if part in controls else self._words(part)
-                for part in self.split(stretch)
+                self.as_bytes([controls[part]]) if part in controls else self._words(_normal(part))
+                for part in self.split(key[1:])
             )
-        self.table[stretch] = made
+        self.table[key] = made
         return made
 
+    def together(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of short texts, whose stretches are looked up once for all of them; None for a
+        text with a long stretch."""
+        if not texts:
+            return []
+        pieces, first, marks = [], [0], self.control
+        cuts: dict[int, list[str]] = {}
+        for k, text in enumerate(texts):
+            text = text.replace("\n", " ")
+            if marks and self.sign in text and len(parts := marks.split(text)) > 1:
+                cuts[k] = parts[1::2]
+                pieces += map(_normal, parts[::2])
+            else:
+                pieces.append(_normal(text))
+            first.append(len(pieces))
+        lists = pc.split_pattern(pa.array(pieces, pa.string()), " ")
+        coded = lists.values.dictionary_encode()
+        found, at, raw = self._found(coded.dictionary)
+        ids = pa.Array.from_buffers(pa.binary(), len(coded.dictionary), [None, pa.py_buffer(at), raw])
+        _, at, raw = ids.take(coded.indices).buffers()
+        starts = lists.offsets.to_numpy()
+        at = np.frombuffer(at, np.int32)[starts].tolist()
+        raw = memoryview(raw or b"")
+        out: list[bytes | None] = []
+        for k, (a, b) in enumerate(itertools.pairwise(first)):
+            made = [bytes(raw[at[p] : at[p + 1]]) for p in range(a, b)]
+            for n, control in enumerate(cuts.get(k, ()), 1):
+                made[n] = self.as_bytes([self.merges.controls[control]]) + made[n]
+            out.append(b"".join(made))
+        if not found.all():
+            before = np.cumsum([0, *~found[coded.indices.to_numpy()]])[starts[first]]
+            for k in np.flatnonzero(np.diff(before)).tolist():
+                out[k] = None
+        return out
+
+    def _found(self, stretches: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.Buffer]:
+        """Which of some different normal forms are not too long; the ends and the bytes of their ids.
+
+        Marks at the end of a stretch, behind a letter or number, are a word of their own and
+        looked up by themselves.
+        """
+        bare = pc.utf8_rtrim(stretches, MARKS)
+        cut = pc.or_(pc.match_substring_regex(bare, r"[\pL\pN]$"), pc.equal(bare, ""))
+        sizes = pc.if_else(cut, pc.binary_length(bare), pc.binary_length(stretches)).to_numpy()
+        _, at, raw = stretches.buffers()
+        ends = np.frombuffer(at, np.int32)[: len(stretches) + 1]
+        # Stem and marks of one stretch after the other, in the bytes as they are.
+        both = np.empty(2 * len(stretches) + 1, np.int32)
+        both[::2], both[1::2] = ends, ends[:-1] + sizes
+        halves = pa.Array.from_buffers(pa.string(), 2 * len(stretches), [None, pa.py_buffer(both), raw])
+        coded = halves.dictionary_encode()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        made = list(map(self.table.get, keys))
+        self.learn([x for x, ids in zip(keys, made, strict=True) if ids is None])
+        for k in [k for k, ids in enumerate(made) if ids is None]:
+            made[k] = self.table[keys[k]] if keys[k] in self.table else self._learn(keys[k])
+        _, at, raw = pa.array([x or b"" for x in made], pa.binary()).take(coded.indices).buffers()
+        there = np.array([x is not None for x in made])[coded.indices.to_numpy()]
+        return there[::2] & there[1::2], np.frombuffer(at, np.int32)[: len(both)][::2].copy(), raw
+
     def encode(self, text: str | None) -> Iterator[bytes]:
         """Ids of a text, a block at a time."""
         text = text or ""
@@ -428,11 +510,12 @@ class Encoder:
                 # The first one ends the long stretch of the block before.
                 out.append(self.as_bytes(long.feed(whole.pop(0), True)))
                 long = None
-            found = list(map(table.get, whole))
+            keys = self.keys(" ".join(whole)) if whole else []
+            found = list(map(table.get, keys))
             if None in found:
                 for k, made in enumerate(found):
                     if made is None:
-                        found[k] = table.get(whole[k]) or self._learn(whole[k])
+                        found[k] = table.get(keys[k]) if keys[k] in table else self._learn(keys[k])
                         if found[k] is None:
                             found[k] = self.as_bytes(_Stretch(self).feed(whole[k], True))
             out += found
@@ -445,7 +528,8 @@ class Encoder:
         if long is not None:
             yield self.as_bytes(long.feed(held, True))
         elif held:
-            made = table.get(held) or self._learn(held)
+            (key,) = self.keys(held)
+            made = table.get(key) or self._learn(key)
             yield self.as_bytes(_Stretch(self).feed(held, True)) if made is None else made
 
 
@@ -499,25 +583,50 @@ class Codec:
     def __reduce__(self):
         return _codec_of, (self.merges,)
 
-    def ahead(self, texts: Iterable[str | None]) -> None:
-        """Learn the stretches of a batch together, before its texts are encoded one by one."""
+    def _ahead(self, text: str) -> None:
+        """Learn the stretches of a text of many blocks before they are encoded one by one."""
         found: set[str] = set()
-        for text in texts:
-            for start in range(0, len(text or ""), BLOCK):
-                found.update(text[start : start + BLOCK].replace("\n", " ").split(" "))
+        for start in range(0, len(text), BLOCK):
+            found.update(self.encoder.keys(text[start : start + BLOCK].replace("\n", " ")))
             if len(found) > 4 * LEARNT_AT_ONCE:
                 self.encoder.learn(found)
                 found = set()
         self.encoder.learn(found)
 
+    def _streamed(self, text: str) -> Iterator[bytes]:
+        self._ahead(text)
+        yield from self.encoder.encode(text)
+
+    def encode_each(self, texts: Iterable[str | None]) -> Iterator[Iterable[bytes]]:
+        """The ids of each text in blocks; texts of one block are looked up together."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            held.append(text or "")
+            size += min(len(held[-1]), BLOCK)
+            if size > TOGETHER:
+                yield from self._encoded(held)
+                held, size = [], 0
+        yield from self._encoded(held)
+
+    def _encoded(self, texts: list[str]) -> Iterator[Iterable[bytes]]:
+        short = [k for k, text in enumerate(texts) if len(text) <= BLOCK]
+        made = dict(zip(short, self.encoder.together([texts[k] for k in short]), strict=True))
+        for k, text in enumerate(texts):
+            raw = made.pop(k, None)
+            yield self._streamed(text) if raw is None else (raw,)
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each of some texts, as bytes of the merges' kind."""
-        self.ahead(texts)
-        return [b"".join(self.encoder.encode(text)) for text in texts]
+        return [b"".join(blocks) for blocks in self.encode_each(texts)]
 
     def passes(self, text: str | None) -> Iterator[tuple[np.ndarray, str]]:
+        """Blocks of ids of a text, each with the text that it decodes to."""
+        return self.decoded(self.encoder.encode(text))
+
+    def decoded(self, blocks: Iterable[bytes]) -> Iterator[tuple[np.ndarray, str]]:
         """Blocks of ids, each with the text that it decodes to."""
-        for raw in self.encoder.encode(text):
+        for raw in blocks:
             ids = np.frombuffer(raw, self.merges.kind)
             yield ids, self.decoder.feed(ids.tolist())
         yield np.zeros(0, self.merges.kind), self.decoder.finish()
@@ -587,11 +696,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, ids_hex, text_hex = [], [], []
-        texts = texts_of(batch.column("text"))
-        codec.value.ahead(texts)
-        for text in texts:
+        for blocks in codec.value.encode_each(texts_of(batch.column("text"))):
             n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
-            for ids, decoded in codec.value.passes(text):
+            for ids, decoded in codec.value.decoded(blocks):
                 n += len(ids)
                 of_ids.update(ids.astype("<u4"))
                 of_text.update(decoded.encode("utf-8"))

@@ -157,3 +157,47 @@ def test_tables_of_a_worker_stay_small():
     texts = [f"{word(i)}, {word(i + 1).title()}. x{word(i)}!? .,; é{word(i)}," for i in range(599_000, 599_050)]
     fresh = bpe_stream.codec_of(queries.tokenizer("word_bpe_49k.json"))
     assert codec.encode_batch(texts) == [b"".join(fresh.encoder.encode(t)) for t in texts]
+
+
+class _Counted(dict):
+    asked = 0
+
+    def get(self, *given):
+        self.asked += 1
+        return super().get(*given)
+
+
+def test_texts_of_a_batch_look_each_stretch_up_once(library):
+    """Work in Python is for each different word of a batch, whatever its case and the marks behind it."""
+    codec = bpe_stream.codec_of(PATH)
+    texts = ["Word other WORD*** word,\nOther. &&& " * 500] * 40
+    codec.encoder.table = _Counted(codec.encoder.table)
+    made = codec.encode_batch(texts)
+    wanted = library.encode(texts[0], add_special_tokens=False).ids
+    assert [np.frombuffer(raw, codec.merges.kind).tolist() for raw in made] == [wanted] * 40
+    assert codec.encoder.table.asked < 100
+    assert set(codec.encoder.table) == {"", "word", "other", ",", ".", "***", "&&&"}
+
+
+def test_batches_equal_the_library(library, monkeypatch):
+    codec = bpe_stream.codec_of(PATH)
+    parts = [*PARTS, "***", "&&&", ".***", "'", "İ̧", "<|ENDOFTEXT|>", "<|endoftext|>", "_", " ", " ", "a" * 130]
+    texts = ["", None, *_texts(11, 6000, 60, parts), None, "x" * 200_000 + " end", "<|endoftext|>" * 3, " ", "\n\n"]
+    texts += ["Ab c*** " * 20_000, "word<|endoftext|> <|STARTOFTEXT|>\n" * 4000, "*" * 300 + " a" + "*" * 300, "É" * 90]
+    wanted = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for together in (bpe_stream.TOGETHER, 500):
+        monkeypatch.setattr(bpe_stream, "TOGETHER", together)
+        made = codec.encode_batch(texts)
+        for text, raw, ids in zip(texts, made, wanted, strict=True):
+            assert np.frombuffer(raw, codec.merges.kind).tolist() == ids, repr((text or "")[:200])
+    assert codec.encode_batch([]) == [] and codec.encode_batch(["", None]) == [b"", b""]
+
+
+def test_marks_behind_every_character_equal_the_library(library):
+    codec = bpe_stream.codec_of(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}*. {chr(c)}," for c in points]
+    made = codec.encode_batch(texts)
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    ids = [np.frombuffer(raw, codec.merges.kind).tolist() for raw in made]
+    assert [hex(c) for c, x, w in zip(points, ids, wanted, strict=True) if x != w.ids] == []
