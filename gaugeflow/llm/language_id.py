@@ -317,7 +317,9 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_letters: int = S
     texts: dict[str, list[str]] = {}
     for row in rows:
         texts.setdefault(row.lang, []).append(row.text)
-    return fit_texts(texts, sample_letters)
+    model = fit_texts(texts, sample_letters)
+    give_back()
+    return model
 
 
 def identify(text: Column | str, model: Model) -> Column:

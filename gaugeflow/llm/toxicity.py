@@ -34,6 +34,7 @@ SAMPLE_ROWS, SAMPLE_BYTES = 3000, 32 << 20
 #: Longer texts are scored as all others are, but a model is fitted on their beginnings at most.
 TEXT_BYTES = 1 << 20
 BUCKET_BITS = 22
+SLICE_BUCKETS = 1 << 16
 PREFIXES = (4, 5)
 LEAST_Z, LEAST_DOCUMENTS = 4.0, 4
 IS_END = np.zeros(256, bool)
@@ -142,53 +143,74 @@ def offending(text: Column | str, model: Model, least: float = 0.3) -> Column:
     return located(text)
 
 
+def _telling(held: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each bucket among the telling ones, or -1, and the telling ones; a slice at a time."""
+    n = np.array([(~toxic).sum(), toxic.sum()], float)
+    place, found = np.full(held.shape[1], -1, np.int32), []
+    for a in range(0, held.shape[1], SLICE_BUCKETS):
+        own = held[:, a : a + SLICE_BUCKETS]
+        both = own.sum(axis=0)
+        share = (both + 0.5) / (n.sum() + 1)
+        z = (own[1] / n[1] - own[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n).sum())
+        found.append(a + np.flatnonzero((np.abs(z) >= LEAST_Z) & (both >= LEAST_DOCUMENTS)))
+    telling = np.concatenate(found)
+    place[telling] = np.arange(len(telling))
+    return place, telling
+
+
 def fit_texts(
     column: pa.Array, toxic: np.ndarray, weight: np.ndarray, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4
 ) -> Model:
-    """Fit on texts with their labels and the weight of each."""
+    """Fit on texts with their labels and the weight of each.
+
+    The driver does this, so it holds eight bytes for each feature and works on a block at a time.
+    """
     none = Model(np.zeros(0, np.int64), np.zeros(0), -30.0)
     if not toxic.any() or toxic.all():
         return none
     size = 1 << BUCKET_BITS
     # First pass: documents of each class that hold a bucket. Second: the telling buckets.
-    held = np.zeros((2, size))
+    held = np.zeros((2, size), np.int32)
     for block in words.blocks(column, words.ALNUM_LOWER):
-        pairs = np.unique(block.text_of()[:, None] * size + _buckets(block))
+        pairs = np.sort((block.text_of()[:, None] * size + _buckets(block)).ravel())
+        pairs = pairs[np.diff(pairs, prepend=-1) > 0]
         of = toxic[block.first + pairs // size].astype(int)
         np.add.at(held, (of, pairs % size), 1)
-    n = np.array([(~toxic).sum(), toxic.sum()], float)
-    share = (held.sum(axis=0) + 0.5) / (n.sum() + 1)
-    z = (held[1] / n[1] - held[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n).sum())
-    telling = np.flatnonzero((np.abs(z) >= LEAST_Z) & (held.sum(axis=0) >= LEAST_DOCUMENTS))
-    place = np.full(size, -1)
-    place[telling] = np.arange(len(telling))
-    text_of, sentence_of, feature = [], [], []
-    sentences = 0
+    place, telling = _telling(held, toxic)
+    del held
+    # Features of a block by sentence, the sentences counted from the block's first.
+    parts: list[tuple[slice, np.ndarray, np.ndarray]] = []
+    text_of, sentences = [], 0
     for block in words.blocks(column, words.ALNUM_LOWER):
         sentence = _sentences(block)
         if not len(sentence):
             continue
         first = np.flatnonzero(np.diff(sentence, prepend=-1))
-        text_of.append(block.first + block.text_of()[first])
+        text_of.append((block.first + block.text_of()[first]).astype(np.int32))
         at = place[_buckets(block)]
         row, _ = np.nonzero(at >= 0)
-        sentence_of.append(sentences + sentence[row])
-        feature.append(at[at >= 0])
+        parts.append((slice(sentences, sentences + len(first)), sentence[row].astype(np.int32), at[at >= 0]))
         sentences += len(first)
     if not sentences:
         return none
-    text, of, f = map(np.concatenate, (text_of, sentence_of, feature))
+    text = np.concatenate(text_of)
+    del place, text_of
     wanted, scale = toxic.astype(float), weight / weight.sum()
     w = np.zeros(len(telling) + 1)
     w[-1] = -5.0
     mean, square = np.zeros_like(w), np.zeros_like(w)
+    margin = np.empty(sentences)
     for step in range(1, rounds + 1):
-        margin = np.bincount(of, w[f], sentences) + w[-1]
+        for own, of, f in parts:
+            margin[own] = np.bincount(of, w[f], own.stop - own.start) + w[-1]
         total = np.maximum(np.bincount(text, _softplus(margin), len(toxic)), 1e-12)
         # Loss: total for a clean document, -log(1 - exp(-total)) for a toxic one.
         slope = scale * np.where(wanted > 0, -1 / np.expm1(np.minimum(total, 50)), 1.0)
         by_sentence = slope[text] / (1 + np.exp(-margin))
-        gradient = np.append(np.bincount(f, by_sentence[of], len(telling)), by_sentence.sum())
+        gradient = np.zeros_like(w)
+        for own, of, f in parts:
+            np.add.at(gradient, f.astype(np.intp), by_sentence[own][of])
+        gradient[-1] = by_sentence.sum()
         gradient[:-1] += decay * w[:-1]
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
@@ -238,9 +260,13 @@ def fit(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     ).select("text", "toxic").toArrow()
     toxic = np.array(sample.column("toxic").to_pylist(), bool)
+    text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
+    del sample
     counts = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     weight = np.ones(len(toxic))
     for kind in (True, False):
         weight[toxic == kind] = counts.get(kind, 0) / max(1, (toxic == kind).sum())
-    text = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
-    return fit_texts(text, toxic, weight)
+    model = fit_texts(text, toxic, weight)
+    del text
+    give_back()
+    return model

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -214,6 +215,16 @@ def test_toxicity_learns_sentences(spark, docs, empty):
     assert not toxicity.fit(empty, labels).telling.size
 
 
+def test_toxicity_fit_is_bounded_in_the_drivers_memory():
+    kinds = np.arange(4000) % 2 == 0
+    texts = pa.array([f"Note{i} of {LOREM}. {'You are a vile toad.' if bad else 'Well met, friend.'} {LOREM}!" for i, bad in enumerate(kinds)])
+    tracemalloc.start()
+    model = toxicity.fit_texts(texts, kinds, np.ones(4000), rounds=5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.telling.size and peak < 100e6
+
+
 def test_long_texts_do_not_end_the_sample(spark):
     rows = [(i, f"Some note{i} of {LOREM}. {'You are a vile toad.' if i % 4 == 0 else 'Well met, friend.'}") for i in range(200)]
     texts = spark.createDataFrame(rows, "doc_id bigint, text string")
