@@ -1,8 +1,9 @@
 """Token ids of whole texts from tokenizer files that work on bytes and keep white space.
 
 A space belongs to the word behind it. Between single spaces and line feeds each stretch is
-encoded by itself, so a stretch that has been seen is looked up; words of letters that have not
-are merged many at once, and all else goes through the tokenizers library. Texts with other
+encoded by itself. Arrow cuts many texts at once, each different stretch is looked up once, and Arrow puts
+the ids together. Words of letters that have not been seen are merged many at once, and all
+else goes through the tokenizers library. Texts with other
 white space next to a space or at a line's edge are cut only where two non-spaces meet one
 space. Control strings are cut out first, as the library does, and are their ids.
 """
@@ -10,12 +11,15 @@ space. Control strings are cut out first, as the library does, and are their ids
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import json
 import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from gaugeflow.llm.bpe_stream import byte_symbols
 from gaugeflow.llm.merging import ID_BITS, LONGEST, PairTable
@@ -23,6 +27,8 @@ from gaugeflow.llm.merging import ID_BITS, LONGEST, PairTable
 CACHED_STRETCHES = 700_000
 MARKS = ".,;:!?"
 JOINED_STRETCHES = 2000
+# Characters of texts whose stretches are looked up together; longer texts than ALONE do not fit Arrow's strings.
+TOGETHER, ALONE = 1 << 21, 1 << 28
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -35,8 +41,11 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        self.lead: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        # Stretches behind a space, or behind the line feed that they begin with; without ids
+        # if they are not encoded by themselves.
+        self.seen: dict[str, bytes] = {}
+        # Marks behind letters.
+        self.tails: dict[str, bytes] = {"": b""}
         with open(path, encoding="utf-8") as text:
             file = json.load(text)
         model, ids = file["model"], file["model"]["vocab"]
@@ -76,35 +85,36 @@ class TextEncoder:
             out += [raw[a * width : b * width] for a, b in zip(starts, ends, strict=True)]
         return out
 
-    def _learn(self, cache: dict[str, bytes | None], stretches: set[str], before: str) -> None:
-        new = [x for x in stretches if x not in cache]
-        # White space at an edge belongs to a longer run, which is not cut here.
-        whole = [x for x in new if x and x.strip() == x]
-        if len(whole) < len(new):
-            cache.update(dict.fromkeys(new))
-        # Letters and the marks behind them are always apart, so each is encoded once.
-        ended = {x: x.rstrip(MARKS) for x in whole if x[-1] in MARKS}
-        ended = {x: stem for x, stem in ended.items() if stem and stem[-1].isalpha()}
-        plain = {x for x in whole if x not in ended} | {x for x in ended.values() if x not in cache}
+    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of stretches that have not been seen; none for those that cannot be encoded by themselves."""
+        out: dict[str, bytes] = {}
         letters: dict[bytes, str] = {}
-        for x in plain:
-            if x.isalpha() and len(raw := (before + x).encode()) <= LONGEST:
-                letters[raw] = x
+        plain: dict[str, str] = {}
+        for piece in pieces:
+            x = piece.removeprefix(self.mark)
+            if not x or x.strip() != x:
+                # White space at an edge belongs to a longer run, which is not cut here.
+                out[piece] = b""
+                continue
+            text = x if x is not piece else " " + x
+            if x.isalpha() and len(raw := text.encode()) <= LONGEST:
+                letters[raw] = piece
+            else:
+                plain[piece] = text
         made = self.table.words(letters, self.symbols, self.symbols, self.kind.str)
-        cache.update((letters[raw], ids) for raw, ids in made.items())
-        plain.difference_update(letters.values())
-        cache.update(zip(plain, self._encode([before + x for x in plain]), strict=True))
-        tails = list({x[len(stem) :] for x, stem in ended.items()})
-        tail_ids = dict(zip(tails, self._encode(tails), strict=True))
-        for x, stem in ended.items():
-            cache[x] = cache[stem] + tail_ids[x[len(stem) :]]
+        out.update((letters[raw], ids) for raw, ids in made.items())
+        out.update(zip(plain, self._encode(plain.values()), strict=True))
+        for piece, ids in out.items():
+            if piece[:1] == self.mark and ids:
+                out[piece] = self.line + ids
+        return out
 
     def _whole(self, text: str) -> bytes:
         first, *rest = _SINGLE_SPACE.split(text)
         return b"".join(self._encode([first, *(" " + x for x in rest)]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        for cache in (self.lead, self.later):
+        for cache in (self.seen, self.tails):
             if len(cache) > CACHED_STRETCHES:
                 # Most of the frequent stretches were seen first.
                 for late in list(itertools.islice(cache, CACHED_STRETCHES // 2, None)):
@@ -117,26 +127,78 @@ class TextEncoder:
 
     def _plain(self, texts: list[str | None]) -> list[bytes]:
         """Ids of texts without control strings."""
-        lines = [[line.split(" ") for line in (text or "").split("\n")] for text in texts]
-        first: set[str] = set()
-        rest: set[str] = set()
-        for text in lines:
-            first.update([x[0] for x in text])
-            for x in text:
-                rest.update(x[1:])
-        self._learn(self.lead, first, "")
-        self._learn(self.later, rest, " ")
-        lead, later, out = self.lead, self.later, []
-        for text, parts in zip(texts, lines, strict=True):
-            try:
-                out.append(
-                    self.line.join([b"".join([lead[x[0]], *map(later.__getitem__, x[1:])]) for x in parts])
-                    if text else b""
-                )
-            except TypeError:
-                out.append(self._whole(text))
+        out: list[bytes] = []
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if text and len(text) > ALONE:
+                out += [*self._together(held), self._whole(text)]
+                held, size = [], 0
+                continue
+            held.append(text or "")
+            size += len(held[-1])
+            if size > TOGETHER:
+                out += self._together(held)
+                held, size = [], 0
+        return out + self._together(held)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose stretches are looked up once for all of them.
+
+        Each line feed, and one more before the text, begins the stretch behind it.
+        """
+        if not texts:
+            return []
+        mark = self.mark
+        lists = pc.split_pattern(pa.array([mark + x.replace(mark, " " + mark) for x in texts], pa.string()), " ")
+        coded = lists.values.dictionary_encode()
+        there, ids = self._found(coded.dictionary)
+        _, at, raw = ids.take(coded.indices).buffers()
+        starts = lists.offsets.to_numpy()
+        ends = np.frombuffer(at, np.int32)[starts].tolist()
+        raw, skipped = memoryview(raw or b""), len(self.line)
+        out = [bytes(raw[a + skipped : b]) for a, b in itertools.pairwise(ends)]
+        if not there.all():
+            lacking = np.concatenate([[0], np.cumsum(~there[coded.indices.to_numpy()])])[starts]
+            for k in np.flatnonzero(np.diff(lacking)).tolist():
+                out[k] = self._whole(texts[k]) if texts[k] else b""
         return out
 
+    def _found(self, stretches: pa.StringArray) -> tuple[np.ndarray, pa.BinaryArray]:
+        """Which of some different stretches can be encoded by themselves, and their ids.
+
+        Letters and the marks behind them are always apart, so each is encoded once.
+        """
+        stems = pc.utf8_rtrim(stretches, MARKS)
+        cut = pc.match_substring_regex(stems, r"\pL$")
+        sizes = pc.if_else(cut, pc.binary_length(stems), pc.binary_length(stretches)).to_numpy()
+        _, at, raw = stretches.buffers()
+        ends = np.frombuffer(at, np.int32)[: len(stretches) + 1]
+        # Letters and marks of one stretch after the other, in the bytes as they are.
+        both = np.empty(2 * len(stretches) + 1, np.int32)
+        both[::2], both[1::2] = ends, ends[:-1] + sizes
+        halves = pa.Array.from_buffers(pa.string(), 2 * len(stretches), [None, pa.py_buffer(both), raw])
+        places = np.arange(0, 2 * len(stretches), 2)
+        stems = halves.take(pa.array(places)).dictionary_encode()
+        tails = halves.take(pa.array(places + 1)).dictionary_encode()
+        pieces, ends_in = (x.dictionary.to_numpy(zero_copy_only=False).tolist() for x in (stems, tails))
+        collecting = gc.isenabled()
+        gc.disable()  # many short strings live for a moment, and none of them in a cycle
+        made = list(map(self.seen.get, pieces))
+        missing = [k for k, ids in enumerate(made) if ids is None]
+        new = self._learned([pieces[k] for k in missing])
+        self.seen.update(new)
+        for k in missing:
+            made[k] = new[pieces[k]]
+        if collecting:
+            gc.enable()
+        new = [x for x in ends_in if x not in self.tails]
+        self.tails.update(zip(new, self._encode(new), strict=True))
+        first = pa.array(made, pa.binary()).take(stems.indices)
+        there = pc.binary_length(first).to_numpy() > 0
+        last = pa.array(list(map(self.tails.__getitem__, ends_in)), pa.binary()).take(tails.indices)
+        return there, pc.binary_join_element_wise(first, last, pa.scalar(b"", pa.binary()))
+
 
 @functools.lru_cache(maxsize=1)
 def kept_encoder(path: str) -> TextEncoder:

@@ -103,6 +103,21 @@ def test_encoder_cuts_and_forgets_rightly(monkeypatch):
     assert encoder.encode([None]) == [b""]
 
 
+def test_encoder_looks_up_letters_and_marks_apart(monkeypatch):
+    name, stems = "byte_bpe_50k.json", ["vireie", "Éaiou", "x1", "ends"]
+    texts = [" ".join(x + mark for x in stems) + "\n" + stems[0] + mark for mark in ("", ".", ",", "!?")] * 50
+    encoder = tokens.TextEncoder(queries.tokenizer(name))
+    met = []
+    learned = encoder._learned
+    monkeypatch.setattr(encoder, "_learned", lambda pieces: met.extend(pieces) or learned(pieces))
+    got = [[*np.frombuffer(x, encoder.kind).tolist(), 0] for x in encoder.encode(texts)]
+    assert got == _reference_ids(name, texts)
+    # The first of a line, and those behind a space; marks behind a number stay with it.
+    assert Counter(met) == Counter(["\nvireie", "Éaiou", "x1", "x1.", "x1,", "x1!?", "ends"])
+    monkeypatch.setattr(tokens, "ALONE", 4)
+    assert [[*np.frombuffer(x, encoder.kind).tolist(), 0] for x in encoder.encode(["", "a b", *texts])][2:] == got
+
+
 def test_packing_encodes_as_the_library_does(spark):
     """Control strings are their ids, and a lowered letter may join the mark behind it."""
     texts = ["a <|endoftext|> b", "<|startoftext|>", "İ!? x", "aİ,", "İ.", "Σας ΟΔΟΣ", "é e\u0301", "x" * 3000]
