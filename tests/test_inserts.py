@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
 import json
+import pickle
 from pathlib import Path
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeflow.plans import event_records as er
+from gaugeflow.plans import topic_queries
 from gaugeflow.streaming import inserts, runs
 
 
@@ -114,3 +118,74 @@ def test_stream_batches_are_committed_once(spark, tmp_path):
     name = again.insert_many([{"id": 0}])
     store.commit(0, [inserts.Inserted(0, [1], [name])])
     assert _stored(store.path) == found and not list(Path(store.path).glob("_aside/*.json"))
+
+
+class _Weighed(inserts.FolderStore):
+    """Keeps how many bytes the driver has been told of a batch."""
+
+    def commit(self, batch, done):
+        Path(f"{self.path}-told").write_text(str(len(pickle.dumps([vars(m) for m in done]))))
+        super().commit(batch, done)
+
+
+def test_the_driver_holds_as_much_of_many_inserts_as_of_few(spark, tmp_path):
+    told, listed = [], []
+    for n in (20, 2000):
+        store = _Weighed(str(tmp_path / f"store-{n}"))
+        inserts.insert_table(spark.range(0, n, 1, 2), store, 5)
+        read = store.read(spark, spark.range(1).schema)
+        assert sorted(r.id for r in read.collect()) == list(range(n))
+        assert read.select("file_name").distinct().count() == n // 5
+        told.append(int(Path(f"{store.path}-told").read_text()))
+        listed.append(len(read.inputFiles()))
+    assert told[0] == told[1] and listed == [2, 2]
+
+
+def test_sizes_of_inserts_without_a_list_of_their_files(spark, tmp_path):
+    moment = datetime.datetime(2024, 1, 1)
+    rows = [(i, moment + datetime.timedelta(seconds=i), i % 7, "view", 1.0, "{}") for i in range(1006)]
+    spark.createDataFrame(rows, er.EVENTS).write.parquet(str(tmp_path / "events.parquet"))
+    found = topic_queries.insert_sizes(spark, str(tmp_path))
+    assert len(found.inputFiles()) <= er.PARTITIONS
+    wanted = [(p, k, 10) for p in range(4) for k in range(25)] + [(0, 25, 2), (1, 25, 2), (2, 25, 1), (3, 25, 1)]
+    assert sorted(map(tuple, found.select("partition", "insert_no", "size").collect())) == sorted(wanted)
+
+
+def test_committed_documents_are_read_and_no_others(spark, tmp_path):
+    store = inserts.FolderStore(str(tmp_path / "store"))
+    kind = "id bigint, text string"
+    empty = store.read(spark, spark.createDataFrame([], kind).schema)
+    assert empty.columns == ["id", "text", "file_name"] and empty.count() == 0
+    texts = ["plain", "two\nlines\r\n", 'a "quote" \\ \u2028 \u0085 Zoë 好', "", None, "x" * 3_000_000, "y" * 3_000_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), kind).coalesce(1)
+    inserts.insert_table(rows, store, 2)
+    client = store.connect(0)
+    store.commit(7, [inserts.Inserted(0, [1], [client.insert_many([{"id": 7, "text": "named"}])])])
+    store.commit(8, [])
+    client.insert_many([{"id": 9, "text": "aside"}])
+    found = store.read(spark, rows.schema).collect()
+    assert sorted((r.id, r.text) for r in found) == [*enumerate(texts), (7, "named")]
+    for r in found:
+        (held,) = Path(store.path).glob(f"batch=*/{r.file_name}")
+        assert r.id in [json.loads(line)["id"] for line in held.read_text().splitlines()]
+
+
+def test_listed_inserts_are_undone(tmp_path):
+    store = inserts.FolderStore(str(tmp_path / "store"))
+    told = inserts.write_inserts(_batches(35), store, 0, 10)
+    again = inserts.write_inserts(_batches(15), store, 1, 10)
+    assert told.listed and told.names == [] and told.sizes == []
+    store.abort(0, [told, again])
+    store.abort(0, [told])
+    assert not list(Path(store.path, "_aside").glob("*"))
+
+
+def test_a_task_whose_list_fails_undoes_its_inserts(tmp_path):
+    class Full(inserts.FolderStore):
+        def report(self, done):
+            raise OSError("no space")
+
+    store = Full(str(tmp_path / "store"))
+    with pytest.raises(OSError, match="no space"):
+        inserts.write_inserts(_batches(35), store, 0, 10)
+    assert not list(Path(store.path, "_aside").glob("*"))
